@@ -78,7 +78,7 @@ def block_pairs(
     lk = F.col("l__ord") if order is not None else F.col(f"l_{member}")
     rk = F.col("r__ord") if order is not None else F.col(f"r_{member}")
     joined = left.join(
-        right,
+        right.hint("shuffle_hash"),
         (F.col(group) == F.col("_g")) & (F.col("_a") == F.col("_ra")) & (F.col("_b") == F.col("_rb")),
         "inner",
     )

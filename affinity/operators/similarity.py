@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.columns import damping, safe_div
 from affinity.operators.pairs import DEFAULT_BLOCK_ROWS, block_pairs, with_group_size
+from affinity.session import materialize
 
 SCORE_DIGITS = 6
 
@@ -59,10 +60,16 @@ def _cosine(pairs: DataFrame, nrm: DataFrame, entity: str) -> DataFrame:
     )
 
 
-def _mirror(sims: DataFrame, entity: str) -> DataFrame:
-    one = sims.select(F.col("a").alias(entity), F.col("b").alias("neighbor_id"), "sim", "n_common")
-    two = sims.select(F.col("b").alias(entity), F.col("a").alias("neighbor_id"), "sim", "n_common")
-    return one.unionByName(two)
+def _mirror(sims: DataFrame, entity: str, extra: list[str] | None = None) -> DataFrame:
+    """Both orientations of each unordered pair in one pass (explode of a 2-element array)."""
+    extra = extra or []
+    both = F.array(
+        F.struct(F.col("a").alias("x"), F.col("b").alias("y")),
+        F.struct(F.col("b").alias("x"), F.col("a").alias("y")),
+    )
+    return sims.select(F.explode(both).alias("_p"), "sim", "n_common", *extra).select(
+        F.col("_p.x").alias(entity), F.col("_p.y").alias("neighbor_id"), "sim", "n_common", *extra
+    )
 
 
 def similarity(
@@ -76,13 +83,21 @@ def similarity(
 ) -> DataFrame:
     """All ordered pairs (entity, neighbor_id, sim, n_common); sim rounded to 6 places."""
     pairs = pair_products(ratings, entity, context, damping_power, rating, block_rows)
-    sims = _mirror(_cosine(pairs, norms(ratings, entity, rating), entity), entity)
-    if normalize:
-        # Divide by the row maximum (0 when it is 0). The maximum is an aggregate joined
-        # back; a window over a heavy row would buffer that whole row in one task.
-        mx = sims.groupBy(entity).agg(F.max("sim").alias("max_sim"))
-        sims = sims.join(mx, entity).withColumn("sim", safe_div(F.col("sim"), F.col("max_sim"))).drop("max_sim")
-    return sims.withColumn("sim", F.round("sim", SCORE_DIGITS))
+    cos = _cosine(pairs, norms(ratings, entity, rating), entity)
+    if not normalize:
+        return _mirror(cos, entity).withColumn("sim", F.round("sim", SCORE_DIGITS))
+    # Divide by the row maximum (0 when it is 0). The pair table has two readers (the
+    # maxima and the mirrored rows), so it is written once instead of being recomputed. The
+    # maxima come from an aggregate with map-side partial maxima; a window over a heavy row
+    # would hold that whole row in one task.
+    cos = materialize(cos, "pair-cosine")
+    ends = F.array(F.struct(F.col("a").alias("e"), F.col("sim").alias("s")),
+                   F.struct(F.col("b").alias("e"), F.col("sim").alias("s")))
+    mx = cos.select(F.explode(ends).alias("_m")).groupBy(F.col("_m.e").alias(entity)).agg(
+        F.max("_m.s").alias("max_sim"))
+    sims = _mirror(cos, entity).join(mx, entity)
+    return sims.select(entity, "neighbor_id",
+                       F.round(safe_div(F.col("sim"), F.col("max_sim")), SCORE_DIGITS).alias("sim"), "n_common")
 
 
 def user_similarity(train: DataFrame, damping_power: float = 2, **kw) -> DataFrame:
@@ -124,15 +139,14 @@ def common_item_similarity(ratings: DataFrame, user: str = "user_id", item: str
         F.count(F.lit(1)).alias("n_common"),
     ).where(F.col("n_common") >= min_common)
     cos = F.bround(safe_div(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))), digits)
-    one = agg.select(F.col("a").alias(user), F.col("b").alias("neighbor_id"), cos.alias("sim"), "n_common")
-    two = agg.select(F.col("b").alias(user), F.col("a").alias("neighbor_id"), cos.alias("sim"), "n_common")
+    mirrored = _mirror(agg.select("a", "b", cos.alias("sim"), "n_common"), user)
     selfs = rows.groupBy(F.col("u").alias(user)).agg(
         F.sum(F.col("r") * F.col("r")).alias("xx"), F.count(F.lit(1)).alias("n_common")
     ).where(F.col("n_common") >= min_common).select(
         user, F.col(user).alias("neighbor_id"),
         F.bround(safe_div(F.col("xx"), F.col("xx")), digits).alias("sim"), "n_common",
     )
-    return one.unionByName(two).unionByName(selfs)
+    return mirrored.unionByName(selfs)
 
 
 def invert(sims: DataFrame, entity: str = "user_id", neighbor: str = "neighbor_id") -> DataFrame:

@@ -9,6 +9,7 @@ from affinity.functions.columns import hash_bucket, prefixed_key
 from affinity.operators import cooccur, evaluate, features, history, recommend, similarity, split
 from affinity.plans import sql as S
 from affinity.plans.registry import query
+from affinity.session import materialize
 from affinity.sources import tables
 
 KEY = ["user_id", "item_id"]
@@ -19,9 +20,12 @@ UCF_SWEEP = [5, 10, 20, 40, 80]
 
 
 def _split(spark: SparkSession, sf: str):
+    """Interactions with their split bucket, written once; train and test are filters of it."""
     inter = tables.interactions(spark, sf)
-    train, test = split.split_hash(inter, KEY)
-    return inter, train.select("user_id", "item_id", "rating"), test.select("user_id", "item_id", "rating")
+    flagged = materialize(split.with_split_flag(inter, KEY), "interactions")
+    train = flagged.where(F.col("is_train")).select("user_id", "item_id", "rating")
+    test = flagged.where(~F.col("is_train")).select("user_id", "item_id", "rating")
+    return flagged, train, test
 
 
 def _icf(spark: SparkSession, sf: str, k: int = K_NEIGHBORS, p: float = 2):

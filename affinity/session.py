@@ -65,3 +65,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the checkpoint folder and return the re-read table.
+
+    For an input that many branches of one plan read (a split feeding norms, group sizes, both
+    sides of a self-join and the recommendation joins): Catalyst pushes different inferred
+    filters into each branch, so their exchanges are not reused and the input would be
+    recomputed per branch. The written table is read back with column pruning and filter
+    pushdown and survives the loss of executors.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
