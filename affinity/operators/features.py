@@ -129,15 +129,17 @@ def _vocab_is_small(vocab: DataFrame, max_rows: int) -> bool:
 
 
 def apply_vocab(df: DataFrame, cols: Sequence[str], vocab: DataFrame, suffix: str = "_code",
-                max_broadcast_rows: int = MAX_BROADCAST_VOCAB) -> DataFrame:
+                max_broadcast_rows: int = MAX_BROADCAST_VOCAB, n_entries: int | None = None) -> DataFrame:
     """Add ``<col><suffix>`` = code of the value, 0 when missing or unseen.
 
     A vocabulary within ``max_broadcast_rows`` entries (checked with a bounded count) is
     broadcast and joined per field with no shuffle of ``df``. A larger one is joined once in
     long form through a shuffle (adaptive skew handling splits a hot value) and pivoted back.
+    ``n_entries`` (known from the fitted sizes) saves the bounded count.
     """
     voc = vocab.select("field", "value", "code")
-    if _vocab_is_small(voc, max_broadcast_rows):
+    small = n_entries <= max_broadcast_rows if n_entries is not None else _vocab_is_small(voc, max_broadcast_rows)
+    if small:
         out = df
         for c in cols:
             v = F.broadcast(voc.where(F.col("field") == c).select(
@@ -164,6 +166,12 @@ def collect_offsets(offsets: DataFrame) -> dict[str, int]:
     return {r["field"]: int(r["offset"]) for r in offsets.collect()}
 
 
+def collect_sizes(offsets: DataFrame) -> tuple[dict[str, int], int]:
+    """(offset per field, vocabulary entries over all fields), from one small collect."""
+    rows = offsets.collect()
+    return {r["field"]: int(r["offset"]) for r in rows}, sum(int(r["size"]) - 1 for r in rows)
+
+
 # ---------------------------------------------------------------- indexers and labels
 
 def string_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:

@@ -7,6 +7,6 @@ pre-registered views (lineitem, orders, part, ...). Every query reads the whole
 from affinity.plans.registry import QUERIES, ORACLES, query
 
 # importing the modules registers their queries
-from affinity.plans import recsys  # noqa: F401,E402
+from affinity.plans import recsys, clicks, io, misc  # noqa: F401,E402
 
 __all__ = ["QUERIES", "ORACLES", "query"]
