@@ -94,6 +94,60 @@ def recommend_item_cf(train: DataFrame, topk: DataFrame, users: DataFrame | None
     return top_n(item_cf_scores(train, topk, users, by), n, tie, by)
 
 
+def _k_bucket(ks: list[int]) -> F.Column:
+    """The smallest k of the sweep that a neighbor of this rank belongs to."""
+    ks = sorted(ks)
+    expr = F.lit(None).cast("int")
+    for k in reversed(ks):
+        expr = F.when(F.col("rank") <= k, F.lit(k)).otherwise(expr)
+    return expr
+
+
+def sweep_scores(train: DataFrame, topk: DataFrame, ks: list[int], users: DataFrame | None = None,
+                 mode: str = "item", normalize: bool = False) -> DataFrame:
+    """(k, user_id, item_id, score) for every k of a sweep, from one top-max(k) table.
+
+    Each candidate contribution is tagged with the smallest k its neighbor rank falls in and
+    aggregated once per (user, item) with one conditional sum per k (scores for a larger k
+    include the contributions of the smaller ones). Nothing is copied per k, unlike a join
+    with a table of k values. A user-item pair appears for k only if it has a contribution
+    there.
+    """
+    ks = sorted(ks)
+    nb = topk.where(F.col("rank") <= max(ks)).withColumn("_kb", _k_bucket(ks))
+    if mode == "item":
+        mine = train.select("user_id", F.col("item_id").alias("src_id"), F.col("rating").cast("double").alias("r"))
+        if users is not None:
+            mine = mine.join(users, "user_id", "left_semi")
+        cand = mine.join(nb.select(F.col("item_id").alias("src_id"), F.col("neighbor_id").alias("item_id"), "sim", "_kb"),
+                         "src_id")
+    else:
+        nbu = nb.select("user_id", "neighbor_id", "sim", "_kb")
+        if users is not None:
+            nbu = nbu.join(users, "user_id", "left_semi")
+        theirs = train.select(F.col("user_id").alias("neighbor_id"), "item_id", F.col("rating").cast("double").alias("r"))
+        cand = nbu.join(theirs, "neighbor_id")
+    contrib = F.col("sim") * F.col("r")
+    aggs = []
+    for k in ks:
+        inside = F.col("_kb") <= k
+        aggs.append(F.sum(F.when(inside, contrib)).alias(f"_t{k}"))
+        aggs.append(F.sum(F.when(inside, F.col("sim"))).alias(f"_s{k}"))
+    agg = cand.groupBy("user_id", "item_id").agg(*aggs)
+    agg = agg.join(train.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+
+    def score(k):
+        if not normalize:
+            return F.col(f"_t{k}")
+        den = F.when(F.col(f"_s{k}") == 0, F.lit(1e-10)).otherwise(F.col(f"_s{k}"))
+        return F.col(f"_t{k}") / den
+
+    per_k = F.array(*[F.struct(F.lit(k).alias("k"), F.round(score(k), SCORE_DIGITS).alias("score")) for k in ks])
+    out = agg.select("user_id", "item_id", F.explode(per_k).alias("_ks"))
+    return out.where(F.col("_ks.score").isNotNull()).select(
+        F.col("_ks.k").alias("k"), "user_id", "item_id", F.col("_ks.score").alias("score"))
+
+
 def sweep_neighbors(topk: DataFrame, ks: list[int]) -> DataFrame:
     """One copy of each neighbor row per k >= its rank (column ``k``), from a single
     top-max(k) table, so a K sweep shares one similarity plan. No join with a K table."""

@@ -80,6 +80,7 @@ def similarity(
     normalize: bool = False,
     rating: str = "rating",
     block_rows: int = DEFAULT_BLOCK_ROWS,
+    max_broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """All ordered pairs (entity, neighbor_id, sim, n_common); sim rounded to 6 places."""
     pairs = pair_products(ratings, entity, context, damping_power, rating, block_rows)
@@ -95,6 +96,13 @@ def similarity(
                    F.struct(F.col("b").alias("e"), F.col("sim").alias("s")))
     mx = cos.select(F.explode(ends).alias("_m")).groupBy(F.col("_m.e").alias(entity)).agg(
         F.max("_m.s").alias("max_sim"))
+    # One maximum per entity. When the number of entities is within the broadcast bound
+    # (checked with a bounded count) the maxima go to every task, the normalised rows never
+    # shuffle, and the top-K that follows trims each task to K rows per entity before its
+    # shuffle. Above the bound the maxima are joined through a shuffle on the entity.
+    n_entities = ratings.select(entity).distinct().limit(max_broadcast_rows + 1).count()
+    if n_entities <= max_broadcast_rows:
+        mx = F.broadcast(mx)
     sims = _mirror(cos, entity).join(mx, entity)
     return sims.select(entity, "neighbor_id",
                        F.round(safe_div(F.col("sim"), F.col("max_sim")), SCORE_DIGITS).alias("sim"), "n_common")

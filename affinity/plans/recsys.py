@@ -437,7 +437,8 @@ def q_eval_k_sweep_icf(spark, sf):
     _, train, test = _split(spark, sf)
     topk = similarity.top_k(similarity.item_similarity(train, 2), "item_id", max(ICF_SWEEP))
     users = recommend.eligible_users_icf(train, test)
-    recs = recommend.recommend_item_cf(train, recommend.sweep_neighbors(topk, ICF_SWEEP), users, N_LIST, by=("k",))
+    scores = recommend.sweep_scores(train, topk, ICF_SWEEP, users, mode="item")
+    recs = recommend.top_n(scores, N_LIST, "item_asc", by=("k",))
     return evaluate.sweep_metrics(recs, train, test, users, N_LIST)
 
 
@@ -446,7 +447,8 @@ def q_eval_k_sweep_ucf(spark, sf):
     _, train, test = _split(spark, sf)
     topk = similarity.top_k(similarity.user_similarity(train, 2), "user_id", max(UCF_SWEEP))
     users = recommend.eligible_users_ucf(topk, test)
-    recs = recommend.recommend_user_cf(train, recommend.sweep_neighbors(topk, UCF_SWEEP), users, N_LIST, by=("k",))
+    scores = recommend.sweep_scores(train, topk, UCF_SWEEP, users, mode="user")
+    recs = recommend.top_n(scores, N_LIST, "key_desc", by=("k",))
     return evaluate.sweep_metrics(recs, train, test, users, N_LIST)
 
 
