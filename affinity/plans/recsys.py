@@ -438,7 +438,7 @@ def q_eval_k_sweep_icf(spark, sf):
     topk = similarity.top_k(similarity.item_similarity(train, 2), "item_id", max(ICF_SWEEP))
     users = recommend.eligible_users_icf(train, test)
     scores = recommend.sweep_scores(train, topk, ICF_SWEEP, users, mode="item")
-    recs = recommend.top_n(scores, N_LIST, "item_asc", by=("k",))
+    recs = recommend.top_n(scores, N_LIST, "item_asc", by=("k",), by_values=ICF_SWEEP)
     return evaluate.sweep_metrics(recs, train, test, users, N_LIST)
 
 
@@ -448,7 +448,7 @@ def q_eval_k_sweep_ucf(spark, sf):
     topk = similarity.top_k(similarity.user_similarity(train, 2), "user_id", max(UCF_SWEEP))
     users = recommend.eligible_users_ucf(topk, test)
     scores = recommend.sweep_scores(train, topk, UCF_SWEEP, users, mode="user")
-    recs = recommend.top_n(scores, N_LIST, "key_desc", by=("k",))
+    recs = recommend.top_n(scores, N_LIST, "key_desc", by=("k",), by_values=UCF_SWEEP)
     return evaluate.sweep_metrics(recs, train, test, users, N_LIST)
 
 

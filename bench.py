@@ -37,7 +37,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app="affinity-bench")
+    # Many initial shuffle partitions; adaptive execution coalesces the small shuffles.
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(8 * cpus)))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=parts, app="affinity-bench")
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="affinity-bench-"))
     # warm-up: JVM, codegen caches, file listing
