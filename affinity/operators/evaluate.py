@@ -94,13 +94,14 @@ def _metric_columns(n: int):
     ]
 
 
-def sweep_metrics(recs_by_k: DataFrame, train: DataFrame, test: DataFrame, users: DataFrame, n: int = 50,
-                  catalog: str = "train", pop_distinct: bool = True) -> DataFrame:
+def sweep_metrics(recs_by_k: DataFrame, train: DataFrame, test: DataFrame, users: DataFrame, ks: list[int],
+                  n: int = 50, catalog: str = "train", pop_distinct: bool = True) -> DataFrame:
     """One metric row per ``k`` of ``recs_by_k(k, user_id, item_id, ...)``.
 
-    The recommendation part is grouped by k; the k-independent parts (test rows, catalog,
-    user count) are aggregated once and attached by an equi-join on the shared dummy key of a
-    single-row table, so nothing is replicated per k.
+    The recommendation part is grouped by k. The k-independent parts (test rows, catalog,
+    user count) are aggregated once into one row, which is exploded over the k values of the
+    sweep and merged with the per-k row by a final ``groupBy(k)``: no join, no copy of the
+    input rows per k.
     """
     t = test.join(users, "user_id", "left_semi")
     cat = _catalog(train, test, users, catalog)
@@ -123,9 +124,16 @@ def sweep_metrics(recs_by_k: DataFrame, train: DataFrame, test: DataFrame, users
             F.count(F.when(F.col("kind") == "t", F.lit(1))).alias("n_test"),
             F.countDistinct(F.when(F.col("kind") == "c", F.col("item_id"))).alias("cat_items"),
         )
-        .withColumn("_one", F.lit(1))
+        .select(F.explode(F.array(*[F.lit(int(k)) for k in ks])).alias("k"), "n_users", "n_test", "cat_items")
     )
-    out = per_k.withColumn("_one", F.lit(1)).join(F.broadcast(fixed), "_one")
+    none = F.lit(None).cast("bigint")
+    a = per_k.select("k", "hits", "n_rec", "rec_items", "pop", none.alias("n_users"), none.alias("n_test"),
+                     none.alias("cat_items"))
+    b = fixed.select("k", none.alias("hits"), none.alias("n_rec"), none.alias("rec_items"),
+                     F.lit(None).cast("double").alias("pop"), "n_users", "n_test", "cat_items")
+    merged = a.unionByName(b).groupBy("k").agg(*[F.max(c).alias(c) for c in
+                                                 ["hits", "n_rec", "rec_items", "pop", "n_users", "n_test", "cat_items"]])
+    out = merged.where(F.col("n_rec").isNotNull())
     return out.select(
         "k",
         F.round(safe_div(F.col("hits").cast("double"), F.col("n_users") * F.lit(n)), DIGITS).alias("precision"),

@@ -439,7 +439,7 @@ def q_eval_k_sweep_icf(spark, sf):
     users = recommend.eligible_users_icf(train, test)
     scores = recommend.sweep_scores(train, topk, ICF_SWEEP, users, mode="item")
     recs = recommend.top_n(scores, N_LIST, "item_asc", by=("k",), by_values=ICF_SWEEP)
-    return evaluate.sweep_metrics(recs, train, test, users, N_LIST)
+    return evaluate.sweep_metrics(recs, train, test, users, ICF_SWEEP, N_LIST)
 
 
 @query("eval_k_sweep_ucf", _sweep_sql(True, UCF_SWEEP))
@@ -449,7 +449,7 @@ def q_eval_k_sweep_ucf(spark, sf):
     users = recommend.eligible_users_ucf(topk, test)
     scores = recommend.sweep_scores(train, topk, UCF_SWEEP, users, mode="user")
     recs = recommend.top_n(scores, N_LIST, "key_desc", by=("k",), by_values=UCF_SWEEP)
-    return evaluate.sweep_metrics(recs, train, test, users, N_LIST)
+    return evaluate.sweep_metrics(recs, train, test, users, UCF_SWEEP, N_LIST)
 
 
 # ------------------------------------------------------------------ co-occurrence
