@@ -94,7 +94,8 @@ def q_enc_value_counts(spark, sf):
 
 @query("enc_vocab_fit", _with(S.CLICKS, S.vocab(CUTOFF)) + "SELECT field, value, count, code FROM vocab")
 def q_enc_vocab_fit(spark, sf):
-    return features.fit_vocab(_clicks(spark, sf), CAT, CUTOFF).select("field", "value", "count", "code")
+    # one reader of the click rows: no need to write them first
+    return features.fit_vocab(tables.clicks(spark, sf), CAT, CUTOFF).select("field", "value", "count", "code")
 
 
 @query("enc_offsets", _with(S.CLICKS, S.vocab(CUTOFF), S.offsets()) + 'SELECT field, field_idx, size, "offset" FROM offs')

@@ -37,8 +37,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) a private scratch folder is created and
-    set. On a cluster the setting must point at shared storage; it is never overridden here.
+    Only a local-mode session (tests, the bench) that names none gets a private scratch
+    folder. On a cluster the setting must point at shared storage; a machine-local folder
+    would be lost with its executor, so a cluster session without it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: intermediate tables are written there")
         configured = tempfile.mkdtemp(prefix="affinity-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
