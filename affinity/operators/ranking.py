@@ -40,3 +40,22 @@ def global_rank(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (),
     out = numbered.join(F.broadcast(stats.select("_pid", *by, "_pm", "_off")), ["_pid", *by])
     rank = (F.col("_off") + (F.col("_mid") - F.col("_pm")) + 1).cast("bigint")
     return out.withColumn(name, rank).drop("_pid", "_mid", "_pm", "_off")
+
+
+# Largest group ranked by a plain window (one task sorts it): about 1 M rows of a few columns.
+MAX_WINDOW_GROUP_ROWS = 1_000_000
+
+
+def rank_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), name: str = "rank",
+              max_window_rows: int = MAX_WINDOW_GROUP_ROWS) -> DataFrame:
+    """``row_number()`` per ``by`` group, choosing the plan by a size check.
+
+    The largest group's row count (one aggregate row reaches the driver) decides: groups
+    within ``max_window_rows`` are ranked by a window, larger ones by the range-partitioned
+    ``global_rank``.
+    """
+    largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("_m")).first()["_m"]
+    if largest is not None and largest > max_window_rows:
+        return global_rank(df, order, by, name)
+    w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
+    return df.withColumn(name, F.row_number().over(w).cast("bigint"))

@@ -84,3 +84,11 @@ def test_sweep_scores_match_per_k(inter):
         one = recommend.item_cf_scores(train, topk.where(F.col("rank") <= k), users)
         got = sweep.where(F.col("k") == k).select("user_id", "item_id", "score")
         assert got.exceptAll(one).count() == 0 and one.exceptAll(got).count() == 0
+
+
+def test_rank_rows_both_plans_agree(spark):
+    from affinity.operators.ranking import rank_rows
+    df = spark.range(0, 3000).select((F.col("id") * 7919 % 3000).alias("v"), (F.col("id") % 4).alias("g"))
+    small = rank_rows(df, [F.col("v")], by=["g"], name="r")  # window plan
+    large = rank_rows(df, [F.col("v")], by=["g"], name="r", max_window_rows=10)  # range-partitioned plan
+    assert sorted(map(tuple, small.select("g", "v", "r").collect())) == sorted(map(tuple, large.select("g", "v", "r").collect()))
