@@ -41,7 +41,9 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     # Many initial shuffle partitions; adaptive execution coalesces the small shuffles.
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(8 * cpus)))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=parts, app="affinity-bench")
+    mem = os.environ.get("BENCH_DRIVER_MEMORY", "16g")
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=parts, app="affinity-bench",
+                          extra={"spark.driver.memory": mem})
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="affinity-bench-"))
     # warm-up on the small tables: JVM JIT and generated-code caches
