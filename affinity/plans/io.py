@@ -16,7 +16,7 @@ from affinity.plans.registry import query
 from affinity.session import scratch_path
 from affinity.sources import readers, tables, writers
 
-INTER_SCHEMA = "user_id bigint, item_id bigint, rating int, ts timestamp"
+INTER_SCHEMA = "user_id bigint, item_id bigint, rating int, ts timestamp_ntz"
 CLICK_SCHEMA = ("row_key string, label int, i1 int, i2 int, i3 int, i4 int, "
                 "c1 string, c2 string, c3 string, c4 string, c5 string")
 CLICK_COLS = "row_key, label, i1, i2, i3, i4, c1, c2, c3, c4, c5"
