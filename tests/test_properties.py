@@ -92,3 +92,17 @@ def test_rank_rows_both_plans_agree(spark):
     small = rank_rows(df, [F.col("v")], by=["g"], name="r")  # window plan
     large = rank_rows(df, [F.col("v")], by=["g"], name="r", max_window_rows=10)  # range-partitioned plan
     assert sorted(map(tuple, small.select("g", "v", "r").collect())) == sorted(map(tuple, large.select("g", "v", "r").collect()))
+
+
+def test_cooccurrence_independent_of_blocking(spark):
+    from affinity.operators import cooccur
+    logs = tables.logs(spark, SF)
+    a = cooccur.weighted_cooccurrence(logs, block_rows=4)
+    b = cooccur.weighted_cooccurrence(logs)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_common_item_similarity_independent_of_blocking(spark, inter):
+    a = similarity.common_item_similarity(inter, block_rows=3)
+    b = similarity.common_item_similarity(inter)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
