@@ -12,9 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from affinity.functions.columns import log_odds
+
 from affinity.operators.ranking import rank_rows
 
 UNK = "<unk>"
@@ -120,7 +122,6 @@ def vocab_offsets(spark: SparkSession, vocab: DataFrame, cols: Sequence[str]) ->
     sizes = fields.join(n, "field", "left").select(
         "field", "field_idx", (F.coalesce("_n", F.lit(0)) + 1).cast("bigint").alias("size")
     )
-    from pyspark.sql import Window
     w = Window.orderBy("field_idx").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.withColumn("offset", F.coalesce(F.sum("size").over(w), F.lit(0)).cast("bigint"))
 
@@ -203,7 +204,6 @@ def sign_label(x: str, name: str = "target") -> Column:
 
 def prior_log_odds(df: DataFrame, by: Sequence[str], labels: Sequence[str]) -> DataFrame:
     """P14 re-aimed: ln(p / (1 - p)) of each 0/1 label's mean per group (e.g. a bias init)."""
-    from affinity.functions.columns import log_odds
     aggs = []
     for lab in labels:
         aggs.append(F.round(log_odds(F.avg(F.col(lab).cast("double"))), 6).alias(f"{lab}_logit"))

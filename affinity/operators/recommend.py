@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.functions.columns import prefixed_key, safe_div
+from affinity.functions.columns import prefixed_key
 
 SCORE_DIGITS = 6
 
@@ -159,13 +159,6 @@ def sweep_scores(train: DataFrame, topk: DataFrame, ks: list[int], users: DataFr
         F.col("_ks.k").alias("k"), "user_id", "item_id", F.col("_ks.score").alias("score"))
 
 
-def sweep_neighbors(topk: DataFrame, ks: list[int]) -> DataFrame:
-    """One copy of each neighbor row per k >= its rank (column ``k``), from a single
-    top-max(k) table, so a K sweep shares one similarity plan. No join with a K table."""
-    arr = F.array(*[F.lit(int(k)) for k in ks])
-    return topk.withColumn("k", F.explode(F.filter(arr, lambda k: k >= F.col("rank"))))
-
-
 def with_hits(recs: DataFrame, test: DataFrame) -> DataFrame:
     """Recommendation rows with ``hit`` (1 if the item is in the user's test set) and the
     test rating (0 when absent), for the metrics."""
@@ -179,5 +172,5 @@ def with_hits(recs: DataFrame, test: DataFrame) -> DataFrame:
 
 __all__ = [
     "eligible_users_ucf", "eligible_users_icf", "user_cf_scores", "item_cf_scores", "top_n",
-    "recommend_user_cf", "recommend_item_cf", "with_hits", "safe_div",
+    "recommend_user_cf", "recommend_item_cf", "sweep_scores", "with_hits",
 ]

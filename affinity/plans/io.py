@@ -8,10 +8,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
 from affinity.plans import sql as S
-from affinity.plans.clicks import CAT, NUM, _VALS, _encoded, _fm_sql, _with, _ENC
+from affinity.plans.clicks import CAT, _VALS, _encoded, _fm_sql, _with, _ENC
 from affinity.plans.registry import query
 from affinity.session import scratch_path
 from affinity.sources import readers, tables, writers

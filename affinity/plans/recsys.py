@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from affinity.functions.columns import hash_bucket, prefixed_key
+from affinity.functions.columns import prefixed_key
 from affinity.operators import cooccur, evaluate, features, history, recommend, similarity, split
 from affinity.plans import sql as S
 from affinity.plans.registry import query
