@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.columns import hash_bucket, hash_u32
+from affinity.session import materialize
 
 # Positional cuts rank by the 32-bit hash; its top bits give 2^16 histogram buckets.
 HIST_SHIFT = 16
@@ -53,6 +54,9 @@ def first_n_by_hash(df: DataFrame, key: Sequence[str], n, by: Sequence[str] = ()
     by = list(by)
     h = hash_u32(key)
     rows = df.withColumn("_h", h).withColumn("_hb", (F.col("_h") / F.lit(1 << HIST_SHIFT)).cast("bigint"))
+    # Three readers (histogram, settled rows, boundary rows): write the input once rather than
+    # recompute it per branch.
+    rows = materialize(rows, "hashed-rows")
     hist = rows.groupBy(*by, "_hb").agg(F.count(F.lit(1)).alias("_bc"))
     wcum = Window.partitionBy(*by).orderBy("_hb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wall = Window.partitionBy(*by)
