@@ -138,7 +138,8 @@ def common_item_similarity(ratings: DataFrame, user: str = "user_id", item: str
     ratings are 0).
     """
     rows = ratings.select(F.col(item).alias("g"), F.col(user).alias("u"), F.col(rating).cast("double").alias("r"))
-    rows = with_group_size(rows, "g")
+    # read by both sides of the self-join and by the self-pairs: write once
+    rows = materialize(with_group_size(rows, "g"), "common-item-rows")
     pairs = block_pairs(rows, group="g", member="u", carry=["r"], block_rows=block_rows)
     agg = pairs.groupBy(F.col("l_u").alias("a"), F.col("r_u").alias("b")).agg(
         F.sum(F.col("l_r") * F.col("r_r")).alias("xy"),

@@ -121,7 +121,7 @@ def q_join_left_dim(spark, sf):
        CAST(dense_rank() OVER (ORDER BY item_id) - 1 AS INTEGER) AS item_code
 FROM interactions""")
 def q_enc_label(spark, sf):
-    inter = tables.interactions(spark, sf).select("user_id", "item_id")
+    inter = materialize(tables.interactions(spark, sf).select("user_id", "item_id"), "interactions")
     out = features.label_encode(inter, "user_id", "user_code")
     out = features.label_encode(out, "item_id", "item_code")
     return out.select("user_id", "item_id", "user_code", "item_code")
@@ -133,7 +133,7 @@ def q_enc_label(spark, sf):
 FROM interactions i LEFT JOIN (SELECT * FROM part WHERE p_partkey % 5 <> 0) p ON p.p_partkey = i.item_id""")
 def q_feat_training_table(spark, sf):
     """label (P4) + item dimension (J1) + encoded ids."""
-    inter = tables.interactions(spark, sf)
+    inter = materialize(tables.interactions(spark, sf), "interactions")
     t = inter.select("user_id", "item_id", "ts", features.threshold_label())
     t = t.join(tables.items(spark, sf), "item_id", "left")
     t = features.label_encode(t, "user_id", "user_code")
