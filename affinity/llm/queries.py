@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import bpe, mixing, quality_classifier, secrets, sharding, simhash, toxicity, url_filter
+from affinity.llm import (
+    bpe, embeddings, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity, url_filter,
+)
 from affinity.llm.common import fold, one_label, table
 
 #: The rank file of the tokenizer, by its public name.
@@ -85,6 +87,19 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics, the base rule and the verdict of the fitted cutoffs for every document."""
+    good = one_label(table(spark, sf_dir, "labels"), "quality").where("label = 1").select("doc_id")
+    return quality_rules.judge(table(spark, sf_dir, "documents"), good)
+
+
+@query
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all embeddings within their labels."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Naive Bayes support vector quality score of every document."""
