@@ -1,7 +1,7 @@
 """The registered queries of the ten operators, over the driver's tables.
 
 Each applies its operator with production parameters to the whole table and derives the digest
-columns of its contract. ``ORACLES`` has the DuckDB SQL where SQL can express the result.
+columns of its contract. ``ORACLES`` (from ``sql``) has the DuckDB SQL where SQL can express the result.
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ from affinity.llm import (
     bpe, embeddings, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity, url_filter,
 )
 from affinity.llm.common import fold, one_label, table
+from affinity.llm.sql import ORACLES
 
 #: The rank file of the tokenizer, by its public name.
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
 QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def query(fn):
@@ -119,10 +120,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document, scanned once per distinct text."""
     findings, _ = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     text = secrets.span_text(F.col("spans"))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["rule"] == k)).cast("bigint").alias(f"n_{r.kind}")
-        for k, r in enumerate(secrets.BASE_RULES)
-    ]
+    counts = [secrets.span_count(F.col("spans"), k).alias(f"n_{r.kind}") for k, r in enumerate(secrets.BASE_RULES)]
     return findings.select("doc_id", *counts, F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
 
 

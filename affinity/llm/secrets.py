@@ -132,6 +132,11 @@ def span_text(spans: Column, rules=BASE_RULES) -> Column:
     )
 
 
+def span_count(spans: Column, rule: int) -> Column:
+    """Number of spans (long) of the rule with this number."""
+    return F.size(F.filter(spans, lambda s: s["rule"] == rule)).cast("bigint")
+
+
 def redact(docs: DataFrame, findings: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of a text replaced by ``mask`` (overlapping spans by one); ``n_chars``, if it is
     a column, is counted anew for texts that change. Texts without findings stay as they are."""
