@@ -128,7 +128,7 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, vec_id: str =
 
     def query(key, graph_rows, group):
         if not len(graph_rows) or not len(group):
-            return pd.DataFrame({"point": [], "links": [], "hub": []})
+            return pd.DataFrame({"point": [], "links": [], "hub": []}, dtype=object)
         home, unit, weight, order, level, layers, sets, beam = pickle.loads(graph_rows["graph"].iloc[0])
         graph = Graph.__new__(Graph)
         graph.order, graph.level, graph.layers = order, level, layers
@@ -154,7 +154,7 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, vec_id: str =
                 ids_out.append(points_here[i])
                 links_out.append(0.0)
                 hubs_out.append(f"{key[0]}:{key[1]}:{key[2]}:{s}")
-        return pd.DataFrame({"point": ids_out, "links": links_out, "hub": hubs_out})
+        return pd.DataFrame({"point": ids_out, "links": links_out, "hub": pd.Series(hubs_out, dtype=object)})
 
     asks = sized.select(
         "label", "dim", "point", "vector", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),

@@ -164,7 +164,7 @@ def linked_sets(fps: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SH
             points = batch["fp"].to_numpy(np.int64).view(np.uint64)
             for home, reach in ((True, 0), (False, max_bits)):
                 for leaf, rows in route(points, tree, reach):
-                    yield pd.DataFrame({"shard": leaf, "fp": points[rows].view(np.int64), "home": home})
+                    yield pd.DataFrame({"shard": int("1" + leaf, 2), "fp": points[rows].view(np.int64), "home": home})
 
     def shard_links(key, group):
         # the visitors include the shard's own points, so the visitors are all its points
@@ -175,11 +175,13 @@ def linked_sets(fps: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SH
         search(visit, np.sort(own), np.arange(len(visit)), max_bits, sets)
         sizes = np.bincount(sets.label, minlength=len(visit))
         linked = sizes[sets.label] > 1
-        roots = visit[sets.label[linked]].view(np.int64)
-        return pd.DataFrame({"node": visit[linked].view(np.int64), "hub": [f"{key[0]}:{r}" for r in roots]})
+        return pd.DataFrame({
+            "node": visit[linked].view(np.int64), "shard": key[0], "root": visit[sets.label[linked]].view(np.int64),
+        })
 
-    spread_rows = fps.select("fp").mapInPandas(spread, "shard string, fp long, home boolean")
-    return spread_rows.groupBy("shard").applyInPandas(shard_links, "node long, hub string")
+    spread_rows = fps.select("fp").mapInPandas(spread, "shard long, fp long, home boolean")
+    linked = spread_rows.groupBy("shard").applyInPandas(shard_links, "node long, shard long, root long")
+    return linked.select("node", F.concat_ws(":", "shard", "root").alias("hub"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS,

@@ -39,6 +39,8 @@ STEPS = 300
 RATE = 0.3
 DECAY = 1e-4
 THRESHOLD = 0.7
+#: The sigmoid is fitted to margins of rows that their fit didn't see.
+FOLDS = 3
 
 
 @dataclass
@@ -95,6 +97,16 @@ def calibrated(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tu
     return platt(np.concatenate([positive, low]), label)
 
 
+def part(rows: list, k: int, rest: bool) -> list:
+    """Every ``FOLDS``-th row from the k-th, or the rest."""
+    return [r for i, r in enumerate(rows) if (i % FOLDS == k) != rest]
+
+
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, dim: int):
+    ratio = word_ratio(positive, unlabelled, dim)
+    return ratio, *nn_pu(Rows(positive, ratio, FLOOR), Rows(unlabelled, ratio, FLOOR), prior)
+
+
 def fit(docs: DataFrame, labelled: DataFrame, unlabelled_ids: DataFrame) -> Model:
     """``labelled(doc_id, label)``: rows that may be learnt from; only label 1 is used, and the share of
     1 as the prior. ``unlabelled_ids(doc_id)``: documents that serve as unlabelled text. Without
@@ -111,10 +123,15 @@ def fit(docs: DataFrame, labelled: DataFrame, unlabelled_ids: DataFrame) -> Mode
     if not positive or not unlabelled:
         return Model(np.zeros(dim), np.zeros(dim), -50.0)
     prior = min(0.9, max(1e-3, counts.ones / counts.n))
-    ratio = word_ratio(positive, unlabelled, dim)
-    p, u = Rows(positive, ratio, FLOOR), Rows(unlabelled, ratio, FLOOR)
-    w, b = nn_pu(p, u, prior)
-    return Model(ratio, spread_out(w, ratio), float(b), *calibrated(p.dot(w) + b, u.dot(w) + b, prior))
+    unseen = [(part(positive, k, False), part(unlabelled, k, False)) for k in range(FOLDS)]
+    margins = [
+        [Rows(x, ratio, FLOOR).dot(w) + b for x in rows]
+        for k, rows in enumerate(unseen)
+        for ratio, w, b in [train(part(positive, k, True), part(unlabelled, k, True), prior, dim)]
+    ]
+    a, shift = calibrated(*(np.concatenate(m) for m in zip(*margins)), prior)
+    ratio, w, b = train(positive, unlabelled, prior, dim)
+    return Model(ratio, spread_out(w, ratio), float(b), a, shift)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:

@@ -46,12 +46,14 @@ def boundaries(rules: DataFrame) -> DataFrame:
     """(key, stack): for the start and the end of every rule host's interval, the rules in force from there.
 
     ``rules(action, host, path)``. A host's stack is its own rules and those of the hosts above it,
-    found by an equal join on the host's label suffixes. Of rules equal in host and path block wins.
+    found by an equal join on the host's label suffixes. The longest rule is that of most characters in
+    host and path together, on ties that of the longer host; of rules equal in both block wins.
     """
     clean = rules.dropna().groupBy("host", "path").agg(F.max("action").alias("action"))  # allow < block
     hosts = clean.groupBy(host_key(F.col("host")).alias("key")).agg(
         F.collect_list(F.struct(
-            (F.length("host") + F.length("path")).alias("length"), F.concat("host", "path").alias("rule"), "path", "action"
+            (F.length("host") + F.length("path")).alias("length"), F.length("host").alias("host_length"),
+            F.concat("host", "path").alias("rule"), "path", "action"
         )).alias("own")
     )
     labels = F.split(F.expr("substring(key, 1, length(key) - 1)"), r"\.", -1)
