@@ -6,6 +6,10 @@ columns of its contract. ``ORACLES`` (from ``sql``) has the DuckDB SQL where SQL
 
 from __future__ import annotations
 
+from hashlib import sha256
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,15 +51,28 @@ def op1_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and the bytes they decode to, as digests."""
+    """Token ids of every document, and the bytes they decode to, as digests.
+
+    Encodes, decodes and digests a text at a time, so that no column of ids leaves the worker.
+    """
     encoder = bpe.public_encoder(TOKENIZER)
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), encoder).select("doc_id", "ids")
-    return ids.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids"), encoder), 256).alias("decoded_sha256"),
-    )
+
+    @F.pandas_udf("n_tokens long, ids_sha256 binary, decoded_sha256 binary")
+    def codec(texts: pd.Series) -> pd.DataFrame:
+        counts, digests, decoded = [], [], []
+        for text in texts:
+            ids = encoder.encode(text).tolist()
+            counts.append(len(ids))
+            digests.append(sha256(",".join(map(str, ids)).encode()).digest())
+            decoded.append(sha256(encoder.decode(ids)).digest())
+        return pd.DataFrame({
+            "n_tokens": np.array(counts, dtype=np.int64),
+            "ids_sha256": pd.Series(digests, dtype=object),
+            "decoded_sha256": pd.Series(decoded, dtype=object),
+        })
+
+    coded = table(spark, sf_dir, "documents").select("doc_id", codec("text").alias("c"))
+    return coded.select("doc_id", "c.n_tokens", *[F.lower(F.hex(f"c.{d}")).alias(d) for d in ("ids_sha256", "decoded_sha256")])
 
 
 @query
