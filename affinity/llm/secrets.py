@@ -118,6 +118,8 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules=BASE_RULES) ->
         known.where(F.size("spans") > 0).join(versions, ["kind", "version"], "left_semi")
         .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     )
+    # written, so that the join deals both sides itself and can split a blob that very many paths hold
+    found = materialize(found, "secret-found")
     findings = paths.join(found, "blob", "left").select(
         "doc_id", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans")
     )
