@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from affinity.functions.columns import log_odds
 
 from affinity.operators.ranking import rank_rows
+from affinity.session import materialize
 
 UNK = "<unk>"
 # Largest vocabulary (entries over all fields) that is broadcast to the scan instead of joined
@@ -113,6 +114,12 @@ def fit_vocab(df: DataFrame, cols: Sequence[str], cutoff: int = 10) -> DataFrame
     return ranked.withColumn("code", F.when(F.col("value") == UNK, F.lit(0)).otherwise(F.col("code")).cast("bigint"))
 
 
+def written_vocab(df: DataFrame, cols: Sequence[str], cutoff: int = 10) -> DataFrame:
+    """``fit_vocab`` once, as a written table: later readers (sizes, one join per field, micro-batches)
+    read that and never fit again."""
+    return materialize(fit_vocab(df, cols, cutoff), "vocab")
+
+
 def vocab_offsets(spark: SparkSession, vocab: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(field, field_idx, size, offset); size = codes + 1 for ``<unk>``, offset = sum of the
     sizes of the earlier fields. The field list is a parameter, so a field whose vocabulary
@@ -150,12 +157,17 @@ def apply_vocab(df: DataFrame, cols: Sequence[str], vocab: DataFrame, suffix: st
             out = out.withColumn(c + suffix, F.coalesce(F.col(c + suffix), F.lit(0)).cast("bigint"))
         return out
     rid = "_row_id"
-    base = df.withColumn(rid, F.monotonically_increasing_id())
-    long = unpivot(base, cols, [rid]).join(voc, ["field", "value"], "left")
+    # written once: both readers below must see the same row numbers, whatever order ``df`` computes its rows in
+    base = materialize(df.withColumn(rid, F.monotonically_increasing_id()), "vocab-rows")
+    # missing values stay out of the join (they would share one key) and come back as 0
+    long = unpivot(base, cols, [rid]).where(F.col("value").isNotNull()).join(voc, ["field", "value"])
     wide = long.groupBy(rid).pivot("field", list(cols)).agg(F.first("code"))
     for c in cols:
-        wide = wide.withColumnRenamed(c, c + suffix).withColumn(c + suffix, F.coalesce(F.col(c + suffix), F.lit(0)).cast("bigint"))
-    return base.join(wide, rid).drop(rid)
+        wide = wide.withColumnRenamed(c, c + suffix)
+    out = base.join(wide, rid, "left").drop(rid)
+    for c in cols:
+        out = out.withColumn(c + suffix, F.coalesce(F.col(c + suffix), F.lit(0)).cast("bigint"))
+    return out
 
 
 def global_index_columns(cols: Sequence[str], offsets: dict[str, int], base: int, suffix: str = "_code") -> list[Column]:

@@ -70,26 +70,19 @@ def item_cf_scores(train: DataFrame, topk: DataFrame, users: DataFrame | None =
     return agg.select(*by, "user_id", "item_id", F.round("total", SCORE_DIGITS).alias("score"))
 
 
-def top_n(scores: DataFrame, n: int = 50, tie: str = "item_asc", by: tuple = (), by_values: list | None = None) -> DataFrame:
+def top_n(scores: DataFrame, n: int = 50, tie: str = "item_asc", by: tuple = ()) -> DataFrame:
     """Keep n items per user with their 1-based ``rank``.
 
     ``tie='item_asc'`` breaks equal scores by item id; ``tie='key_desc'`` by the string key
     'item_<id>' descending, as the UserCF script sorts (score, key) tuples in reverse (B8).
     ``row_number() <= n`` is planned as a WindowGroupLimit: every map task keeps n rows per
-    user before the shuffle. With ``by=('k',)`` and the k values known (a sweep), (user, k)
-    is packed into one long partition key so that the sort's prefix comparator does the
-    grouping.
+    user before the shuffle.
     """
     if tie == "key_desc":
         order = [F.col("score").desc(), prefixed_key("item_", "item_id").desc()]
     else:
         order = [F.col("score").desc(), F.col("item_id").asc()]
     by = list(by)
-    if by == ["k"] and by_values:
-        kidx = F.array_position(F.array(*[F.lit(int(k)) for k in by_values]), F.col("k"))
-        scores = scores.withColumn("_pk", F.col("user_id") * F.lit(len(by_values) + 1) + kidx)
-        w = Window.partitionBy("_pk").orderBy(*order)
-        return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).drop("_pk")
     w = Window.partitionBy(*by, "user_id").orderBy(*order)
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 

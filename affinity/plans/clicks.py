@@ -32,7 +32,7 @@ def _encoded(spark: SparkSession, sf: str, cutoff: int = CUTOFF):
     """Rows with scaled numerics (<i>_s), codes (<c>_code), global indexes (<c>_idx), split."""
     clicks = _clicks(spark, sf)
     stats = features.fit_minmax(clicks, NUM, CLIPS)
-    vocab = features.fit_vocab(clicks, CAT, cutoff)
+    vocab = features.written_vocab(clicks, CAT, cutoff)
     offsets, n_entries = features.collect_sizes(features.vocab_offsets(spark, vocab, CAT))
     out = features.apply_minmax(clicks, stats, suffix="_s")
     out = features.apply_vocab(out, CAT, vocab, n_entries=n_entries)
@@ -100,14 +100,14 @@ def q_enc_vocab_fit(spark, sf):
 
 @query("enc_offsets", _with(S.CLICKS, S.vocab(CUTOFF), S.offsets()) + 'SELECT field, field_idx, size, "offset" FROM offs')
 def q_enc_offsets(spark, sf):
-    vocab = features.fit_vocab(_clicks(spark, sf), CAT, CUTOFF)
+    vocab = features.written_vocab(_clicks(spark, sf), CAT, CUTOFF)
     return features.vocab_offsets(spark, vocab, CAT).select("field", "field_idx", "size", "offset")
 
 
 @query("enc_vocab_apply", _with(*_ENC) + "SELECT row_key, " + ", ".join(f"{c}_code" for c in CAT) + " FROM coded")
 def q_enc_vocab_apply(spark, sf):
     clicks = _clicks(spark, sf)
-    vocab = features.fit_vocab(clicks, CAT, CUTOFF)
+    vocab = features.written_vocab(clicks, CAT, CUTOFF)
     return features.apply_vocab(clicks, CAT, vocab).select("row_key", *[f"{c}_code" for c in CAT])
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from affinity.plans import sql as S
 from affinity.plans.clicks import CAT, _VALS, _encoded, _fm_sql, _with, _ENC
 from affinity.plans.registry import query
@@ -73,9 +75,15 @@ def q_filter_prefix(spark, sf):
     return readers.filter_prefix(readers.read_lines(spark, path), "1 ")
 
 
-@query("src_synthetic")
+def _unit_sql(salt: int) -> str:
+    key = " || '-' || ".join(f"CAST({k} AS VARCHAR)" for k in tables.CLICK_KEY)
+    return f"CAST(CAST('0x' || substr(md5('2020-{salt}-' || {key}), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296"
+
+
+@query("src_synthetic", f"""SELECT l_orderkey, l_linenumber, {_unit_sql(0)} AS u,
+       round(sqrt(-2 * ln(1 - {_unit_sql(1)})) * cos(2 * pi() * {_unit_sql(2)}), 6) AS z FROM lineitem""")
 def q_src_synthetic(spark, sf):
-    """A uniform and a normal random column attached to every lineitem row (rows-only
-    check: seeded random values are engine specific)."""
-    li = tables.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    return readers.with_random_columns(li, 2020)
+    """A uniform and a normal random column attached to every lineitem row, from a hash of its key."""
+    li = tables.load(spark, sf, "lineitem").select(*tables.CLICK_KEY)
+    out = readers.with_random_columns(li, tables.CLICK_KEY, 2020)
+    return out.select("l_orderkey", "l_linenumber", "u", F.round("z", 6).alias("z"))

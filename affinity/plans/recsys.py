@@ -110,7 +110,7 @@ def q_label_threshold(spark, sf):
 
 
 @query("join_left_dim", _with(S.INTER) + """SELECT i.user_id, i.item_id, i.rating, p.p_type AS genres
-FROM interactions i LEFT JOIN (SELECT * FROM part WHERE p_partkey % 5 <> 0) p ON p.p_partkey = i.item_id""")
+FROM interactions i LEFT JOIN part p ON p.p_partkey = i.item_id""")
 def q_join_left_dim(spark, sf):
     inter = tables.interactions(spark, sf).select("user_id", "item_id", "rating")
     return inter.join(tables.items(spark, sf), "item_id", "left").select("user_id", "item_id", "rating", "genres")
@@ -130,7 +130,7 @@ def q_enc_label(spark, sf):
 @query("feat_training_table", _with(S.INTER) + """SELECT CAST(dense_rank() OVER (ORDER BY i.user_id) - 1 AS INTEGER) AS user_code,
        CAST(dense_rank() OVER (ORDER BY i.item_id) - 1 AS INTEGER) AS item_code,
        i.ts, CASE WHEN i.rating >= 4 THEN 1 ELSE 0 END AS label, p.p_type AS genres
-FROM interactions i LEFT JOIN (SELECT * FROM part WHERE p_partkey % 5 <> 0) p ON p.p_partkey = i.item_id""")
+FROM interactions i LEFT JOIN part p ON p.p_partkey = i.item_id""")
 def q_feat_training_table(spark, sf):
     """label (P4) + item dimension (J1) + encoded ids."""
     inter = materialize(tables.interactions(spark, sf), "interactions")
@@ -438,7 +438,7 @@ def q_eval_k_sweep_icf(spark, sf):
     topk = similarity.top_k(similarity.item_similarity(train, 2), "item_id", max(ICF_SWEEP))
     users = recommend.eligible_users_icf(train, test)
     scores = recommend.sweep_scores(train, topk, ICF_SWEEP, users, mode="item")
-    recs = recommend.top_n(scores, N_LIST, "item_asc", by=("k",), by_values=ICF_SWEEP)
+    recs = recommend.top_n(scores, N_LIST, "item_asc", by=("k",))
     return evaluate.sweep_metrics(recs, train, test, users, ICF_SWEEP, N_LIST)
 
 
@@ -448,22 +448,21 @@ def q_eval_k_sweep_ucf(spark, sf):
     topk = similarity.top_k(similarity.user_similarity(train, 2), "user_id", max(UCF_SWEEP))
     users = recommend.eligible_users_ucf(topk, test)
     scores = recommend.sweep_scores(train, topk, UCF_SWEEP, users, mode="user")
-    recs = recommend.top_n(scores, N_LIST, "key_desc", by=("k",), by_values=UCF_SWEEP)
+    recs = recommend.top_n(scores, N_LIST, "key_desc", by=("k",))
     return evaluate.sweep_metrics(recs, train, test, users, UCF_SWEEP, N_LIST)
 
 
 # ------------------------------------------------------------------ co-occurrence
 
 @query("cooc_weighted", """WITH logs AS (
-  SELECT o_custkey AS user_id, l_partkey AS item_id, o_orderdate AS d, l_orderkey AS o, l_linenumber AS n,
-         l_partkey AS p, l_suppkey AS s
+  SELECT o_custkey AS user_id, l_partkey AS item_id, row_number() OVER () AS pos
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 ut AS (SELECT user_id, count(*) AS user_n FROM logs GROUP BY user_id),
 it AS (SELECT item_id, count(*) AS item_n FROM logs GROUP BY item_id),
 r AS (SELECT logs.*, user_n, item_n FROM logs JOIN ut USING (user_id) JOIN it USING (item_id)),
 pr AS (SELECT a.item_id AS i, b.item_id AS j,
               1.0 / (ln(1 + a.user_n) * CAST(a.item_n * b.item_n AS DOUBLE)) AS w
-       FROM r a JOIN r b ON a.user_id = b.user_id AND (a.d, a.o, a.n, a.p, a.s) < (b.d, b.o, b.n, b.p, b.s)),
+       FROM r a JOIN r b ON a.user_id = b.user_id AND a.pos < b.pos),
 both_dirs AS (SELECT i, j, w FROM pr UNION ALL SELECT j, i, w FROM pr)
 SELECT i AS item_id, j AS other_id, round(sum(w), 6) AS weight FROM both_dirs GROUP BY i, j""")
 def q_cooc_weighted(spark, sf):

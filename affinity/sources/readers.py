@@ -42,9 +42,9 @@ def parse_pairs(line, sep: str = " ", labeled: bool = True) -> tuple[Column, Col
     """
     toks = F.split(F.col(line) if isinstance(line, str) else line, sep)
     label = F.element_at(toks, 1).cast("double").cast("int") if labeled else F.lit(None).cast("int")
-    rest = F.slice(toks, 2, 1 << 30) if labeled else toks
+    first = 1 if labeled else 0
     pairs = F.transform(
-        F.filter(rest, lambda t: t != ""),
+        F.filter(toks, lambda t, i: (i >= first) & (t != "")),
         lambda t: F.struct(
             F.split(t, ":").getItem(0).cast("int").alias("idx"),
             F.split(t, ":").getItem(1).cast("double").alias("val"),
@@ -67,6 +67,13 @@ def head(df: DataFrame, order: list, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def with_random_columns(df: DataFrame, seed: int = 2020, uniform: str = "u", normal: str = "z") -> DataFrame:
-    """A uniform and a normal random column per row (seeded per partition)."""
-    return df.withColumn(uniform, F.rand(seed)).withColumn(normal, F.randn(seed + 1))
+def with_random_columns(df: DataFrame, key: list[str], seed: int = 2020, uniform: str = "u", normal: str = "z") -> DataFrame:
+    """A uniform (32 bits of an md5 of seed and key, / 2^32) and a normal column (Box-Muller of two
+    such) per row: values depend on the row's key only, not on its partition."""
+
+    def unit(salt: int) -> Column:
+        text = F.concat_ws("-", F.lit(f"{seed}-{salt}"), *[F.col(k).cast("string") for k in key])
+        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / float(1 << 32)
+
+    z = F.sqrt(-2 * F.log(1 - unit(1))) * F.cos(2 * F.pi() * unit(2))
+    return df.withColumn(uniform, unit(0)).withColumn(normal, z)

@@ -4,9 +4,9 @@ The reference reads MovieLens-style ratings/tags CSVs and a click-log TSV. The t
 TPC-H-like star schema, so each shape is derived from them (see FIXTURES.md section 2):
 
 * ``interactions(user_id, item_id, rating, ts)`` - customer x part, rating = ceil(quantity/10)
-* ``items(item_id, genres)``                     - part dimension (4 in 5 parts kept)
+* ``items(item_id, genres)``                     - part dimension
 * ``tag_rows(user_id, item_id, tag)``            - customer x part x brand, duplicates kept
-* ``logs(user_id, item_id, ...order key)``       - one row per lineitem, in purchase order
+* ``logs(user_id, item_id)``                     - one row per lineitem, repeats kept
 * ``clicks``                                     - labelled click rows, 4 numeric + 5 category
 * ``event_ids(user_id, event_id, k, value)``     - sparse id per event (for embedding pooling)
 
@@ -59,11 +59,9 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item dimension; every fifth part is left out so that a left join meets misses."""
+    """Item dimension, all of it."""
     p = load(spark, sf_dir, "part")
-    return p.where(F.col("p_partkey") % 5 != 0).select(
-        F.col("p_partkey").alias("item_id"), F.col("p_type").alias("genres")
-    )
+    return p.select(F.col("p_partkey").alias("item_id"), F.col("p_type").alias("genres"))
 
 
 def tag_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,24 +73,9 @@ def tag_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User logs as flat rows. ``seq`` is a strict total order of a user's rows.
-
-    The reference keeps an ordered list per user; a list would put a heavy user's whole log in
-    one row. Here the order is the struct (date, order, line, part, supplier), unique per row,
-    and compared directly, so no per-user window or list is needed.
-    """
+    """User logs as flat rows, repeats kept (a list per user would put a heavy user's log in one row)."""
     lo = _lineitem_orders(spark, sf_dir)
-    return lo.select(
-        F.col("o_custkey").alias("user_id"),
-        F.col("l_partkey").alias("item_id"),
-        F.struct(
-            F.col("o_orderdate").alias("d"),
-            F.col("l_orderkey").alias("o"),
-            F.col("l_linenumber").alias("n"),
-            F.col("l_partkey").alias("p"),
-            F.col("l_suppkey").alias("s"),
-        ).alias("seq"),
-    )
+    return lo.select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,9 +61,9 @@ def reformat_line(line, in_sep: str = "\t", labeled: bool = True, label_value: i
     """
     toks = F.split(_c(line), in_sep)
     label = F.element_at(toks, 1).cast("double").cast("bigint").cast("string") if labeled else F.lit(str(label_value))
-    rest = F.slice(toks, 2, 1 << 30) if labeled else toks
+    first = 1 if labeled else 0
     pairs = F.transform(
-        F.filter(rest, lambda t: t != ""),
+        F.filter(toks, lambda t, i: (i >= first) & (t != "")),
         lambda t: F.concat(
             F.split(t, ":").getItem(0).cast("int").cast("string"),
             F.lit(":"),

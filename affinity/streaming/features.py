@@ -31,7 +31,7 @@ class ClickEncoder:
 def fitted_click_encoder(spark: SparkSession, train: DataFrame, numeric: Sequence[str], category: Sequence[str],
                          clips: Sequence[float], cutoff: int = 10) -> ClickEncoder:
     stats = features.fit_minmax(train, numeric, clips)
-    vocab = features.fit_vocab(train, category, cutoff).select("field", "value", "code")
+    vocab = features.written_vocab(train, category, cutoff).select("field", "value", "code")
     offsets = features.collect_offsets(features.vocab_offsets(spark, vocab, category))
     return ClickEncoder(list(numeric), list(category), stats, vocab, offsets)
 
