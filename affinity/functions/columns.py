@@ -52,8 +52,8 @@ def log_odds(p) -> Column:
 def damping(group_size, power: float) -> Column:
     """Divisor log1p(n)^power of the popularity-damped similarity formulas (1 when power is 0).
 
-    It is applied to one rating per row before the self-join, so that the pair stage is a plain
-    ``sum(left.weighted * right.rating)``.
+    With half the power it scales the rating rows of both sides before the self-join
+    (``similarity.cosine_pairs``); ``pair_products`` divides each product.
     """
     if power == 0:
         return F.lit(1.0)

@@ -9,8 +9,8 @@ its size. Each group of ``n`` members is therefore cut into ``s = ceil(n / block
 by a hash of the member, and the join key is (group, block_a, block_b) with block_a <= block_b:
 a left row of block ``a`` is copied to the ``s - a`` keys (a, b >= a) and a right row of block
 ``b`` to the ``b + 1`` keys (a <= b, b). Every unordered pair meets in exactly one key and no
-key holds more than ``block_rows`` members per side, so a hot group is spread over
-``s * (s + 1) / 2`` tasks. Groups smaller than ``block_rows`` keep one key (s = 1) and are
+key holds many more than ``block_rows`` members per side (a hash deals them, so blocks vary a little),
+which spreads a hot group over ``s * (s + 1) / 2`` keys. Groups smaller than ``block_rows`` keep one key (s = 1) and are
 joined as a plain equi-join. Rows are never dropped or capped.
 """
 
@@ -78,7 +78,7 @@ def block_pairs(
     lk = F.col("l__ord") if order is not None else F.col(f"l_{member}")
     rk = F.col("r__ord") if order is not None else F.col(f"r_{member}")
     joined = left.join(
-        right.hint("shuffle_hash"),
+        right.hint("merge"),  # a sorted side spills where a hash table could not
         (F.col(group) == F.col("_g")) & (F.col("_a") == F.col("_ra")) & (F.col("_b") == F.col("_rb")),
         "inner",
     )

@@ -9,10 +9,10 @@ train rows (groups of one included, behaviour B2), and 0 when a norm is 0. p is
 Spark scripts and 1 in the pandas ones; p = 0 is the undamped variant. Item similarity is then
 divided by the largest similarity of its row (W2) before the top-K cut.
 
-Plan: group sizes by aggregate + join, singleton groups dropped (P10), unordered pairs from the
-blocked self-join (see ``pairs``), one ``sum``/``count`` per pair with map-side partial
-aggregation, norms joined, then the pair mirrored. Scores are rounded to 6 places before any
-ranking so that ties break on the id, not on float summation order.
+Plan: group sizes by aggregate + join, singleton groups dropped (P10), norms and damping divided
+into each rating row, unordered pairs from the blocked self-join (see ``pairs``), one
+``sum``/``count`` per pair with map-side partial aggregation, then the pair mirrored. Scores are
+rounded before any ranking so that ties break on the id, not on float summation order.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from affinity.operators.pairs import DEFAULT_BLOCK_ROWS, block_pairs, with_group
 from affinity.session import materialize
 
 SCORE_DIGITS = 6
+RANK_DIGITS = 10  # for similarities that are ranked before they are normalized
 
 
 def norms(ratings: DataFrame, entity: str, rating: str = "rating") -> DataFrame:
@@ -51,12 +52,27 @@ def pair_products(
     )
 
 
-def _cosine(pairs: DataFrame, nrm: DataFrame, entity: str) -> DataFrame:
-    na = nrm.select(F.col(entity).alias("a"), F.col("norm").alias("na"))
-    nb = nrm.select(F.col(entity).alias("b"), F.col("norm").alias("nb"))
-    return (
-        pairs.join(na, "a").join(nb, "b")
-        .select("a", "b", safe_div(F.col("dot"), F.col("na") * F.col("nb")).alias("sim"), "n_common")
+def cosine_pairs(
+    ratings: DataFrame,
+    entity: str,
+    context: str,
+    damping_power: float = 2,
+    rating: str = "rating",
+    block_rows: int = DEFAULT_BLOCK_ROWS,
+) -> DataFrame:
+    """(a, b, sim, n_common) for a < b: the damped cosine of each pair.
+
+    Every rating row is scaled once by its norm and half of the damping,
+    x = r / (||entity|| * log1p(n)^(p/2)), so the cosine is the plain sum of x_a * x_b: nothing
+    is joined to the pair table. An entity of norm 0 has x = 0.
+    """
+    rows = ratings.select(context, entity, F.col(rating).cast("double").alias("r"))
+    rows = with_group_size(rows, context).where(F.col("group_n") > 1).join(norms(ratings, entity, rating), entity)
+    x = safe_div(F.col("r"), F.col("norm") * damping("group_n", damping_power / 2))
+    rows = rows.select(context, entity, "group_n", x.alias("x"))
+    pairs = block_pairs(rows, group=context, member=entity, carry=["x"], block_rows=block_rows)
+    return pairs.groupBy(F.col(f"l_{entity}").alias("a"), F.col(f"r_{entity}").alias("b")).agg(
+        F.sum(F.col("l_x") * F.col("r_x")).alias("sim"), F.count(F.lit(1)).alias("n_common")
     )
 
 
@@ -80,34 +96,61 @@ def similarity(
     normalize: bool = False,
     rating: str = "rating",
     block_rows: int = DEFAULT_BLOCK_ROWS,
-    max_broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """All ordered pairs (entity, neighbor_id, sim, n_common); sim rounded to 6 places."""
-    pairs = pair_products(ratings, entity, context, damping_power, rating, block_rows)
-    cos = _cosine(pairs, norms(ratings, entity, rating), entity)
+    cos = cosine_pairs(ratings, entity, context, damping_power, rating, block_rows)
     if not normalize:
         return _mirror(cos, entity).withColumn("sim", F.round("sim", SCORE_DIGITS))
     # Divide by the row maximum (0 when it is 0). The pair table has two readers (the
     # maxima and the mirrored rows), so it is written once instead of being recomputed. The
     # maxima come from an aggregate with map-side partial maxima; a window over a heavy row
-    # would hold that whole row in one task.
+    # would hold that whole row in one task. Lists cut to K use ``neighbors``, which needs neither.
     cos = materialize(cos, "pair-cosine")
     ends = F.array(F.struct(F.col("a").alias("e"), F.col("sim").alias("s")),
                    F.struct(F.col("b").alias("e"), F.col("sim").alias("s")))
     mx = cos.select(F.explode(ends).alias("_m")).groupBy(F.col("_m.e").alias(entity)).agg(
         F.max("_m.s").alias("max_sim"))
-    # One maximum per entity. When the number of entities is within the broadcast bound
-    # (checked with a bounded count) the maxima go to every task, the normalised rows never
-    # shuffle, and the top-K that follows trims each task to K rows per entity before its
-    # shuffle. Above the bound the maxima are joined through a shuffle on the entity.
-    n_entities = ratings.select(entity).distinct().limit(max_broadcast_rows + 1).count()
-    if n_entities <= max_broadcast_rows:
-        mx = F.broadcast(mx)
     sims = _mirror(cos, entity).join(mx, entity)
     return sims.select(entity, "neighbor_id",
                        F.round(safe_div(F.col("sim"), F.col("max_sim")), SCORE_DIGITS).alias("sim"), "n_common")
 
 
+def neighbors(
+    ratings: DataFrame,
+    entity: str,
+    context: str,
+    k: int,
+    damping_power: float = 2,
+    normalize: bool = False,
+    rating: str = "rating",
+    block_rows: int = DEFAULT_BLOCK_ROWS,
+) -> DataFrame:
+    """The k best neighbors per entity (W1, W2): (entity, neighbor_id, sim, n_common, rank).
+
+    Dividing a row by its maximum keeps its order, so rows are cut to k first and only the k
+    survivors are divided (by the largest of the list, which is the row's): nothing the size of
+    the pair table is written, joined or normalized. Order: similarity (10 places when it is
+    normalized afterwards, else the 6 of the result) descending, then neighbor id ascending.
+    """
+    cos = _mirror(cosine_pairs(ratings, entity, context, damping_power, rating, block_rows), entity)
+    if not normalize:
+        return top_k(cos.withColumn("sim", F.round("sim", SCORE_DIGITS)), entity, k)
+    best = top_k(cos.withColumn("_order", F.round("sim", RANK_DIGITS)), entity, k, score="_order")
+    largest = F.max("sim").over(Window.partitionBy(entity))  # at most k rows per entity
+    return best.select(entity, "neighbor_id",
+                       F.round(safe_div(F.col("sim"), largest), SCORE_DIGITS).alias("sim"), "n_common", "rank")
+
+
+def user_neighbors(train: DataFrame, k: int, damping_power: float = 2, **kw) -> DataFrame:
+    """R1 + W1: the k most similar users of each user."""
+    return neighbors(train, "user_id", "item_id", k, damping_power, normalize=False, **kw)
+
+
+def item_neighbors(train: DataFrame, k: int, damping_power: float = 2, normalize: bool = True, **kw) -> DataFrame:
+    """R2 + W2: the k most similar items of each item, divided by the row's largest similarity."""
+    return neighbors(train, "item_id", "user_id", k, damping_power, normalize=normalize, **kw)
+
+
 def user_similarity(train: DataFrame, damping_power: float = 2, **kw) -> DataFrame:
     """Users are similar when they rate the same items; items damp by their popularity."""
     return similarity(train, "user_id", "item_id", damping_power, normalize=False, **kw)

@@ -30,14 +30,14 @@ def _split(spark: SparkSession, sf: str):
 
 def _icf(spark: SparkSession, sf: str, k: int = K_NEIGHBORS, p: float = 2):
     _, train, test = _split(spark, sf)
-    topk = similarity.top_k(similarity.item_similarity(train, p), "item_id", k)
+    topk = similarity.item_neighbors(train, k, p)
     users = recommend.eligible_users_icf(train, test)
     return train, test, topk, users
 
 
 def _ucf(spark: SparkSession, sf: str, k: int = K_NEIGHBORS, p: float = 2):
     _, train, test = _split(spark, sf)
-    topk = similarity.top_k(similarity.user_similarity(train, p), "user_id", k)
+    topk = similarity.user_neighbors(train, k, p)
     users = recommend.eligible_users_ucf(topk, test)
     return train, test, topk, users
 
@@ -219,7 +219,7 @@ def q_enc_string_index(spark, sf):
 # ------------------------------------------------------------------ similarity
 
 def _sim_query(name: str, entity: str, context: str, p: float, normalize: bool):
-    sql = _with(S.SPLIT, S.sims(entity, context, p, normalize)) + "SELECT * FROM sims"
+    sql = _with(S.SPLIT, S.sims(entity, context, p, normalize)) + f"SELECT {entity}, neighbor_id, sim, n_common FROM sims"
 
     @query(name, sql)
     def q(spark, sf):
@@ -240,7 +240,7 @@ _sim_query("sim_item_damp0", "item_id", "user_id", 0, True)
        + "SELECT user_id, neighbor_id, sim, n_common, rank FROM topk")
 def q_sim_user_topk(spark, sf):
     _, train, _ = _split(spark, sf)
-    t = similarity.top_k(similarity.user_similarity(train, 2), "user_id", K_NEIGHBORS)
+    t = similarity.user_neighbors(train, K_NEIGHBORS, 2)
     return t.select("user_id", "neighbor_id", "sim", "n_common", "rank")
 
 
@@ -248,7 +248,7 @@ def q_sim_user_topk(spark, sf):
        + "SELECT item_id, neighbor_id, sim, n_common, rank FROM topk")
 def q_sim_item_topk(spark, sf):
     _, train, _ = _split(spark, sf)
-    t = similarity.top_k(similarity.item_similarity(train, 2), "item_id", K_NEIGHBORS)
+    t = similarity.item_neighbors(train, K_NEIGHBORS, 2)
     return t.select("item_id", "neighbor_id", "sim", "n_common", "rank")
 
 
@@ -275,7 +275,7 @@ def q_sim_common_items(spark, sf):
        + "SELECT neighbor_id AS key_id, user_id AS source_id, sim FROM topk")
 def q_sim_invert(spark, sf):
     _, train, _ = _split(spark, sf)
-    t = similarity.top_k(similarity.user_similarity(train, 2), "user_id", K_NEIGHBORS)
+    t = similarity.user_neighbors(train, K_NEIGHBORS, 2)
     return similarity.invert(t)
 
 
@@ -284,7 +284,7 @@ def q_sim_invert(spark, sf):
 FROM topk k JOIN train t ON t.user_id = k.neighbor_id""")
 def q_sim_neighbor_ratings(spark, sf):
     _, train, _ = _split(spark, sf)
-    t = similarity.top_k(similarity.user_similarity(train, 2), "user_id", K_NEIGHBORS)
+    t = similarity.user_neighbors(train, K_NEIGHBORS, 2)
     return similarity.neighbor_ratings(t, train).select("key_id", "source_id", "sim", "item_id", "rating")
 
 
@@ -302,7 +302,7 @@ def q_join_semi_eligible(spark, sf):
 WHERE NOT EXISTS (SELECT 1 FROM train s WHERE s.user_id = k.user_id AND s.item_id = t.item_id)""")
 def q_join_anti_seen(spark, sf):
     _, train, _ = _split(spark, sf)
-    t = similarity.top_k(similarity.user_similarity(train, 2), "user_id", K_NEIGHBORS)
+    t = similarity.user_neighbors(train, K_NEIGHBORS, 2)
     cand = t.select("user_id", F.col("neighbor_id")).join(
         train.select(F.col("user_id").alias("neighbor_id"), "item_id"), "neighbor_id").select("user_id", "item_id").distinct()
     return cand.join(train.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
@@ -435,7 +435,7 @@ FROM per_k, fx"""
 @query("eval_k_sweep_icf", _sweep_sql(False, ICF_SWEEP))
 def q_eval_k_sweep_icf(spark, sf):
     _, train, test = _split(spark, sf)
-    topk = similarity.top_k(similarity.item_similarity(train, 2), "item_id", max(ICF_SWEEP))
+    topk = similarity.item_neighbors(train, max(ICF_SWEEP), 2)
     users = recommend.eligible_users_icf(train, test)
     scores = recommend.sweep_scores(train, topk, ICF_SWEEP, users, mode="item")
     recs = recommend.top_n(scores, N_LIST, "item_asc", by=("k",))
@@ -445,7 +445,7 @@ def q_eval_k_sweep_icf(spark, sf):
 @query("eval_k_sweep_ucf", _sweep_sql(True, UCF_SWEEP))
 def q_eval_k_sweep_ucf(spark, sf):
     _, train, test = _split(spark, sf)
-    topk = similarity.top_k(similarity.user_similarity(train, 2), "user_id", max(UCF_SWEEP))
+    topk = similarity.user_neighbors(train, max(UCF_SWEEP), 2)
     users = recommend.eligible_users_ucf(topk, test)
     scores = recommend.sweep_scores(train, topk, UCF_SWEEP, users, mode="user")
     recs = recommend.top_n(scores, N_LIST, "key_desc", by=("k",))

@@ -24,13 +24,13 @@ test AS (SELECT user_id, item_id, rating, ts FROM bucketed WHERE bucket >= 7)"""
 
 
 def sims(entity: str, context: str, p: float, normalize: bool, name: str = "sims") -> str:
-    """CTEs ending in ``name(<entity>, neighbor_id, sim, n_common)`` over ``train``."""
+    """CTEs ending in ``name(<entity>, neighbor_id, sim, n_common, ord)`` over ``train``; ``ord`` ranks a row."""
     damp = "1.0" if p == 0 else f"power(ln(1 + a.n), {float(p)})"
     norm_sim = (
-        f"SELECT {entity}, neighbor_id, round(CASE WHEN mx = 0 THEN 0.0 ELSE sim / mx END, 6) AS sim, n_common "
+        f"SELECT {entity}, neighbor_id, round(CASE WHEN mx = 0 THEN 0.0 ELSE sim / mx END, 6) AS sim, n_common, round(sim, 10) AS ord "
         f"FROM (SELECT *, max(sim) OVER (PARTITION BY {entity}) AS mx FROM {name}_m)"
         if normalize
-        else f"SELECT {entity}, neighbor_id, round(sim, 6) AS sim, n_common FROM {name}_m"
+        else f"SELECT {entity}, neighbor_id, round(sim, 6) AS sim, n_common, round(sim, 6) AS ord FROM {name}_m"
     )
     return f"""{name}_gs AS (SELECT {context}, count(*) AS n FROM train GROUP BY {context}),
 {name}_r AS (SELECT t.{context}, t.{entity}, CAST(t.rating AS DOUBLE) AS r, g.n
@@ -48,7 +48,7 @@ def sims(entity: str, context: str, p: float, normalize: bool, name: str = "sims
 
 def topk(entity: str, k: int, src: str = "sims", name: str = "topk") -> str:
     return f"""{name} AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY {entity}
-                ORDER BY sim DESC, neighbor_id ASC) AS INTEGER) AS rank FROM {src}) WHERE rank <= {k})"""
+                ORDER BY ord DESC, neighbor_id ASC) AS INTEGER) AS rank FROM {src}) WHERE rank <= {k})"""
 
 
 ELIG_ICF = """elig AS (SELECT DISTINCT user_id FROM test WHERE user_id IN (SELECT user_id FROM train))"""
