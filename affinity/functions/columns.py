@@ -37,6 +37,24 @@ def trim_decimal(x, digits: int = 6) -> Column:
     return F.regexp_replace(fixed, r"\.?0+$", "")
 
 
+def double_text(x) -> Column:
+    """The shortest text that reads back as the same double: 0.5, 10, 0.9795975134490658, 1e-07.
+
+    Plain digits from 1e-4 to 1e16, else mantissa and an exponent of two digits or more, as C's %g writes them.
+    """
+    x = _col(x).cast("double")
+    text = x.cast("string")
+    plain = F.regexp_replace(x.cast("decimal(38,22)").cast("string"), r"\.?0+$", "")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    power = F.substring_index(text, "E", -1)
+    digits = F.regexp_replace(power, "^-", "")
+    exponent = F.concat(F.when(power.startswith("-"), F.lit("e-")).otherwise(F.lit("e+")),
+                        F.when(F.length(digits) < 2, F.concat(F.lit("0"), digits)).otherwise(digits))
+    size = F.abs(x)
+    small_or_large = text.contains("E") & ((size < 1e-4) | (size >= 1e16))
+    return F.when(x == 0, F.lit("0")).when(small_or_large, F.concat(mantissa, exponent)).otherwise(plain)
+
+
 def safe_div(num, den, zero: float = 0.0) -> Column:
     """num / den, or ``zero`` when the denominator is 0 or NULL (cosine guard)."""
     den = _col(den)

@@ -73,18 +73,17 @@ def metric_inputs(recs: DataFrame, train: DataFrame, test: DataFrame, users: Dat
 def list_metrics(recs: DataFrame, train: DataFrame, test: DataFrame, users: DataFrame, n: int = 50,
                  catalog: str = "train", pop_distinct: bool = True) -> DataFrame:
     """One row: precision, recall, coverage, popularity (E5)."""
-    u = metric_inputs(recs, train, test, users, catalog, pop_distinct)
-    return u.agg(*_metric_columns(n))
+    # rows per (kind, item) first: distinct items are then a plain count, without copying rows per distinct
+    per_item = metric_inputs(recs, train, test, users, catalog, pop_distinct).groupBy("kind", "item_id").agg(
+        F.sum("hit").alias("hit"), F.sum("lp").alias("lp"), F.count(F.lit(1)).alias("n"))
+    return per_item.agg(*_metric_columns(n))
 
 
 def _metric_columns(n: int):
     kind = F.col("kind")
     hits = F.sum(F.when(kind == "r", F.col("hit")))
-    n_users = F.count(F.when(kind == "u", F.lit(1)))
-    n_test = F.count(F.when(kind == "t", F.lit(1)))
-    n_rec = F.count(F.when(kind == "r", F.lit(1)))
-    rec_items = F.countDistinct(F.when(kind == "r", F.col("item_id")))
-    cat_items = F.countDistinct(F.when(kind == "c", F.col("item_id")))
+    n_users, n_test, n_rec = (F.coalesce(F.sum(F.when(kind == k, F.col("n"))), F.lit(0)) for k in "utr")
+    rec_items, cat_items = (F.count(F.when(kind == k, F.col("item_id"))) for k in "rc")
     pop = F.sum(F.when(kind == "r", F.col("lp")))
     return [
         F.round(safe_div(F.coalesce(hits, F.lit(0)).cast("double"), n_users * F.lit(n)), DIGITS).alias("precision"),
@@ -107,11 +106,13 @@ def sweep_metrics(recs_by_k: DataFrame, train: DataFrame, test: DataFrame, users
     cat = _catalog(train, test, users, catalog)
     per_k = (
         _scored_recs(recs_by_k, train, test, users, pop_distinct, ["k"])
+        .groupBy("k", "item_id")
+        .agg(F.sum("hit").alias("hit"), F.sum("lp").alias("lp"), F.count(F.lit(1)).alias("n"))
         .groupBy("k")
         .agg(
             F.sum("hit").alias("hits"),
-            F.count(F.lit(1)).alias("n_rec"),
-            F.countDistinct("item_id").alias("rec_items"),
+            F.sum("n").alias("n_rec"),
+            F.count("item_id").alias("rec_items"),
             F.sum("lp").alias("pop"),
         )
     )
@@ -119,10 +120,12 @@ def sweep_metrics(recs_by_k: DataFrame, train: DataFrame, test: DataFrame, users
         t.select(F.lit("t").alias("kind"), "item_id")
         .unionByName(cat.select(F.lit("c").alias("kind"), "item_id"))
         .unionByName(users.select(F.lit("u").alias("kind"), F.lit(None).cast(recs_by_k.schema["item_id"].dataType).alias("item_id")))
+        .groupBy("kind", "item_id")
+        .agg(F.count(F.lit(1)).alias("n"))
         .agg(
-            F.count(F.when(F.col("kind") == "u", F.lit(1))).alias("n_users"),
-            F.count(F.when(F.col("kind") == "t", F.lit(1))).alias("n_test"),
-            F.countDistinct(F.when(F.col("kind") == "c", F.col("item_id"))).alias("cat_items"),
+            F.sum(F.when(F.col("kind") == "u", F.col("n"))).alias("n_users"),
+            F.sum(F.when(F.col("kind") == "t", F.col("n"))).alias("n_test"),
+            F.count(F.when(F.col("kind") == "c", F.col("item_id"))).alias("cat_items"),
         )
         .select(F.explode(F.array(*[F.lit(int(k)) for k in ks])).alias("k"), "n_users", "n_test", "cat_items")
     )
@@ -133,7 +136,8 @@ def sweep_metrics(recs_by_k: DataFrame, train: DataFrame, test: DataFrame, users
                      F.lit(None).cast("double").alias("pop"), "n_users", "n_test", "cat_items")
     merged = a.unionByName(b).groupBy("k").agg(*[F.max(c).alias(c) for c in
                                                  ["hits", "n_rec", "rec_items", "pop", "n_users", "n_test", "cat_items"]])
-    out = merged.where(F.col("n_rec").isNotNull())
+    # a k without any recommendation scores 0
+    out = merged.select("k", *[F.coalesce(c, F.lit(0)).alias(c) for c in merged.columns if c != "k"])
     return out.select(
         "k",
         F.round(safe_div(F.col("hits").cast("double"), F.col("n_users") * F.lit(n)), DIGITS).alias("precision"),

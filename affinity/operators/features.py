@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.columns import log_odds
 
-from affinity.operators.ranking import rank_rows
+from affinity.operators.ranking import global_rank
 from affinity.session import materialize
 
 UNK = "<unk>"
@@ -68,13 +68,12 @@ def apply_minmax(df: DataFrame, stats: dict[str, tuple], suffix: str = "", clips
 def quantile_points(df: DataFrame, cols: Sequence[str], q: float = 0.95) -> DataFrame:
     """Exact linear-interpolated quantile per field (the clip points' stated origin).
 
-    Values are ranked per field with ``rank_rows`` (range-partitioned ``global_rank`` once a
-    field exceeds the window bound, so no large field is gathered in one task), then the two
-    ranks around q * (n - 1) are interpolated.
+    Values are ranked per field by the range-partitioned ``global_rank`` (no field is gathered in
+    one task), then the two ranks around q * (n - 1) are interpolated.
     """
     long = unpivot(df, cols, [], "field", "value", cast="double").where(F.col("value").isNotNull())
     long = long.withColumn("_u", F.monotonically_increasing_id())
-    ranked = rank_rows(long, [F.col("value"), F.col("_u")], by=["field"], name="_r")
+    ranked = global_rank(long, [F.col("value"), F.col("_u")], by=["field"], name="_r")
     counts = long.groupBy("field").agg(F.count(F.lit(1)).alias("_n"))
     pos = F.lit(q) * (F.col("_n") - 1)
     need = ranked.join(F.broadcast(counts), "field").where(
@@ -109,8 +108,8 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def fit_vocab(df: DataFrame, cols: Sequence[str], cutoff: int = 10) -> DataFrame:
     """(field, value, count, code). ``<unk>`` is code 0; a literal ``<unk>`` in the data
     takes code 0 too and leaves its rank unused (B12)."""
-    vc = value_counts(df, cols).where(F.col("count") >= cutoff)
-    ranked = rank_rows(vc, [F.col("count").desc(), F.col("value").asc()], by=["field"], name="code")
+    vc = materialize(value_counts(df, cols).where(F.col("count") >= cutoff), "value-counts")  # sampled, then sorted
+    ranked = global_rank(vc, [F.col("count").desc(), F.col("value").asc()], by=["field"], name="code")
     return ranked.withColumn("code", F.when(F.col("value") == UNK, F.lit(0)).otherwise(F.col("code")).cast("bigint"))
 
 
@@ -192,7 +191,7 @@ def string_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
     """F8: frequency string indexer, 0-based; ties alphabetical (as Spark ML's default
     ``frequencyDesc`` orders them). Distinct values are ranked, then joined back."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c")).where(F.col(col).isNotNull())
-    ranked = rank_rows(counts, [F.col("_c").desc(), F.col(col).asc()], name="_r")
+    ranked = global_rank(counts, [F.col("_c").desc(), F.col(col).asc()], name="_r")
     labels = ranked.select(col, (F.col("_r") - 1).cast("int").alias(out))
     return df.join(labels, col, "left")
 
@@ -200,7 +199,7 @@ def string_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
 def label_encode(df: DataFrame, col: str, out: str) -> DataFrame:
     """sorted distinct value -> 0..n-1 (scikit-learn LabelEncoder)."""
     distinct = df.select(col).distinct().where(F.col(col).isNotNull())
-    ranked = rank_rows(distinct, [F.col(col).asc()], name="_r")
+    ranked = global_rank(distinct, [F.col(col).asc()], name="_r")
     return df.join(ranked.select(col, (F.col("_r") - 1).cast("int").alias(out)), col, "left")
 
 

@@ -2,10 +2,10 @@
 
 The reference keeps ``user -> [(item, rating), ...]`` lists (combineByKey / groupByKey /
 reduceByKey on lists). A list per key would put a heavy user's whole history in one row and
-one task, so ``histories`` cuts it into chunks of at most ``chunk`` consecutive item ids:
-(key, chunk, [(id, rating), ...] sorted by id). Concatenating a key's chunks in chunk order
-gives the reference's sorted history; no chunk holds more than ``chunk`` entries because ids
-are unique per key after load.
+one task, so ``histories`` numbers a key's entries in the order of their ids and cuts them into
+chunks of ``chunk`` entries: (key, chunk, [(id, rating), ...]). All chunks of a key but its last are
+full; concatenated in chunk order they are its sorted history. The numbering is range-partitioned,
+so a heavy key is spread over tasks.
 """
 
 from __future__ import annotations
@@ -13,14 +13,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinity.operators.ranking import global_rank
+
 HISTORY_CHUNK = 1024
 
 
 def histories(ratings: DataFrame, key: str, member: str, rating: str = "rating",
               chunk: int = HISTORY_CHUNK) -> DataFrame:
     """A1-A5: (key, chunk, history) with history = sorted array<struct<member, rating>>."""
-    c = F.floor(F.col(member) / F.lit(chunk)).cast("bigint")
-    return ratings.groupBy(key, c.alias("chunk")).agg(
+    rows = global_rank(ratings.select(key, member, rating), [F.col(member), F.col(rating)], by=[key], name="_pos")
+    c = F.floor((F.col("_pos") - 1) / F.lit(chunk)).cast("bigint")
+    return rows.groupBy(key, c.alias("chunk")).agg(
         F.array_sort(F.collect_list(F.struct(F.col(member), F.col(rating)))).alias("history")
     )
 

@@ -5,8 +5,8 @@ field's entire vocabulary) moves every row to a single task. Here the rows are r
 partitioned on the ordering, sorted inside each partition, numbered locally with
 ``monotonically_increasing_id`` (partition index in the upper bits, position in the lower),
 and shifted by the row counts of the earlier partitions of the same group. The offset table
-has one row per (partition, group) that actually occurs: at most partitions + groups rows, so
-``by`` is meant for a handful of groups (the fields of a click log), not for per-user ranks.
+has one row per (partition, group) that actually occurs: at most partitions + groups rows. A group
+that spans several partitions stays split between them. Rows with a null in ``by`` are left out.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ def global_rank(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (),
     """
     by_cols = [F.col(c) for c in by]
     keys = by_cols + list(order)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # without a number Spark sizes the partitions at run time; neighbors are merged, so order holds
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *keys).sortWithinPartitions(*keys)
     numbered = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     # The numbering is read twice below (counts, then the join). A recomputation could resample
     # the range bounds, so it is written once to the reliable checkpoint folder first.
@@ -36,26 +36,7 @@ def global_rank(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (),
     stats = numbered.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_pc"), F.min("_mid").alias("_pm"))
     w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_off", F.coalesce(F.sum("_pc").over(w), F.lit(0)))
-    # stats holds at most (partitions + groups) rows: a proven bound, broadcast.
-    out = numbered.join(F.broadcast(stats.select("_pid", *by, "_pm", "_off")), ["_pid", *by])
+    # one row per (partition, group): Spark broadcasts it where it is small at run time
+    out = numbered.join(stats.select("_pid", *by, "_pm", "_off"), ["_pid", *by])
     rank = (F.col("_off") + (F.col("_mid") - F.col("_pm")) + 1).cast("bigint")
     return out.withColumn(name, rank).drop("_pid", "_mid", "_pm", "_off")
-
-
-# Largest group ranked by a plain window (one task sorts it): about 1 M rows of a few columns.
-MAX_WINDOW_GROUP_ROWS = 1_000_000
-
-
-def rank_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), name: str = "rank",
-              max_window_rows: int = MAX_WINDOW_GROUP_ROWS) -> DataFrame:
-    """``row_number()`` per ``by`` group, choosing the plan by a size check.
-
-    The largest group's row count (one aggregate row reaches the driver) decides: groups
-    within ``max_window_rows`` are ranked by a window, larger ones by the range-partitioned
-    ``global_rank``.
-    """
-    largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("_m")).first()["_m"]
-    if largest is not None and largest > max_window_rows:
-        return global_rank(df, order, by, name)
-    w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w).cast("bigint"))

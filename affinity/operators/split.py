@@ -44,46 +44,53 @@ def split_90_10(df: DataFrame, key: Sequence[str], name: str = "is_train") -> Da
 def first_n_by_hash(df: DataFrame, key: Sequence[str], n, by: Sequence[str] = (), name: str = "is_first") -> DataFrame:
     """Flag the first ``n`` rows of each ``by`` group in (hash, key) order.
 
-    Equivalent to ``row_number() over (partition by <by> order by hash, key) <= n`` but without
-    sorting a whole group in one task: a histogram of the hash's top 16 bits (at most 65,536
-    rows per group, a proven bound) gives cumulative counts, every row in a bucket before the
-    boundary bucket is in, and only the boundary bucket of each group is ranked (about
-    group/65,536 rows for a uniform hash). ``n`` is an int or a column over ``by`` and the
-    group size ``_cnt``.
+    Equivalent to ``row_number() over (partition by <by> order by hash, key) <= n`` without sorting
+    a group in one task. Two histograms find where a group's cut falls: one of the hash's top 16
+    bits, then one of the hashes inside the boundary bucket (each at most 65,536 rows a group). Only
+    the rows that share the boundary hash are ranked (about group / 2^32 rows), which gives one
+    (hash, key) per group; all rows are flagged by comparing with it, in one pass without a shuffle.
+    ``n`` is an int or a column over ``by`` and the group size ``_cnt``. Keys are not
+    null; rows that share the key at the cut stay together.
     """
     by = list(by)
-    h = hash_u32(key)
-    rows = df.withColumn("_h", h).withColumn("_hb", (F.col("_h") / F.lit(1 << HIST_SHIFT)).cast("bigint"))
-    # Three readers (histogram, settled rows, boundary rows): write the input once rather than
-    # recompute it per branch.
-    rows = materialize(rows, "hashed-rows")
-    hist = rows.groupBy(*by, "_hb").agg(F.count(F.lit(1)).alias("_bc"))
-    wcum = Window.partitionBy(*by).orderBy("_hb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wall = Window.partitionBy(*by)
-    hist = (
-        hist.withColumn("_cum", F.sum("_bc").over(wcum))
-        .withColumn("_cnt", F.sum("_bc").over(wall))
-    )
+    rows = df.withColumn("_h", hash_u32(key)).withColumn("_hb", F.shiftright("_h", HIST_SHIFT))
+    rows = materialize(rows, "hashed-rows")  # read by each level and by the final pass
     n_col = n if not isinstance(n, int) else F.lit(n)
-    hist = hist.withColumn("_n", n_col.cast("bigint")).withColumn("_before", F.col("_cum") - F.col("_bc"))
-    # bucket state: 2 = wholly inside, 1 = boundary (needs ranking), 0 = wholly outside
-    state = (
-        F.when(F.col("_cum") <= F.col("_n"), F.lit(2))
-        .when(F.col("_before") < F.col("_n"), F.lit(1))
-        .otherwise(F.lit(0))
-    )
-    hist = hist.select(*by, "_hb", state.alias("_state"), (F.col("_n") - F.col("_before")).alias("_left"))
-    # The histogram has at most 65,536 rows per group of ``by``; with no ``by`` it is bounded
-    # outright and broadcast, otherwise Spark sizes the join at run time.
-    hist = F.broadcast(hist) if not by else hist
-    tagged = rows.join(hist, [*by, "_hb"])
-    order = [F.col("_h")] + [F.col(k) for k in key]
-    wrank = Window.partitionBy(*by, "_hb").orderBy(*order)
-    boundary = tagged.where(F.col("_state") == 1).withColumn("_rk", F.row_number().over(wrank))
-    boundary = boundary.withColumn(name, F.col("_rk") <= F.col("_left")).drop("_rk")
-    settled = tagged.where(F.col("_state") != 1).withColumn(name, F.col("_state") == 2)
-    out = settled.unionByName(boundary)
-    return out.drop("_h", "_hb", "_state", "_left")
+
+    hist = rows.groupBy(*by, "_hb").agg(F.count(F.lit(1)).alias("_c"))
+    hist = hist.withColumn("_cnt", F.sum("_c").over(Window.partitionBy(*by))).withColumn("_left", n_col.cast("bigint"))
+    bucket = _boundary(hist, by, "_hb")
+    inside = _same(rows, bucket, [*by, "_hb"])
+    level2 = inside.groupBy(*by, "_h", "_left").agg(F.count(F.lit(1)).alias("_c"))
+    exact = _boundary(level2, by, "_h")
+    last = _same(rows, exact, [*by, "_h"])
+    place = Window.partitionBy(*by).orderBy(*key)
+    at = F.struct("_h", *key)
+    cut = last.withColumn("_rk", F.row_number().over(place)).where(F.col("_rk") == F.col("_left")).select(
+        *by, at.alias("_cut"))
+    if by:
+        match = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in by]
+        flagged = rows.alias("r").join(cut.alias("c"), match, "left").select("r.*", "_cut")
+    else:
+        flagged = rows.join(F.broadcast(cut), how="left")  # one row: the cut
+    return flagged.withColumn(name, F.coalesce(at <= F.col("_cut"), F.lit(False))).drop("_h", "_hb", "_cut")
+
+
+def _boundary(hist: DataFrame, by: list, bucket: str) -> DataFrame:
+    """(by, bucket, _left): the last bucket of each group that starts before ``_left`` rows are taken,
+    and how many of its rows still belong to them. ``hist`` has (by, bucket, _c, _left)."""
+    upto = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    before = hist.withColumn("_before", F.coalesce(F.sum("_c").over(upto), F.lit(0)))
+    started = before.where(F.col("_before") < F.col("_left"))
+    return started.groupBy(*by).agg(
+        F.max_by(F.struct(F.col(bucket), F.least(F.col("_left") - F.col("_before"), F.col("_c")).alias("_left")),
+                 F.col(bucket)).alias("_b")).select(*by, f"_b.{bucket}", "_b._left")
+
+
+def _same(rows: DataFrame, groups: DataFrame, cols: list) -> DataFrame:
+    """Rows whose ``cols`` equal (nulls too) a row of ``groups``, with its ``_left``."""
+    match = [F.col(f"r.{c}").eqNullSafe(F.col(f"g.{c}")) for c in cols]
+    return rows.alias("r").join(groups.alias("g"), match).select("r.*", "g._left")
 
 
 def split_positional(df: DataFrame, key: Sequence[str], n_train: int, name: str = "is_train") -> DataFrame:

@@ -144,8 +144,32 @@ def q_fmt_ffm_line(spark, sf):
     return e.select("row_key", "is_train", writers.ffm_line(_VALS, [f"{c}_idx" for c in CAT], "label").alias("line"))
 
 
+# ------------------------------------------------------------------ the test-file pass: no label column
+
+
+@query("fmt_ctr_unlabeled", _with(*_ENC) + "SELECT row_key, concat_ws(',', "
+       + ", ".join([S.trim(v) for v in _VALS] + [f"{c}_code" for c in CAT]) + ") AS line FROM coded")
+def q_fmt_ctr_unlabeled(spark, sf):
+    e = _encoded(spark, sf)
+    return e.select("row_key", writers.ctr_line(_VALS, [f"{c}_code" for c in CAT]).alias("line"))
+
+
+@query("fmt_fm_unlabeled", _with(*_ENC) + f"SELECT row_key, {_fm_sql(chr(39) + ' ' + chr(39), False)} AS line FROM coded")
+def q_fmt_fm_unlabeled(spark, sf):
+    e = _encoded(spark, sf)
+    return e.select("row_key", writers.fm_line(_VALS, [f"{c}_idx" for c in CAT]).alias("line"))
+
+
+@query("fmt_ffm_unlabeled", _with(*_ENC_FFM) + "SELECT row_key, concat_ws(chr(9), "
+       + ", ".join([f"'{i}:{i}:' || {S.trim(v)}" for i, v in enumerate(_VALS)]
+                   + [f"'{len(NUM) + j}:' || {c}_idx || ':1'" for j, c in enumerate(CAT)]) + ") AS line FROM coded")
+def q_fmt_ffm_unlabeled(spark, sf):
+    e = _encoded(spark, sf, CUTOFF_FFM)
+    return e.select("row_key", writers.ffm_line(_VALS, [f"{c}_idx" for c in CAT]).alias("line"))
+
+
 _SVM_SQL = ("concat_ws(' ', CAST(CASE WHEN label < 0.5 THEN -1 ELSE 1 END AS VARCHAR), "
-            + ", ".join(f"CASE WHEN {v} <> 0 THEN '{i}:' || {S.trim(v)} END" for i, v in enumerate(_VALS)) + ")")
+            + ", ".join(f"CASE WHEN {v} <> 0 THEN '{i}:' || {S.double_text(v)} END" for i, v in enumerate(_VALS)) + ")")
 
 
 @query("fmt_svmlight_line", _with(S.CLICKS, S.MINMAX, S.SCALED) + f"SELECT row_key, {_SVM_SQL} AS line FROM scaled")

@@ -17,6 +17,7 @@ K_NEIGHBORS = 10
 N_LIST = 50
 ICF_SWEEP = [5, 10, 20, 40, 80, 160]
 UCF_SWEEP = [5, 10, 20, 40, 80]
+P1_SWEEP = [5, 10, 20, 30, 40, 50]  # the single-machine scripts
 
 
 def _split(spark: SparkSession, sf: str):
@@ -143,17 +144,19 @@ def q_feat_training_table(spark, sf):
 
 # ------------------------------------------------------------------ histories and aggregates
 
-@query("agg_user_history", _with(S.INTER) + """SELECT user_id, item_id // 1024 AS chunk,
+@query("agg_user_history", _with(S.INTER) + """SELECT user_id, pos // 1024 AS chunk,
        string_agg(item_id || ':' || rating, ' ' ORDER BY item_id) AS history
-FROM interactions GROUP BY user_id, item_id // 1024""")
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY item_id) - 1 AS pos FROM interactions)
+GROUP BY user_id, pos // 1024""")
 def q_agg_user_history(spark, sf):
     h = history.user_history(tables.interactions(spark, sf))
     return h.select("user_id", "chunk", history.history_text("history", "item_id").alias("history"))
 
 
-@query("agg_item_history", _with(S.SPLIT) + """SELECT item_id, user_id // 1024 AS chunk,
+@query("agg_item_history", _with(S.SPLIT) + """SELECT item_id, pos // 1024 AS chunk,
        string_agg(user_id || ':' || rating, ' ' ORDER BY user_id) AS history
-FROM train GROUP BY item_id, user_id // 1024""")
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY user_id) - 1 AS pos FROM train)
+GROUP BY item_id, pos // 1024""")
 def q_agg_item_history(spark, sf):
     _, train, _ = _split(spark, sf)
     h = history.item_history(train)
@@ -373,6 +376,25 @@ _metric_query("eval_popularity", ["popularity"])
 _metric_query("eval_all_icf", ["precision", "recall", "coverage", "popularity"])
 _metric_query("eval_all_ucf", ["precision", "recall", "coverage", "popularity"], ucf=True)
 
+
+def _p1_query(ucf: bool):
+    """The single-machine scripts: damping 1, all test users with train rows, test catalog, popularity in rows."""
+    pipe = S.ucf_pipeline(K_NEIGHBORS, N_LIST, 1, elig=S.ELIG_ICF) if ucf else S.icf_pipeline(K_NEIGHBORS, N_LIST, 1)
+    sql = f"WITH {pipe},\n{S.metrics(N_LIST, 'test', False)}\nSELECT precision, recall, coverage, popularity FROM metrics"
+
+    @query("eval_all_ucf_p1" if ucf else "eval_all_icf_p1", sql)
+    def q(spark, sf):
+        train, test, topk, _ = (_ucf if ucf else _icf)(spark, sf, K_NEIGHBORS, 1)
+        users = recommend.eligible_users_icf(train, test)
+        recs = (recommend.recommend_user_cf if ucf else recommend.recommend_item_cf)(train, topk, users, N_LIST)
+        return evaluate.list_metrics(recs, train, test, users, N_LIST, "test", pop_distinct=False)
+
+    return q
+
+
+_p1_query(False)
+_p1_query(True)
+
 _AP_SQL = """ap_run AS (SELECT user_id, rank, hit, sum(hit) OVER (PARTITION BY user_id ORDER BY rank
                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM hits),
 ap_user AS (SELECT e.user_id,
@@ -407,49 +429,52 @@ def q_eval_dcg(spark, sf):
     return evaluate.mean_of(evaluate.dcg(recs, users), "dcg", "mean_dcg")
 
 
-def _sweep_sql(ucf: bool, ks: list[int]) -> str:
+def _sweep_sql(ucf: bool, ks: list[int], scripts: bool) -> str:
     kmax = max(ks)
+    p = 1 if scripts else 2
     entity, context, norm = ("user_id", "item_id", False) if ucf else ("item_id", "user_id", True)
     kv = ", ".join(f"({k})" for k in ks)
     scores = S.ucf_scores(src="topk_k", by="k") if ucf else S.icf_scores(src="topk_k", by="k")
-    ctes = [S.SPLIT, S.sims(entity, context, 2, norm), S.topk(entity, kmax),
+    ctes = [S.SPLIT, S.sims(entity, context, p, norm), S.topk(entity, kmax),
             f"topk_k AS (SELECT ks.k, t.* FROM topk t JOIN (VALUES {kv}) ks(k) ON t.rank <= ks.k)",
-            S.ELIG_UCF if ucf else S.ELIG_ICF, scores,
+            S.ELIG_UCF if ucf and not scripts else S.ELIG_ICF, scores,
             S.topn(N_LIST, "key_desc" if ucf else "item_asc", by="k"),
-            """pop AS (SELECT item_id, count(DISTINCT user_id) AS popularity FROM train GROUP BY item_id)""",
+            S.popularity(distinct=not scripts),
             """per_k AS (SELECT r.k, sum(CASE WHEN t.item_id IS NULL THEN 0 ELSE 1 END) AS hits, count(*) AS n_rec,
                        count(DISTINCT r.item_id) AS rec_items, sum(ln(1 + coalesce(p.popularity, 0))) AS pop
                 FROM recs r LEFT JOIN test t ON t.user_id = r.user_id AND t.item_id = r.item_id
                 LEFT JOIN pop p ON p.item_id = r.item_id GROUP BY r.k)""",
-            """fx AS (SELECT (SELECT count(*) FROM elig) AS n_users,
+            f"""fx AS (SELECT (SELECT count(*) FROM elig) AS n_users,
                     (SELECT count(*) FROM test WHERE user_id IN (SELECT user_id FROM elig)) AS n_test,
-                    (SELECT count(DISTINCT item_id) FROM train WHERE user_id IN (SELECT user_id FROM elig)) AS cat_items)"""]
-    return _with(*ctes) + f"""SELECT k,
-       round(CASE WHEN n_users = 0 THEN 0.0 ELSE hits / (n_users * {N_LIST}.0) END, 6) AS precision,
-       round(CASE WHEN n_test = 0 THEN 0.0 ELSE hits / CAST(n_test AS DOUBLE) END, 6) AS recall,
-       round(CASE WHEN cat_items = 0 THEN 0.0 ELSE rec_items / CAST(cat_items AS DOUBLE) END, 6) AS coverage,
-       round(CASE WHEN n_rec = 0 THEN 0.0 ELSE pop / n_rec END, 6) AS popularity
-FROM per_k, fx"""
+                    (SELECT count(*) FROM ({S.catalog_items("test" if scripts else "train")})) AS cat_items)"""]
+    return _with(*ctes) + f"""SELECT ks.k,
+       round(CASE WHEN n_users = 0 THEN 0.0 ELSE coalesce(hits, 0) / (n_users * {N_LIST}.0) END, 6) AS precision,
+       round(CASE WHEN n_test = 0 THEN 0.0 ELSE coalesce(hits, 0) / CAST(n_test AS DOUBLE) END, 6) AS recall,
+       round(CASE WHEN cat_items = 0 THEN 0.0 ELSE coalesce(rec_items, 0) / CAST(cat_items AS DOUBLE) END, 6) AS coverage,
+       round(coalesce(pop / n_rec, 0.0), 6) AS popularity
+FROM (VALUES {kv}) ks(k) LEFT JOIN per_k ON per_k.k = ks.k CROSS JOIN fx"""
 
 
-@query("eval_k_sweep_icf", _sweep_sql(False, ICF_SWEEP))
-def q_eval_k_sweep_icf(spark, sf):
-    _, train, test = _split(spark, sf)
-    topk = similarity.item_neighbors(train, max(ICF_SWEEP), 2)
-    users = recommend.eligible_users_icf(train, test)
-    scores = recommend.sweep_scores(train, topk, ICF_SWEEP, users, mode="item")
-    recs = recommend.top_n(scores, N_LIST, "item_asc", by=("k",))
-    return evaluate.sweep_metrics(recs, train, test, users, ICF_SWEEP, N_LIST)
+def _sweep_query(name: str, ucf: bool, ks: list[int], scripts: bool = False):
+    """List metrics for every k, as the Spark scripts or (``scripts``) the single-machine ones define them."""
 
+    @query(name, _sweep_sql(ucf, ks, scripts))
+    def q(spark, sf):
+        train, test, topk, users = (_ucf if ucf else _icf)(spark, sf, max(ks), 1 if scripts else 2)
+        if scripts:
+            users = recommend.eligible_users_icf(train, test)
+        scores = recommend.sweep_scores(train, topk, ks, users, mode="user" if ucf else "item")
+        recs = recommend.top_n(scores, N_LIST, "key_desc" if ucf else "item_asc", by=("k",))
+        return evaluate.sweep_metrics(recs, train, test, users, ks, N_LIST, "test" if scripts else "train",
+                                      pop_distinct=not scripts)
 
-@query("eval_k_sweep_ucf", _sweep_sql(True, UCF_SWEEP))
-def q_eval_k_sweep_ucf(spark, sf):
-    _, train, test = _split(spark, sf)
-    topk = similarity.user_neighbors(train, max(UCF_SWEEP), 2)
-    users = recommend.eligible_users_ucf(topk, test)
-    scores = recommend.sweep_scores(train, topk, UCF_SWEEP, users, mode="user")
-    recs = recommend.top_n(scores, N_LIST, "key_desc", by=("k",))
-    return evaluate.sweep_metrics(recs, train, test, users, UCF_SWEEP, N_LIST)
+    return q
+
+
+_sweep_query("eval_k_sweep_icf", False, ICF_SWEEP)
+_sweep_query("eval_k_sweep_ucf", True, UCF_SWEEP)
+_sweep_query("eval_k_sweep_icf_p1", False, P1_SWEEP, scripts=True)
+_sweep_query("eval_k_sweep_ucf_p1", True, P1_SWEEP, scripts=True)
 
 
 # ------------------------------------------------------------------ co-occurrence

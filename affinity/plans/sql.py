@@ -92,16 +92,25 @@ def icf_pipeline(k: int = 10, n: int = 50, p: float = 2) -> str:
                        icf_scores(), topn(n, "item_asc"), HITS])
 
 
-def ucf_pipeline(k: int = 10, n: int = 50, p: float = 2, normalize: bool = False) -> str:
-    return ",\n".join([SPLIT, sims("user_id", "item_id", p, False), topk("user_id", k), ELIG_UCF,
+def ucf_pipeline(k: int = 10, n: int = 50, p: float = 2, normalize: bool = False, elig: str = ELIG_UCF) -> str:
+    return ",\n".join([SPLIT, sims("user_id", "item_id", p, False), topk("user_id", k), elig,
                        ucf_scores(normalize=normalize), topn(n, "key_desc"), HITS])
 
 
-def metrics(n: int = 50, catalog: str = "train") -> str:
+def catalog_items(catalog: str) -> str:
+    return ("SELECT DISTINCT item_id FROM train WHERE user_id IN (SELECT user_id FROM elig)" if catalog == "train"
+            else "SELECT DISTINCT item_id FROM test WHERE user_id IN (SELECT user_id FROM train)")
+
+
+def popularity(distinct: bool) -> str:
+    n = "count(DISTINCT user_id)" if distinct else "count(*)"
+    return f"pop AS (SELECT item_id, {n} AS popularity FROM train GROUP BY item_id)"
+
+
+def metrics(n: int = 50, catalog: str = "train", pop_distinct: bool = True) -> str:
     """One-row precision / recall / coverage / popularity over ``recs`` / ``elig``."""
-    cat = ("SELECT DISTINCT item_id FROM train WHERE user_id IN (SELECT user_id FROM elig)" if catalog == "train"
-           else "SELECT DISTINCT item_id FROM test WHERE user_id IN (SELECT user_id FROM train)")
-    return f"""pop AS (SELECT item_id, count(DISTINCT user_id) AS popularity FROM train GROUP BY item_id),
+    cat = catalog_items(catalog)
+    return f"""{popularity(pop_distinct)},
 m_hits AS (SELECT coalesce(sum(hit), 0) AS hits, count(*) AS n_rec, count(DISTINCT item_id) AS rec_items,
                   sum(ln(1 + coalesce(p.popularity, 0))) AS pop
            FROM hits h LEFT JOIN pop p USING (item_id)),
@@ -145,6 +154,10 @@ def trim(x: str) -> str:
     return f"regexp_replace(CAST(CAST({x} AS DECIMAL(38,6)) AS VARCHAR), '\\.?0+$', '')"
 
 
+def double_text(x: str) -> str:
+    return f"regexp_replace(CAST(CAST({x} AS DOUBLE) AS VARCHAR), '\\.0$', '')"
+
+
 SCALED = "scaled AS (SELECT clicks.*, " + ", ".join(f"{scaled(c)} AS {c}_s" for c in NUMS) + " FROM clicks, mm)"
 
 

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.functions.columns import trim_decimal
+from affinity.functions.columns import double_text, trim_decimal
 
 
 def _c(x) -> Column:
@@ -47,8 +47,8 @@ def ffm_line(values: Sequence, indexes: Sequence, label=None, sep: str = "\t") -
 
 
 def svmlight_line(target, features: Sequence) -> Column:
-    """Zero-based ``idx:val`` for the non-zero features only."""
-    items = [F.when(_c(f) != 0, F.concat(F.lit(f"{i}:"), trim_decimal(_c(f)))) for i, f in enumerate(features)]
+    """Zero-based ``idx:val`` for the non-zero features only, values with all digits of the double."""
+    items = [F.when(_c(f) != 0, F.concat(F.lit(f"{i}:"), double_text(_c(f)))) for i, f in enumerate(features)]
     return F.concat_ws(" ", _c(target).cast("string"), *items)  # concat_ws skips NULLs
 
 

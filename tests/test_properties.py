@@ -86,12 +86,12 @@ def test_sweep_scores_match_per_k(inter):
         assert got.exceptAll(one).count() == 0 and one.exceptAll(got).count() == 0
 
 
-def test_rank_rows_both_plans_agree(spark):
-    from affinity.operators.ranking import rank_rows
+def test_global_rank_without_groups_and_with_run_time_partitions(spark):
     df = spark.range(0, 3000).select((F.col("id") * 7919 % 3000).alias("v"), (F.col("id") % 4).alias("g"))
-    small = rank_rows(df, [F.col("v")], by=["g"], name="r")  # window plan
-    large = rank_rows(df, [F.col("v")], by=["g"], name="r", max_window_rows=10)  # range-partitioned plan
-    assert sorted(map(tuple, small.select("g", "v", "r").collect())) == sorted(map(tuple, large.select("g", "v", "r").collect()))
+    assert all(r["r"] == r["v"] + 1 for r in global_rank(df, [F.col("v")], name="r").collect())
+    ranked = global_rank(df, [F.col("v")], by=["g"], name="r").collect()
+    values = {g: sorted(r["v"] for r in ranked if r["g"] == g) for g in range(4)}
+    assert len(ranked) == 3000 and all(values[r["g"]][r["r"] - 1] == r["v"] for r in ranked)
 
 
 def test_cooccurrence_independent_of_blocking(spark):

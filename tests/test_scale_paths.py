@@ -5,7 +5,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from affinity.operators import cooccur, features, recommend
+from affinity.operators import cooccur, evaluate, features, history, recommend, split
 from affinity.sources import readers, tables
 from affinity.sources import writers
 
@@ -70,3 +70,43 @@ def test_thirteen_numeric_and_twenty_six_category_columns(spark):
     coded = coded.select("*", *features.global_index_columns(cat, offsets, base=13))
     line = coded.select(writers.fm_line(num, [f"{c}_idx" for c in cat], "label").alias("line")).first().line.split(" ")
     assert len(line) == 40 and line[0] == "1" and line[14] == "14:1" and line[-1] == f"{13 + 25 * 2 + 1}:1"
+
+
+def test_history_chunks_are_full_but_the_last(spark):
+    rows = spark.range(0, 500).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id") % 7 + 2).alias("user_id"),
+                                      (F.col("id") * 1_000_003).alias("item_id"), F.lit(3).alias("rating"))
+    got = {(r["user_id"], r["chunk"]): [e["item_id"] for e in r["history"]]
+           for r in history.user_history(rows, chunk=7).collect()}
+    for user in {u for u, _ in got}:
+        chunks = [got[user, c] for c in sorted(c for u, c in got if u == user)]
+        assert all(len(c) == 7 for c in chunks[:-1]) and 0 < len(chunks[-1]) <= 7
+        flat = [i for c in chunks for i in c]
+        assert flat == sorted(r["item_id"] for r in rows.where(F.col("user_id") == user).collect())
+
+
+def test_sweep_reports_a_k_without_recommendations(spark):
+    recs = spark.createDataFrame([(5, 1, 10)], "k int, user_id long, item_id long")
+    train = spark.createDataFrame([(1, 9, 3)], "user_id long, item_id long, rating int")
+    test = spark.createDataFrame([(1, 10, 3)], "user_id long, item_id long, rating int")
+    got = {r["k"]: r for r in evaluate.sweep_metrics(recs, train, test, train.select("user_id"), [5, 7], 50).collect()}
+    assert got[5]["recall"] == 1.0 and tuple(got[7])[1:] == (0.0, 0.0, 0.0, 0.0)
+
+
+def test_svmlight_values_read_back_as_the_same_doubles(spark):
+    values = [0.9795975134490658, 1e-7, 0.1, 1 / 3, 1e-4, 9.999e-5, 5e-324, 1.7976931348623157e308, 1e16, 12345678.9,
+              9007199254740993.0, 0.001, 2.0, -0.25, -3e-9, 100.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    lines = df.select("i", writers.svmlight_line(F.lit(1), ["v"]).alias("line")).collect()
+    assert [float(r["line"].split(":")[1]) for r in sorted(lines)] == values
+    assert {r["i"]: r["line"] for r in lines}[15] == "1 0:100"
+    assert df.select(writers.svmlight_line(F.lit(1), [F.lit(0.0)]).alias("l")).first()["l"] == "1"
+
+
+def test_cut_with_a_null_stratum_and_tied_keys(spark):
+    df = spark.range(0, 2000).select(F.floor(F.col("id") / 2).alias("k"), F.when(F.col("id") % 5 > 0, F.lit("a")).alias("g"))
+    got = split.first_n_by_hash(df, ["k"], 100, by=["g"])
+    assert got.count() == 2000
+    for r in got.where("is_first").groupBy("g").count().collect():
+        assert 100 <= r["count"] <= 101  # rows with the cut's own key stay together
+    assert split.first_n_by_hash(df, ["k"], 0).where("is_first").count() == 0
+    assert split.first_n_by_hash(df, ["k"], 5000).where("is_first").count() == 2000
