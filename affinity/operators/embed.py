@@ -46,16 +46,16 @@ def as_vectors(long: DataFrame, row: str = "user_id", dim: str = "dim", value: s
     )
 
 
-def value_weighted(values: DataFrame, table: DataFrame, row: str, field: str, value: str, fields: list[int],
+def value_weighted(values: DataFrame, table: DataFrame, row: str, field: str, value: str,
                    table_id: str = "vec_id", vec: str = "embedding") -> DataFrame:
     """per (row, field) the field's embedding scaled by the field's value, no sum.
 
-    ``values`` is long (row, field, value) with ``field`` the embedding row id. The result
-    keeps the vector as an array, each entry rounded to 6 places.
+    ``values`` is long (row, field, value) with ``field`` the embedding row id; rows whose field has
+    no embedding are left out. The result keeps the vector as an array, each entry rounded to 6 places.
     """
-    emb = table.where(F.col(table_id).isin(list(fields))).select(F.col(table_id).alias(field), F.col(vec).alias("_e"))
-    # Only the rows of the listed fields are kept: at most len(fields) vectors, broadcast.
-    joined = values.join(F.broadcast(emb), field)
-    return joined.select(
+    emb = table.select(F.col(table_id).alias(field), F.col(vec).alias("_e"))
+    # few fields meet a large table: only the vectors that some row uses enter the join
+    used = emb.join(values.select(field).distinct(), field, "left_semi")
+    return values.join(used, field).select(
         row, field, F.transform("_e", lambda x: F.round(x.cast("double") * F.col(value), DIGITS)).alias("weighted")
     )

@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from affinity.functions.columns import trim_decimal
-from affinity.operators import embed
+from affinity.operators import embed, features
 from affinity.plans.registry import query
 from affinity.sources import tables
 
-# Event types in field order; field f uses embedding row f.
-EVENT_FIELDS = ["click", "error", "purchase", "signup", "view"]
-
 
 @query("emb_dense_to_sparse", """SELECT vec_id, CAST(i - 1 AS INTEGER) AS idx, round(CAST(embedding[i] AS DOUBLE), 6) AS value
 FROM (SELECT vec_id, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)
@@ -32,18 +29,15 @@ def q_emb_bag_sum(spark, sf):
     return embed.bag_sum(tables.event_ids(spark, sf), tables.embedding_table(spark, sf))
 
 
-_CASE = "CASE event_type " + " ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(EVENT_FIELDS)) + " END"
-
-
-@query("emb_value_weighted", f"""SELECT e.event_id, e.field,
+@query("emb_value_weighted", """SELECT e.event_id, e.field,
        array_to_string(list_transform(m.embedding, lambda x:
            regexp_replace(CAST(CAST(round(CAST(x AS DOUBLE) * e.value, 6) AS DECIMAL(38,6)) AS VARCHAR), '\\.?0+$', '')), ',') AS weighted
-FROM (SELECT event_id, value, {_CASE} AS field FROM events) e JOIN embeddings m ON m.vec_id = e.field""")
+FROM (SELECT event_id, value, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS field FROM events
+      WHERE event_type IS NOT NULL) e JOIN embeddings m ON m.vec_id = e.field""")
 def q_emb_value_weighted(spark, sf):
-    ev = tables.load(spark, sf, "events")
-    field = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(i)) for i, t in enumerate(EVENT_FIELDS)])
-    vals = ev.select("event_id", field.cast("bigint").alias("field"), "value")
-    w = embed.value_weighted(vals, tables.embedding_table(spark, sf), "event_id", "field", "value",
-                             fields=list(range(len(EVENT_FIELDS))))
+    """The field of an event is its type's place in alphabetical order; field f uses embedding row f."""
+    ev = features.label_encode(tables.load(spark, sf, "events").select("event_id", "event_type", "value"),
+                               "event_type", "field")
+    w = embed.value_weighted(ev, tables.embedding_table(spark, sf), "event_id", "field", "value")
     return w.select("event_id", F.col("field").cast("int").alias("field"),
                     F.array_join(F.transform("weighted", lambda x: trim_decimal(x)), ",").alias("weighted"))

@@ -24,3 +24,13 @@ def test_shards_have_headers(spark):
     assert len(files) == 3
     assert all(open(f).readline().strip() == "k,v" for f in files)
     assert readers.read_csv(spark, d + "/s", schema="k long, v long").count() == 100
+
+
+def test_ordered_shards_keep_the_order(spark):
+    d = tempfile.mkdtemp(prefix="affinity-rt-")
+    df = spark.range(300).select((F.col("id") * 7919 % 300).alias("k"))
+    writers.write_shards(df, d + "/s", 3, ordered_by=["k"])
+    import glob
+    shards = [open(f).read().split() for f in sorted(glob.glob(d + "/s/part-*.csv"))]
+    assert len(shards) == 3 and all(s[0] == "k" for s in shards)
+    assert [int(v) for s in shards for v in s[1:]] == list(range(300))
