@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.llm.common import materialize, text_or_empty
@@ -41,6 +41,8 @@ BASE_RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", 1, r"[0-9a-f]{16,}", 0, 16),  # runs are maximal, so shorter ones can be passed over
 )
+#: Findings of a text that are gathered at a time.
+BLOCK = 256
 SPAN = "array<struct<start:int,rule:int,end:int>>"
 LEDGER = f"blob binary, kind string, version int, spans {SPAN}"
 
@@ -50,8 +52,16 @@ def blob_name(text: Column) -> Column:
     return F.unhex(F.sha2(text_or_empty(text), 256))
 
 
-def _spans(rule: Rule, number: int, parts: Column, found: Column) -> Column:
-    """Spans of the matches that count, from the text between matches and the matches themselves."""
+def _blocks(items: Column) -> Column:
+    """``items`` (a plain column) cut into arrays of at most ``BLOCK`` entries; null for null. A fold copies what it
+    has gathered at every step, so it runs inside a block: a text with very many findings doesn't cost their square."""
+    starts = F.sequence(F.lit(0), F.floor(F.size(items) / BLOCK).cast("int"))  # the last block may be empty
+    return F.when(items.isNotNull(), F.transform(starts, lambda b: F.slice(items, b * BLOCK + 1, BLOCK)))
+
+
+def _block_spans(rule: Rule, number: int, blocks: Column) -> Column:
+    """(at, spans) of each block of pairs (text before a match, match or null at the end): its length, and
+    the spans of the matches that count, from the block's beginning."""
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["parts"])
@@ -62,8 +72,25 @@ def _spans(rule: Rule, number: int, parts: Column, found: Column) -> Column:
         return F.when(x["found"].isNull(), acc).otherwise(F.struct(end.alias("at"), spans.alias("spans")))
 
     first = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
-    zipped = F.arrays_zip(parts.alias("parts"), found.alias("found"))
-    return F.when(parts.isNull(), F.array().cast(SPAN)).otherwise(F.aggregate(zipped, first, step)["spans"])
+    return F.transform(blocks, lambda block: F.aggregate(block, first, step))
+
+
+def _block_starts(blocks: Column) -> Column:
+    """Where each block begins in the text."""
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    return F.aggregate(blocks, first, lambda acc, x: F.struct(
+        (acc["at"] + x["at"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")
+    ))["starts"]
+
+
+def _spans(blocks: Column) -> Column:
+    """The spans of all blocks, from the beginning of the text; none for null."""
+    placed = F.transform(F.arrays_zip(blocks.alias("block"), _block_starts(blocks).alias("at")), lambda z: F.transform(
+        z["block"]["spans"], lambda s: F.struct(
+            (z["at"] + s["start"]).alias("start"), s["rule"].alias("rule"), (z["at"] + s["end"]).alias("end")
+        )
+    ))
+    return F.coalesce(F.flatten(placed), F.array().cast(SPAN))
 
 
 def find(texts: DataFrame, rules=BASE_RULES, text: str = "text", due: Column | None = None) -> DataFrame:
@@ -74,13 +101,15 @@ def find(texts: DataFrame, rules=BASE_RULES, text: str = "text", due: Column | N
         hit = F.col(text).rlike(r.pattern)
         if due is not None:
             hit = hit & F.array_contains(due, r.kind)
-        cut = cut.withColumn(f"_parts_{r.kind}", F.when(hit, F.split(text, r.pattern, -1)))
-        cut = cut.withColumn(f"_found_{r.kind}", F.when(hit, F.regexp_extract_all(text, F.lit(r.pattern), F.lit(0))))
+        parts = F.split(text, r.pattern, -1).alias("parts")
+        found = F.regexp_extract_all(text, F.lit(r.pattern), F.lit(0)).alias("found")
+        cut = cut.withColumn(f"_cut_{r.kind}", F.when(hit, F.arrays_zip(parts, found)))
+    for number, r in enumerate(rules):
+        cut = cut.withColumn(f"_blocks_{r.kind}", _block_spans(r, number, _blocks(F.col(f"_cut_{r.kind}"))))
     keep = [F.col(c) for c in texts.columns if c != text]
     out = []
-    for number, r in enumerate(rules):
-        parts, found = F.col(f"_parts_{r.kind}").alias("parts"), F.col(f"_found_{r.kind}").alias("found")
-        spans = _spans(r, number, parts, found)
+    for r in rules:
+        spans = _spans(F.col(f"_blocks_{r.kind}"))
         out.append((spans if due is None else F.when(F.array_contains(due, r.kind), spans)).alias(f"spans_{r.kind}"))
     return cut.select(*keep, *out)
 
@@ -142,22 +171,35 @@ def span_count(spans: Column, rule: int) -> Column:
 def redact(docs: DataFrame, findings: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of a text replaced by ``mask`` (overlapping spans by one); ``n_chars``, if it is
     a column, is counted anew for texts that change. Texts without findings stay as they are."""
-    hits = findings.where(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("_spans"))
-    joined = docs.withColumn("_blob", blob_name(F.col("text"))).join(hits.withColumnRenamed("blob", "_hit"),
-                                                                    F.col("_blob") == F.col("_hit"), "left")
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substr(F.col("text"), acc["at"] + 1, s["start"] - acc["at"])
-        return (
-            F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, F.lit(mask)).alias("out")))
-            .otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
-        )
-
-    masked = F.aggregate(
-        "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda acc: F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1, F.length("text"))),
+    hits = findings.where(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("spans"))
+    in_text = Window.partitionBy("blob").orderBy("place")
+    ends = hits.select("blob", F.posexplode("spans").alias("place", "s")).select(
+        "blob", "s.start", "s.end",
+        F.coalesce(F.max("s.end").over(in_text.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("from"),
+    )
+    # gaps: what stays before each mask; a span that begins inside an earlier one has none
+    gap = F.when(F.col("start") >= F.col("from"), F.struct("from", F.col("start").alias("to")))
+    gaps = ends.groupBy(F.col("blob").alias("_hit")).agg(
+        F.array_sort(F.collect_list(gap)).alias("_gaps"), F.max("end").alias("_tail")
+    )
+    joined = docs.withColumn("_blob", blob_name(F.col("text"))).join(gaps, F.col("_blob") == F.col("_hit"), "left")
+
+    def stretch(block: Column) -> Column:
+        # a block's part of the text, so that a gap isn't sought from the beginning of a long text
+        low = F.coalesce(F.get(block, F.lit(0))["from"], F.lit(0))
+        high = F.coalesce(F.try_element_at(block, F.greatest(F.size(block), F.lit(1)))["to"], F.lit(0))
+        return F.struct(low.alias("low"), F.substr(F.col("text"), low + 1, high - low).alias("text"), block.alias("gaps"))
+
+    def pieces(x: Column) -> Column:
+        return F.array_join(F.transform(
+            x["gaps"], lambda g: F.concat(F.substr(x["text"], g["from"] - x["low"] + 1, g["to"] - g["from"]), F.lit(mask))
+        ), "")
+
+    masked = F.concat(
+        F.array_join(F.transform(F.transform(_blocks(F.col("_gaps")), stretch), pieces), ""),
+        F.substr(F.col("text"), F.col("_tail") + 1, F.length("text")),
     )
-    changed = F.col("_spans").isNotNull()
+    changed = F.col("_gaps").isNotNull()
     out = joined.withColumn("_masked", F.when(changed, masked).otherwise(F.col("text")))
     cols = {"text": F.col("_masked")}
     if "n_chars" in docs.columns:

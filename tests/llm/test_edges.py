@@ -195,6 +195,33 @@ def test_quality_rules(spark, docs, clashing, empty, monkeypatch):
     assert quality_rules.judge(docs, good.limit(0)).count() == len(TEXTS)
 
 
+def test_secrets_very_many_findings(spark):
+    """More findings than a block holds, overlapping ones across its edge: spans and masks against a plain loop."""
+    import re
+
+    words = [("é token=%024x" if i % 3 else "%032x, AKIA%020d") % ((i,) if i % 3 else (i * 7, i)) for i in range(700)]
+    texts = ["\n".join(words), "x" + "0" * 40, "\n".join(words[:257]) + " end", "none"]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars int")
+    findings, _ = secrets.scan(docs)
+    got = {r.doc_id: [(s.start, s.rule, s.end) for s in r.spans] for r in findings.collect()}
+    masked = {r.doc_id: (r.text, r.n_chars) for r in secrets.redact(docs, findings).collect()}
+    for i, text in enumerate(texts):
+        want = sorted(
+            (m.start(), k, m.end())
+            for k, r in enumerate(secrets.BASE_RULES)
+            for m in re.finditer(r.pattern, text) if len(m.group(r.group)) >= r.at_least
+        )
+        assert got[i] == want
+        out, at = "", 0
+        for start, _, end in want:
+            if start >= at:
+                out += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        out += text[at:]
+        assert masked[i] == (out, len(out))
+    assert len(got[0]) > 4 * secrets.BLOCK - 100 and not got[3]
+
+
 def test_secrets_ledger_and_redaction(spark, docs, clashing, empty):
     findings, new = secrets.scan(clashing)
     rows = findings.select("doc_id", secrets.span_text(findings.spans).alias("s")).collect()
