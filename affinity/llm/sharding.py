@@ -10,7 +10,7 @@ puts them.
 Who overflows depends on counts alone: the arcs (shards x points of them, whatever the input)
 are counted by a grouped aggregate, the driver lets the arcs' counts overflow clockwise, and the result
 is a table of rank ranges (arc, from, to) -> shard. A row's rank in its arc is its rank in one of
-``lanes`` equal parts of the arc, plus the rows of the lanes before it, so that an arc (or a key
+``lanes`` equal parts of the arc (more parts for more rows), plus the rows of the lanes before it, so that an arc (or a key
 that a third of all rows share) is ranked by many tasks.
 """
 
@@ -26,7 +26,9 @@ from affinity.llm.common import materialize
 
 SHARDS = 16
 POINTS = 64
+#: An arc is ranked in at least LANES parts, of at most about LANE_ROWS rows each even if it holds every row.
 LANES = 32
+LANE_ROWS = 1_000_000
 #: The ring in equal cells, for the lookup of a position's arc.
 CELL_BITS = 20
 
@@ -80,7 +82,7 @@ def overflow(nodes: list[tuple[int, int]], counts: dict[int, int], shards: int)
     return out
 
 
-def assign(docs: DataFrame, shards: int = SHARDS, points: int = POINTS, lanes: int = LANES,
+def assign(docs: DataFrame, shards: int = SHARDS, points: int = POINTS, lanes: int = LANES, lane_rows: int = LANE_ROWS,
            doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot): one row per row of ``docs``; slots count from 0 in each shard.
 
@@ -97,13 +99,15 @@ def assign(docs: DataFrame, shards: int = SHARDS, points: int = POINTS, lanes: i
         (F.octet_length(body) + 1).cast("bigint").alias("size"),
         F.crc32(body).alias("text_crc32"),
         position.alias("position"),
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(lanes)).cast("int").alias("lane"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("spread"),
     )
     on_arc = (
         slim.withColumn("cell", F.shiftright("position", CELL_BITS)).join(F.broadcast(cells), "cell")
-        .where("position BETWEEN lo AND hi").select("doc_id", "size", "text_crc32", "arc", "lane")
+        .where("position BETWEEN lo AND hi").select("doc_id", "size", "text_crc32", "arc", "spread")
     )
     rows = materialize(on_arc, "ring-rows")  # written once: a row keeps its lane however often it is read
+    lanes = max(lanes, -(-rows.count() // lane_rows))
+    rows = rows.withColumn("lane", F.pmod("spread", F.lit(lanes)).cast("int"))
     by_lane = rows.groupBy("arc", "lane").agg(F.count("*").alias("n"))  # at most shards * points * lanes rows
     ahead = Window.partitionBy("arc").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
     by_lane = materialize(by_lane.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0))), "ring-lanes")
@@ -112,7 +116,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, points: int = POINTS, lanes: i
     in_lane = Window.partitionBy("arc", "lane").orderBy("doc_id", "text_crc32", "size")
     ranked = (
         rows.withColumn("rank", F.row_number().over(in_lane) - 1)
-        .join(F.broadcast(by_lane.select("arc", "lane", "before")), ["arc", "lane"])
+        .join(by_lane.select("arc", "lane", "before"), ["arc", "lane"])  # partitioned as the ranks are, if not small
         .withColumn("rank", F.col("rank") + F.col("before"))
     )
     placed = ranked.join(F.broadcast(ranges), "arc").where("rank >= `from` AND rank < `to`")

@@ -55,7 +55,8 @@ def labelled_grams(docs: DataFrame, ids: DataFrame, bits: int, pairs: bool, max_
     """Gram ids and labels of a bounded set of documents, gathered for a fit on the driver.
 
     ``ids(doc_id, label)`` holds a bounded number of rows, so it is broadcast. Documents of more
-    than ``max_chars`` characters aren't used to fit (every document is scored whole).
+    than ``max_chars`` characters aren't used to fit (every document is scored whole). An id that many
+    rows share counts once, by its smallest grams, so what reaches the driver is bounded by ``ids``.
     Returns (list of id arrays, array of labels), in order of (doc_id, label, ids).
     """
 
@@ -65,7 +66,8 @@ def labelled_grams(docs: DataFrame, ids: DataFrame, bits: int, pairs: bool, max_
 
     rows = (
         docs.select("doc_id", "text").where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars)
-        .join(F.broadcast(ids), "doc_id").select("doc_id", "label", grams("text").alias("grams")).collect()
+        .join(F.broadcast(ids), "doc_id").select("doc_id", "label", grams("text").alias("grams"))
+        .groupBy("doc_id", "label").agg(F.min("grams").alias("grams")).collect()
     )
     rows.sort(key=lambda r: (r.doc_id, r.label, bytes(r.grams)))
     return [np.frombuffer(bytes(r.grams), dtype=np.uint32) for r in rows], np.array([r.label for r in rows], dtype=int)

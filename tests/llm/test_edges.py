@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from affinity.llm import bpe, embeddings, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity, url_filter
+from affinity.llm import bpe, embeddings, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, text_features, toxicity, url_filter
 from affinity.llm.components import component_roots
 from affinity.llm.queries import TOKENIZER
 from tests.llm.test_queries import brute_components, brute_simhash
@@ -102,9 +102,18 @@ def test_sharding(spark, docs, clashing, empty):
         assert max(counts.values()) - min(counts[s] for s in range(4)) <= 1
     assert sharding.assign(empty).count() == 0
     one_key = frame(spark, [(9, f"t{k % 3}", "en", "a") for k in range(400)])
-    rows = sharding.assign(one_key).collect()
-    assert set(collections.Counter(r.shard for r in rows).values()) == {25}
-    assert {(r.shard, r.slot) for r in rows} == {(s, k) for s in range(16) for k in range(25)}
+    for more in ({}, {"lanes": 1, "lane_rows": 7}):  # the second ranks the one arc in 58 lanes
+        rows = sharding.assign(one_key, **more).collect()
+        assert set(collections.Counter(r.shard for r in rows).values()) == {25}
+        assert {(r.shard, r.slot) for r in rows} == {(s, k) for s in range(16) for k in range(25)}
+
+
+def test_an_id_that_many_rows_share_counts_once_in_a_fit(spark):
+    rows = frame(spark, [(9, f"text {k}", "en", "a") for k in range(50)] + [(3, "other", "en", "a")])
+    ids_ = spark.createDataFrame([(9, 1), (3, 0), (4, 0)], "doc_id long, label int")
+    grams, label = text_features.labelled_grams(rows, ids_, 16, True, 1000)
+    assert label.tolist() == [0, 1]
+    assert grams[1].tobytes() == min(text_features.gram_ids(f"text {k}", 16, True).tobytes() for k in range(50))
 
 
 def test_url_filter(spark):
