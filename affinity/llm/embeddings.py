@@ -4,9 +4,9 @@
    (label, vector) points with a count, so a vector copied into a third of all rows is
    one point.
 2. The points of a label are cut into shards of about ``SHARD_POINTS`` by a hash. Each shard builds a
-   graph, links its own points, and audits itself: the links of a sample of its points are
-   found by brute force, and the beam doubles until ``AUDIT_RECALL`` of them are found (a beam as wide as the
-   shard is exhaustive). The graph is written to the checkpoint folder.
+   graph, links its own points, and audits itself: points are drawn until enough have a link, their links with
+   other points are found by brute force, and the beam doubles until such a point finds ``AUDIT_RECALL`` of its
+   links on average (a beam as wide as the shard is exhaustive). The graph is written to the checkpoint folder.
 3. Every point queries every shard of its label, in blocks of ``BLOCK_POINTS`` queries a task. A hit
    brings in the whole set of points that the shard found linked with it; every such pair is
    checked by its cosine in double precision, so no link below the threshold is reported.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from affinity.llm.common import materialize
 from affinity.llm.components import component_roots
 from affinity.llm.hnsw import BATCH, Graph
-from affinity.llm.simhash import Sets
+from affinity.llm.simhash import BLOCK_CELLS, Sets
 
 THRESHOLD = 0.93
 SHARD_POINTS = 20_000
@@ -44,12 +44,41 @@ def unit_rows(vectors) -> np.ndarray:
     return out / np.sqrt(np.einsum("id,id->i", out, out))[:, None]
 
 
+def true_links(unit: np.ndarray, threshold: float, seed: int) -> list:
+    """Blocks (points, their links as packed bits, number of links) by brute force, of points drawn until those
+    with a link weigh ``AUDIT_POINTS``, each by one over its links, or all are drawn. A point is no link of itself."""
+    order = np.random.default_rng(seed).permutation(len(unit))
+    step = max(1, BLOCK_CELLS // len(unit))
+    blocks, weight = [], 0.0
+    for lo in range(0, len(order), step):
+        rows = order[lo:lo + step]
+        linked = unit[rows] @ unit.T >= threshold
+        linked[np.arange(len(rows)), rows] = False
+        n_links = linked.sum(axis=1)
+        some = n_links > 0
+        blocks.append((rows[some], np.packbits(linked[some], axis=1), n_links[some]))
+        weight += (1 / n_links[some]).sum()
+        if weight >= AUDIT_POINTS:
+            break
+    return blocks
+
+
+def audit_passes(blocks: list, n: int, met) -> bool:
+    """Whether the drawn points with a link find ``AUDIT_RECALL`` of their links, on average over the points and on
+    average with a point weighed by one over its links, so that a large cluster counts about once.
+
+    ``met(rows)``: which of the ``n`` points of the shard each of these points is brought together with.
+    """
+    shares = [(np.unpackbits(bits, axis=1, count=n).astype(bool) & met(rows)).sum(axis=1) / n_links for rows, bits, n_links in blocks]
+    share, n_links = np.concatenate([[], *shares]), np.concatenate([[], *[b[2] for b in blocks]])
+    return not len(share) or min(share.mean(), np.average(share, weights=1 / n_links)) >= AUDIT_RECALL
+
+
 def link_shard(unit: np.ndarray, graph: Graph, threshold: float, seed: int = SEED):
     """(set label of every point, beam that passed the audit)."""
     n = len(unit)
     small = unit.astype(np.float32)
-    sample = np.random.default_rng(seed).choice(n, min(n, AUDIT_POINTS), replace=False)
-    true_a, true_b = np.nonzero(unit[sample] @ unit.T >= threshold)
+    own = true_links(unit, threshold, seed)
     beam = FIRST_BEAM
     while True:
         sets = Sets(n)
@@ -59,10 +88,13 @@ def link_shard(unit: np.ndarray, graph: Graph, threshold: float, seed: int = SEE
             a, b = lo + q, ids[q, c]
             real = np.einsum("id,id->i", unit[a], unit[b]) >= threshold
             sets.union(a[real], b[real])
-        found = sets.label[sample[true_a]] == sets.label[true_b]
-        if not len(found) or found.mean() >= AUDIT_RECALL or beam >= n:
-            return sets.label, beam
+        if audit_passes(own, n, lambda rows: sets.label[rows][:, None] == sets.label) or beam >= n:
+            break
         beam = min(n, 2 * beam)
+    for rows, bits, _ in own:  # links that the audit knows are kept even if no search found them
+        q, c = np.nonzero(np.unpackbits(bits, axis=1, count=n).astype(bool) & (sets.label[rows][:, None] != sets.label))
+        sets.union(rows[q], c)
+    return sets.label, beam
 
 
 def count_links(unit, weight, sets, queries, hits, threshold: float):

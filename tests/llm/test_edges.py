@@ -305,6 +305,35 @@ def test_embeddings_equal_brute_force(spark):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+class Blind:
+    """A search over all vectors that gives only the nearest one, and points of a hot cluster, until the beam opens."""
+
+    def __init__(self, unit, hot, opens):
+        self.unit, self.hot, self.opens = unit, hot, opens
+
+    def search(self, queries, beam):
+        sims = (queries @ self.unit.T).astype(np.float32)
+        if beam < self.opens:
+            near = np.eye(len(self.unit), dtype=bool)[sims.argmax(axis=1)]
+            near[:, self.hot] = True
+            sims[~near] = -np.inf
+        ids = np.argsort(-sims, axis=1, kind="stable")
+        sims = np.take_along_axis(sims, ids, 1)
+        return np.where(sims > -np.inf, ids, -1), sims
+
+
+@pytest.mark.parametrize("n_hot, n_pairs", [(0, 5), (400, 20)])
+def test_embedding_audit_counts_links_of_other_points(n_hot, n_pairs):
+    rng = np.random.default_rng(3)
+    unit = rng.normal(size=(1200, 48))
+    unit[:n_hot] = unit[0] + rng.normal(scale=0.02, size=(n_hot, 48))
+    a = 600 + 2 * np.arange(n_pairs)
+    unit[a + 1] = unit[a] + rng.normal(scale=0.05, size=(n_pairs, 48))
+    unit = embeddings.unit_rows(unit)
+    label, beam = embeddings.link_shard(unit, Blind(unit, np.arange(n_hot), 48), 0.93)
+    assert beam == 48 and (label[a] == label[a + 1]).all() and len(set(label[:n_hot])) <= 1
+
+
 def test_pipeline_stages(spark, docs, clashing, empty, tmp_path):
     sf = str(tmp_path)
     spark.createDataFrame([(1, 1, 0), (2, 1, 0), (4, 0, 0), (7, 1, 1), (None, 0, 0), (1, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
