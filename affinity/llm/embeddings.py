@@ -6,7 +6,9 @@
 2. The points of a label are cut into shards of about ``SHARD_POINTS`` by a hash. Each shard builds a
    graph, links its own points, and audits itself: points are drawn until enough have a link, their links with
    other points are found by brute force, and the beam doubles until such a point finds ``AUDIT_RECALL`` of its
-   links on average (a beam as wide as the shard is exhaustive). The graph is written to the checkpoint folder.
+   links on average (a beam as wide as the shard is exhaustive). Points of other shards are audited too: every
+   point visits one other shard, chosen by a hash, so a shard tests its beam on about as many visitors
+   as it has points. The graph is written to the checkpoint folder.
 3. Every point queries every shard of its label, in blocks of ``BLOCK_POINTS`` queries a task. A hit
    brings in the whole set of points that the shard found linked with it; every such pair is
    checked by its cosine in double precision, so no link below the threshold is reported.
@@ -44,16 +46,18 @@ def unit_rows(vectors) -> np.ndarray:
     return out / np.sqrt(np.einsum("id,id->i", out, out))[:, None]
 
 
-def true_links(unit: np.ndarray, threshold: float, seed: int) -> list:
-    """Blocks (points, their links as packed bits, number of links) by brute force, of points drawn until those
-    with a link weigh ``AUDIT_POINTS``, each by one over its links, or all are drawn. A point is no link of itself."""
-    order = np.random.default_rng(seed).permutation(len(unit))
+def true_links(unit: np.ndarray, queries: np.ndarray, threshold: float, seed: int) -> list:
+    """Blocks (queries, their links as packed bits, number of links) by brute force, of queries drawn until those
+    with a link weigh ``AUDIT_POINTS``, each by one over its links, or all are drawn. If the queries are the points
+    of the shard (``unit`` itself), a point is no link of itself."""
+    order = np.random.default_rng(seed).permutation(len(queries))
     step = max(1, BLOCK_CELLS // len(unit))
     blocks, weight = [], 0.0
     for lo in range(0, len(order), step):
         rows = order[lo:lo + step]
-        linked = unit[rows] @ unit.T >= threshold
-        linked[np.arange(len(rows)), rows] = False
+        linked = queries[rows] @ unit.T >= threshold
+        if queries is unit:
+            linked[np.arange(len(rows)), rows] = False
         n_links = linked.sum(axis=1)
         some = n_links > 0
         blocks.append((rows[some], np.packbits(linked[some], axis=1), n_links[some]))
@@ -64,21 +68,36 @@ def true_links(unit: np.ndarray, threshold: float, seed: int) -> list:
 
 
 def audit_passes(blocks: list, n: int, met) -> bool:
-    """Whether the drawn points with a link find ``AUDIT_RECALL`` of their links, on average over the points and on
-    average with a point weighed by one over its links, so that a large cluster counts about once.
+    """Whether the drawn queries with a link find ``AUDIT_RECALL`` of their links, on average over them and on
+    average with a query weighed by one over its links, so that a large cluster counts about once.
 
-    ``met(rows)``: which of the ``n`` points of the shard each of these points is brought together with.
+    ``met(rows)``: which of the ``n`` points of the shard each of these queries is brought together with.
     """
     shares = [(np.unpackbits(bits, axis=1, count=n).astype(bool) & met(rows)).sum(axis=1) / n_links for rows, bits, n_links in blocks]
     share, n_links = np.concatenate([[], *shares]), np.concatenate([[], *[b[2] for b in blocks]])
     return not len(share) or min(share.mean(), np.average(share, weights=1 / n_links)) >= AUDIT_RECALL
 
 
-def link_shard(unit: np.ndarray, graph: Graph, threshold: float, seed: int = SEED):
-    """(set label of every point, beam that passed the audit)."""
+def hit_sets(graph: Graph, sets: np.ndarray, queries: np.ndarray, beam: int, threshold: float):
+    """(query, set) of the points near each query that its search meets."""
+    ids, sims = graph.search(queries.astype(np.float32), beam)
+    q, c = np.nonzero((ids >= 0) & (sims >= threshold - 1e-4))
+    return q, sets[ids[q, c]]
+
+
+def link_shard(unit: np.ndarray, graph: Graph, threshold: float, visitors: np.ndarray, seed: int = SEED):
+    """(set label of every point, beam that passed the audit of the points and of ``visitors`` from other shards)."""
     n = len(unit)
     small = unit.astype(np.float32)
-    own = true_links(unit, threshold, seed)
+    own, foreign = true_links(unit, unit, threshold, seed), true_links(unit, visitors, threshold, seed)
+
+    def visited(rows):
+        met = np.zeros((len(rows), n), dtype=bool)
+        for lo in range(0, len(rows), BATCH):
+            q, s = hit_sets(graph, sets.label, visitors[rows[lo:lo + BATCH]], beam, threshold)
+            met[lo + q, s] = True
+        return met[:, sets.label]
+
     beam = FIRST_BEAM
     while True:
         sets = Sets(n)
@@ -88,7 +107,8 @@ def link_shard(unit: np.ndarray, graph: Graph, threshold: float, seed: int = SEE
             a, b = lo + q, ids[q, c]
             real = np.einsum("id,id->i", unit[a], unit[b]) >= threshold
             sets.union(a[real], b[real])
-        if audit_passes(own, n, lambda rows: sets.label[rows][:, None] == sets.label) or beam >= n:
+        passed = audit_passes(own, n, lambda rows: sets.label[rows][:, None] == sets.label) and audit_passes(foreign, n, visited)
+        if passed or beam >= n:
             break
         beam = min(n, 2 * beam)
     for rows, bits, _ in own:  # links that the audit knows are kept even if no search found them
@@ -141,18 +161,25 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, vec_id: str =
     )
     sized = points.join(sizes, ["label", "dim"])
     homes = sized.withColumn("shard", F.pmod(F.xxhash64(F.lit(SEED), "point"), F.col("shards")).cast("int"))
+    step = F.pmod(F.xxhash64(F.lit(SEED + 2), "point"), F.greatest(F.col("shards") - 1, F.lit(1)))
+    other = (F.col("shard") + 1 + step) % F.col("shards")
+    visits = homes.where("shards > 1").withColumn("shard", other.cast("int"))
 
     def build(key, group):
-        unit = unit_rows(group["vector"])
+        group, others = group[group["home"]], group[~group["home"]]
+        if not len(group):  # a shard without points of its own
+            return pd.DataFrame({c: [] for c in ("label", "dim", "shard", "blocks", "n_points", "beam", "graph")}, dtype=object)
+        unit, visitors = unit_rows(group["vector"]), unit_rows(others["vector"]) if len(others) else np.zeros((0, key[1]))
         graph = Graph(unit.astype(np.float32), BUILD_BEAM)
-        sets, beam = link_shard(unit, graph, threshold)
+        sets, beam = link_shard(unit, graph, threshold, visitors)
         blob = pickle.dumps((group["point"].to_numpy(), unit, group["weight"].to_numpy(float), graph.order, graph.level, graph.layers, sets, beam))
         return pd.DataFrame({"label": [key[0]], "dim": [key[1]], "shard": [key[2]], "blocks": [int(group["blocks"].iloc[0])],
                              "n_points": [len(unit)], "beam": [beam], "graph": [blob]})
 
     kind = points.schema["label"].dataType.simpleString()
     graphs = materialize(
-        homes.groupBy("label", "dim", "shard").applyInPandas(
+        homes.withColumn("home", F.lit(True)).unionByName(visits.withColumn("home", F.lit(False)))
+        .groupBy("label", "dim", "shard").applyInPandas(
             build, f"label {kind}, dim int, shard int, blocks int, n_points int, beam int, graph binary"
         ),
         "hnsw-graphs",
@@ -170,11 +197,10 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, vec_id: str =
         for lo in range(0, len(group), BATCH):
             part = group.iloc[lo:lo + BATCH]
             mine = unit_rows(part["vector"])
-            ids, sims = graph.search(mine.astype(np.float32), beam)
-            q, c = np.nonzero((ids >= 0) & (sims >= threshold - 1e-4))
+            q, s = hit_sets(graph, sets, mine, beam, threshold)
             own = at.reindex(part["point"]).to_numpy()
             here = np.flatnonzero(~np.isnan(own))  # points of this shard always meet their own set
-            hit = np.unique(np.stack([np.concatenate([q, here]), np.concatenate([sets[ids[q, c]], sets[own[here].astype(int)]])]), axis=1)
+            hit = np.unique(np.stack([np.concatenate([q, here]), np.concatenate([s, sets[own[here].astype(int)]])]), axis=1)
             total, pairs = count_links(unit, weight, sets, mine, hit, threshold)
             # a point's cosine with itself may round below the threshold's neighbourhood: count it apart
             total[here] -= 1.0

@@ -330,10 +330,34 @@ def test_embedding_audit_counts_links_of_other_points(n_hot, n_pairs):
     a = 600 + 2 * np.arange(n_pairs)
     unit[a + 1] = unit[a] + rng.normal(scale=0.05, size=(n_pairs, 48))
     unit = embeddings.unit_rows(unit)
-    label, beam = embeddings.link_shard(unit, Blind(unit, np.arange(n_hot), 48), 0.93)
+    label, beam = embeddings.link_shard(unit, Blind(unit, np.arange(n_hot), 48), 0.93, unit[:0])
     assert beam == 48 and (label[a] == label[a + 1]).all() and len(set(label[:n_hot])) <= 1
 
 
+@pytest.mark.parametrize("opens", [96])
+def test_embedding_links_across_shards(spark, monkeypatch, opens):
+    """Points of other shards find nothing until the beam opens."""
+
+    class Shy(embeddings.Graph):
+        def search(self, queries, beam):
+            ids, sims = super().search(queries, beam)
+            return np.where((sims[:, :1] > 0.99999) | (beam >= opens), ids, -1), sims
+
+    monkeypatch.setattr(embeddings, "Graph", Shy)
+    rng = np.random.default_rng(5)
+    unit = embeddings.unit_rows(np.repeat(rng.normal(size=(200, 24)), 3, axis=0) + rng.normal(scale=0.12, size=(600, 24)))
+    linked = unit @ unit.T >= 0.93
+    want = {k: (int(linked[k].sum()) - 1) for k in range(600)}
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(unit)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df, shard_points=150, block_points=200).collect()}
+    comp = brute_components(range(600), lambda a, b: linked[a, b])
+    assert sum(want.values()) > 600
+    same = [got[k] == (want[k], comp[k]) for k in range(600)]
+    assert np.mean(same) >= 0.99
+    tiny = embeddings.near_duplicates(df.limit(5), shard_points=1, block_points=1)  # some shards have visitors only
+    assert sorted(r.vec_id for r in tiny.collect()) == sorted(r.vec_id for r in df.limit(5).collect())
+
+
 def test_pipeline_stages(spark, docs, clashing, empty, tmp_path):
     sf = str(tmp_path)
     spark.createDataFrame([(1, 1, 0), (2, 1, 0), (4, 0, 0), (7, 1, 1), (None, 0, 0), (1, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
