@@ -6,9 +6,10 @@
 2. The points of a label are cut into shards of about ``SHARD_POINTS`` by a hash. Each shard builds a
    graph, links its own points, and audits itself: points are drawn until enough have a link, their links with
    other points are found by brute force, and the beam doubles until such a point finds ``AUDIT_RECALL`` of its
-   links on average (a beam as wide as the shard is exhaustive). Points of other shards are audited too: every
-   point visits one other shard, chosen by a hash, so a shard tests its beam on about as many visitors
-   as it has points. The graph is written to the checkpoint folder.
+   links on average. Points of other shards are audited too: every point visits one other shard, chosen by a
+   hash, so a shard tests its beam on about as many visitors as it has points. Where the audit fails until a
+   walk would look at as many vectors as the shard holds, all pairs are compared instead. The graph is
+   written to the checkpoint folder.
 3. Every point queries every shard of its label, in blocks of ``BLOCK_POINTS`` queries a task. A hit
    brings in the whole set of points that the shard found linked with it; every such pair is
    checked by its cosine in double precision, so no link below the threshold is reported.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from affinity.llm.common import materialize
 from affinity.llm.components import component_roots
-from affinity.llm.hnsw import BATCH, Graph
+from affinity.llm.hnsw import BATCH, LINKS, Graph
 from affinity.llm.simhash import BLOCK_CELLS, Sets
 
 THRESHOLD = 0.93
@@ -37,6 +38,8 @@ BUILD_BEAM = 32
 FIRST_BEAM = 24
 AUDIT_POINTS = 400
 AUDIT_RECALL = 0.99
+#: The beam of a shard whose graph fails its audit: its points are compared one by one.
+ALL = -1
 SEED = 7
 
 
@@ -78,15 +81,27 @@ def audit_passes(blocks: list, n: int, met) -> bool:
     return not len(share) or min(share.mean(), np.average(share, weights=1 / n_links)) >= AUDIT_RECALL
 
 
-def hit_sets(graph: Graph, sets: np.ndarray, queries: np.ndarray, beam: int, threshold: float):
-    """(query, set) of the points near each query that its search meets."""
+def hit_sets(unit: np.ndarray, graph: Graph, sets: np.ndarray, queries: np.ndarray, beam: int, threshold: float):
+    """(query, set) of the points near each query that its search meets; with beam ALL, of all points near it."""
+    if beam == ALL:
+        step = max(1, BLOCK_CELLS // len(unit))
+        met = [np.zeros((2, 0), dtype=np.int64)]
+        for lo in range(0, len(queries), step):
+            q, p = np.nonzero(queries[lo:lo + step] @ unit.T >= threshold)
+            met.append(np.unique(np.stack([lo + q, sets[p]]), axis=1))
+        return np.concatenate(met, axis=1)
     ids, sims = graph.search(queries.astype(np.float32), beam)
     q, c = np.nonzero((ids >= 0) & (sims >= threshold - 1e-4))
     return q, sets[ids[q, c]]
 
 
 def link_shard(unit: np.ndarray, graph: Graph, threshold: float, visitors: np.ndarray, seed: int = SEED):
-    """(set label of every point, beam that passed the audit of the points and of ``visitors`` from other shards)."""
+    """(set label of every point, beam that passed the audit of the points and of ``visitors`` from other shards).
+
+    A walk can miss a point at any beam, as it only follows links from one start. If the audit fails until
+    a wider walk would look at as many vectors as there are points, all pairs are compared, and the beam is ALL: queries
+    are to be compared with all points.
+    """
     n = len(unit)
     small = unit.astype(np.float32)
     own, foreign = true_links(unit, unit, threshold, seed), true_links(unit, visitors, threshold, seed)
@@ -94,7 +109,7 @@ def link_shard(unit: np.ndarray, graph: Graph, threshold: float, visitors: np.nd
     def visited(rows):
         met = np.zeros((len(rows), n), dtype=bool)
         for lo in range(0, len(rows), BATCH):
-            q, s = hit_sets(graph, sets.label, visitors[rows[lo:lo + BATCH]], beam, threshold)
+            q, s = hit_sets(unit, graph, sets.label, visitors[rows[lo:lo + BATCH]], beam, threshold)
             met[lo + q, s] = True
         return met[:, sets.label]
 
@@ -108,9 +123,16 @@ def link_shard(unit: np.ndarray, graph: Graph, threshold: float, visitors: np.nd
             real = np.einsum("id,id->i", unit[a], unit[b]) >= threshold
             sets.union(a[real], b[real])
         passed = audit_passes(own, n, lambda rows: sets.label[rows][:, None] == sets.label) and audit_passes(foreign, n, visited)
-        if passed or beam >= n:
+        if passed:
+            break
+        beam *= 2
+        if 2 * LINKS * beam >= n:
+            beam = ALL
+            step = max(1, BLOCK_CELLS // n)
+            for lo in range(0, n, step):
+                a, b = np.nonzero(unit[lo:lo + step] @ unit.T >= threshold)
+                sets.union(lo + a, b)
             break
-        beam = min(n, 2 * beam)
     for rows, bits, _ in own:  # links that the audit knows are kept even if no search found them
         q, c = np.nonzero(np.unpackbits(bits, axis=1, count=n).astype(bool) & (sets.label[rows][:, None] != sets.label))
         sets.union(rows[q], c)
@@ -197,7 +219,7 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, vec_id: str =
         for lo in range(0, len(group), BATCH):
             part = group.iloc[lo:lo + BATCH]
             mine = unit_rows(part["vector"])
-            q, s = hit_sets(graph, sets, mine, beam, threshold)
+            q, s = hit_sets(unit, graph, sets, mine, beam, threshold)
             own = at.reindex(part["point"]).to_numpy()
             here = np.flatnonzero(~np.isnan(own))  # points of this shard always meet their own set
             hit = np.unique(np.stack([np.concatenate([q, here]), np.concatenate([s, sets[own[here].astype(int)]])]), axis=1)

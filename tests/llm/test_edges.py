@@ -334,9 +334,19 @@ def test_embedding_audit_counts_links_of_other_points(n_hot, n_pairs):
     assert beam == 48 and (label[a] == label[a + 1]).all() and len(set(label[:n_hot])) <= 1
 
 
-@pytest.mark.parametrize("opens", [96])
+def test_embedding_graph_that_finds_nothing():
+    rng = np.random.default_rng(3)
+    unit = np.repeat(rng.normal(size=(60, 48)), 2, axis=0) + rng.normal(scale=0.05, size=(120, 48))
+    unit = embeddings.unit_rows(unit)
+    label, beam = embeddings.link_shard(unit, Blind(unit, np.arange(0), math.inf), 0.93, unit[:0])
+    assert beam == embeddings.ALL and (label == np.arange(120) // 2 * 2).all()
+    q, s = embeddings.hit_sets(unit, None, label, unit[:7] + 1e-9, beam, 0.93)
+    assert list(zip(q, s)) == [(k, k // 2 * 2) for k in range(7)]
+
+
+@pytest.mark.parametrize("opens", [96, math.inf])
 def test_embedding_links_across_shards(spark, monkeypatch, opens):
-    """Points of other shards find nothing until the beam opens."""
+    """Points of other shards find nothing until the beam opens, or at any beam."""
 
     class Shy(embeddings.Graph):
         def search(self, queries, beam):
