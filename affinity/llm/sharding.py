@@ -9,9 +9,10 @@ puts them.
 
 Who overflows depends on counts alone: the arcs (shards x points of them, whatever the input)
 are counted by a grouped aggregate, the driver lets the arcs' counts overflow clockwise, and the result
-is a table of rank ranges (arc, from, to) -> shard. A row's rank in its arc is its rank in one of
-``lanes`` equal parts of the arc (more parts for more rows), plus the rows of the lanes before it, so that an arc (or a key
-that a third of all rows share) is ranked by many tasks.
+is a table of rank ranges (arc, from, to) -> shard. A row's rank in its arc is its rank by a hash of (id, text
+checksum, size), so that who overflows follows the keys and not the files. It is taken in one of ``lanes`` equal ranges of
+the hash (more for more rows), plus the rows of the lanes before it; the rows of a key that alone would fill a lane are
+split by their row number, so that an arc (or a key that a third of all rows share) is ranked by many tasks.
 """
 
 from __future__ import annotations
@@ -87,7 +88,8 @@ def assign(docs: DataFrame, shards: int = SHARDS, points: int = POINTS, lanes: i
     """(doc_id, size, text_crc32, shard, slot): one row per row of ``docs``; slots count from 0 in each shard.
 
     ``size`` is the UTF-8 length of the text (null: 0) plus 1. Null ids hash like the empty text; repeated
-    ids and rows share an arc and may overflow to different shards. An empty table gives none.
+    ids and rows share an arc and may overflow to different shards. An empty table gives none. Apart from which of
+    the rows that agree in id, checksum and size is which, the result does not depend on the order or split of the rows.
     """
     spark = docs.sparkSession
     nodes = ring(shards, points)
@@ -104,19 +106,34 @@ def assign(docs: DataFrame, shards: int = SHARDS, points: int = POINTS, lanes: i
     on_arc = (
         slim.withColumn("cell", F.shiftright("position", CELL_BITS)).join(F.broadcast(cells), "cell")
         .where("position BETWEEN lo AND hi").select("doc_id", "size", "text_crc32", "arc", "spread")
+        .withColumn("place", F.xxhash64("doc_id", "text_crc32", "size"))
     )
     rows = materialize(on_arc, "ring-rows")  # written once: a row keeps its lane however often it is read
-    lanes = max(lanes, -(-rows.count() // lane_rows))
-    rows = rows.withColumn("lane", F.pmod("spread", F.lit(lanes)).cast("int"))
-    by_lane = rows.groupBy("arc", "lane").agg(F.count("*").alias("n"))  # at most shards * points * lanes rows
-    ahead = Window.partitionBy("arc").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
+    total = rows.count()
+    lanes = max(lanes, -(-total // lane_rows))
+    rows = rows.withColumn("lane", F.shiftright((F.shiftright("place", 33) + (1 << 30)) * lanes, 31).cast("int"))
+    # keys with more rows than an equal share of a lane: fewer than ``lanes``, and only in lanes above that share
+    above = F.col("n") * lanes > total
+    full = rows.groupBy("arc", "lane").agg(F.count("*").alias("n")).where(above).select("arc", "lane")
+    heavy = rows.join(F.broadcast(full), ["arc", "lane"], "left_semi").groupBy("arc", "lane", "place").agg(F.count("*").alias("n")).where(above)
+    parts = F.ceil(F.col("n") * lanes / F.lit(max(total, 1))).alias("parts")
+    heavy = materialize(heavy.groupBy("arc", "lane").agg(F.collect_list(F.struct("place", parts)).alias("heavy")), "ring-heavy")
+    rows = rows.join(F.broadcast(heavy), ["arc", "lane"], "left").withColumn("heavy", F.coalesce("heavy", F.array()))
+    own = F.get(F.filter("heavy", lambda x: x["place"] == F.col("place")), F.lit(0))["parts"]
+    # a lane's rows in order: those before its first heavy key (0), that key (1), those up to the next (2), ...
+    before = F.size(F.filter("heavy", lambda x: x["place"] < F.col("place")))
+    rows = rows.withColumn("stretch", 2 * before + own.isNotNull().cast("int"))
+    rows = rows.withColumn("part", F.pmod("spread", F.coalesce(own, F.lit(1)))).drop("heavy")
+    lane = ["arc", "lane", "stretch", "part"]
+    by_lane = rows.groupBy(*lane).agg(F.count("*").alias("n"))  # at most shards * points * lanes rows, and a few times lanes
+    ahead = Window.partitionBy("arc").orderBy(*lane[1:]).rowsBetween(Window.unboundedPreceding, -1)
     by_lane = materialize(by_lane.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0))), "ring-lanes")
     counts = {r.arc: r.n for r in by_lane.groupBy("arc").agg(F.sum("n").alias("n")).collect()}
     ranges = literal_table(spark, overflow(nodes, counts, shards), "arc:int,`from`:long,to:long,shard:int,slot:long")
-    in_lane = Window.partitionBy("arc", "lane").orderBy("doc_id", "text_crc32", "size")
+    in_lane = Window.partitionBy(*lane).orderBy("place", "doc_id", "text_crc32", "size")
     ranked = (
         rows.withColumn("rank", F.row_number().over(in_lane) - 1)
-        .join(by_lane.select("arc", "lane", "before"), ["arc", "lane"])  # partitioned as the ranks are, if not small
+        .join(by_lane.select(*lane, "before"), lane)  # partitioned as the ranks are, if not small
         .withColumn("rank", F.col("rank") + F.col("before"))
     )
     placed = ranked.join(F.broadcast(ranges), "arc").where("rank >= `from` AND rank < `to`")

@@ -108,6 +108,21 @@ def test_sharding(spark, docs, clashing, empty):
         assert {(r.shard, r.slot) for r in rows} == {(s, k) for s in range(16) for k in range(25)}
 
 
+def test_ring_overflow_follows_the_keys(spark):
+    def shards_of(rows, splits, **more):
+        out = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).repartition(splits), shards=4, points=3, **more)
+        return collections.Counter((r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in out.collect())
+
+    rows = [(k, f"text {k % 7}") for k in range(900)] + [(5000, "same")] * 300 + [(6000, f"t{k}") for k in range(200)]
+    once = shards_of(rows, 1)
+    assert shards_of(rows[::-1], 5) == once
+    assert shards_of(rows[700:] + rows[:700], 3, lanes=1, lane_rows=50) == once  # other lanes too
+    assert all(n == 1 for n in collections.Counter((k[3], k[4]) for k in once.elements()).values())
+    home = lambda got: collections.Counter(k[:4] for k in got.elements())
+    more = home(shards_of([(9999, "one more")] + rows, 4))
+    assert sum((home(once) - more).values()) <= 16  # the cuts of the full arcs move by a row or two
+
+
 def test_an_id_that_many_rows_share_counts_once_in_a_fit(spark):
     rows = frame(spark, [(9, f"text {k}", "en", "a") for k in range(50)] + [(3, "other", "en", "a")])
     ids_ = spark.createDataFrame([(9, 1), (3, 0), (4, 0)], "doc_id long, label int")
