@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators.ranking import global_rank
+from affinity.session import materialize
 
 HISTORY_CHUNK = 1024
 
@@ -44,6 +45,11 @@ def item_history(ratings: DataFrame, chunk: int = HISTORY_CHUNK) -> DataFrame:
     return histories(ratings, "item_id", "user_id", chunk=chunk)
 
 
+def dump(histories: DataFrame, name: str) -> DataFrame:
+    """Write histories as parquet under the checkpoint folder and return the reread rows."""
+    return materialize(histories, name)
+
+
 def distinct_users(ratings: DataFrame) -> DataFrame:
     """A4: the set of users."""
     return ratings.select("user_id").distinct()

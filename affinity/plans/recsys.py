@@ -149,7 +149,7 @@ def q_feat_training_table(spark, sf):
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY item_id) - 1 AS pos FROM interactions)
 GROUP BY user_id, pos // 1024""")
 def q_agg_user_history(spark, sf):
-    h = history.user_history(tables.interactions(spark, sf))
+    h = history.dump(history.user_history(tables.interactions(spark, sf)), "user-history")
     return h.select("user_id", "chunk", history.history_text("history", "item_id").alias("history"))
 
 

@@ -34,3 +34,20 @@ def test_ordered_shards_keep_the_order(spark):
     shards = [open(f).read().split() for f in sorted(glob.glob(d + "/s/part-*.csv"))]
     assert len(shards) == 3 and all(s[0] == "k" for s in shards)
     assert [int(v) for s in shards for v in s[1:]] == list(range(300))
+
+
+def test_user_history_reads_its_dump(spark):
+    from affinity.operators import history
+    from affinity.plans import QUERIES
+    from affinity.sources import tables
+
+    sf = "/root/testdata/sf0.001"
+    query = QUERIES["agg_user_history"](spark, sf)
+    files = query.inputFiles()
+    assert files and all("/user-history-" in f for f in files)
+    back = spark.read.parquet(files[0].rsplit("/", 1)[0])
+    fresh = history.user_history(tables.interactions(spark, sf))
+    assert [t for _, t in back.dtypes] == [t for _, t in fresh.dtypes]
+    assert sorted(back.collect()) == sorted(fresh.collect())
+    text = history.history_text("history", "item_id").alias("history")
+    assert sorted(query.collect()) == sorted(fresh.select("user_id", "chunk", text).collect())
