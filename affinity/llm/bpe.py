@@ -191,13 +191,19 @@ def load(path: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(path), pattern)
 
 
-def encode(docs: DataFrame, encoder: Encoder, text: str = "text", name: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, encoder: Encoder, text: str = "text", name: str = "ids", checked: bool = False) -> DataFrame:
     """``docs`` with ``name``, the array of ids of the whole text (null and empty: an empty array). A column
-    of that name is replaced."""
+    of that name is replaced. ``checked``: each text is decoded again too, an error if it doesn't come back."""
+
+    def one(body: str | None) -> np.ndarray:
+        ids = encoder.encode(body)
+        if checked and encoder.decode(ids.tolist()) != (body or "").encode("utf-8"):
+            raise ValueError(f"a text of {len(body or '')} characters doesn't come back from its {len(ids)} ids")
+        return ids
 
     @F.pandas_udf(T.ArrayType(T.IntegerType(), False))
     def encoded(texts: pd.Series) -> pd.Series:
-        return pd.Series([encoder.encode(t) for t in texts], dtype=object)
+        return pd.Series([one(t) for t in texts], dtype=object)
 
     return docs.withColumn(name, encoded(F.col(text)))
 

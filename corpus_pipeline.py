@@ -44,8 +44,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, the token ids of the text and their number."""
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), bpe.public_encoder(TOKENIZER))
+    """doc_id, source, the token ids of the text and their number. Every text is decoded from its ids in the same
+    call; one that doesn't come back fails the stage."""
+    ids = bpe.encode(docs.select("doc_id", "source", "text"), bpe.public_encoder(TOKENIZER), checked=True)
     return ids.select("doc_id", "source", "ids", F.size("ids").alias("n_tokens"))
 
 

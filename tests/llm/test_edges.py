@@ -395,6 +395,17 @@ def test_pipeline_stages(spark, docs, clashing, empty, tmp_path):
     assert out.columns == ["doc_id", "source", "ids", "n_tokens"]
 
 
+def test_pipeline_tokens_must_come_back(docs, monkeypatch):
+    encoder = bpe.public_encoder(TOKENIZER)
+    whole = corpus_pipeline.tokens(None, docs, "").collect()
+    assert all(encoder.decode(r.ids) is not None and r.n_tokens == len(r.ids) for r in whole)
+    lossy = bpe.public_encoder(TOKENIZER)
+    lossy.bytes[encoder.encode("alpha")[0]] = b"?"
+    monkeypatch.setattr(bpe, "public_encoder", lambda name: lossy)
+    with pytest.raises(Exception, match="come back from its"):
+        corpus_pipeline.tokens(None, docs, "").collect()
+
+
 def test_pipeline_on_given_documents(spark):
     """Every stage's decisions against brute force, on the whole small table."""
     sf = "/root/testdata/sf0.001"
