@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, over the driver's tables.
+"""The registered queries of the operators, over the driver's tables.
 
 Each applies its operator with production parameters to the whole table and derives the digest
 columns of its contract. ``ORACLES`` (from ``sql``) has the DuckDB SQL where SQL can express the result.
@@ -14,13 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.llm import (
-    bpe, embeddings, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity, url_filter,
+    bpe, embeddings, mixing, pieces, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity, trie, url_filter,
+    whitening,
 )
 from affinity.llm.common import fold, one_label, table
 from affinity.llm.sql import ORACLES
 
-#: The rank file of the tokenizer, by its public name.
+#: The files of the tokenizers, by their public names.
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
+#: Texts whose ids a worker holds at a time.
+CODEC_TEXTS = 256
 
 QUERIES: dict = {}
 __all__ = ["ORACLES", "QUERIES"]
@@ -145,3 +149,38 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents replicated to equal weights of their sources, in shuffled order."""
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return trie.trie(trie.grafted(trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and the text they decode to, as digests of what each worker encodes."""
+    encoder = pieces.public_encoder(PIECES)
+
+    @F.pandas_udf("n_tokens long, ids_sha256 binary, decoded_sha256 binary")
+    def codec(texts: pd.Series) -> pd.DataFrame:
+        counts, digests, decoded = [], [], []
+        for lo in range(0, len(texts), CODEC_TEXTS):
+            for ids in encoder.encode(texts.iloc[lo:lo + CODEC_TEXTS]):
+                counts.append(len(ids))
+                digests.append(sha256(" ".join(map(str, ids.tolist())).encode()).digest())
+                decoded.append(sha256(encoder.decode(ids).encode()).digest())
+        return pd.DataFrame({
+            "n_tokens": np.array(counts, dtype=np.int64),
+            "ids_sha256": pd.Series(digests, dtype=object),
+            "decoded_sha256": pd.Series(decoded, dtype=object),
+        })
+
+    coded = table(spark, sf_dir, "documents").select("doc_id", codec("text").alias("c"))
+    return coded.select("doc_id", "c.n_tokens", *[F.lower(F.hex(f"c.{d}")).alias(d) for d in ("ids_sha256", "decoded_sha256")])
