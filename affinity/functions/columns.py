@@ -55,6 +55,81 @@ def double_text(x) -> Column:
     return F.when(x == 0, F.lit("0")).when(small_or_large, F.concat(mantissa, exponent)).otherwise(plain)
 
 
+_LIMB = 1_000_000_000
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: a lambda's variable isn't evaluated again at each use, as an expression may be."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _times(limbs: Column, factor: Column) -> Column:
+    """A whole number, as an array of base-10^9 digits from the lowest, times a factor below 2^30."""
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+
+    def step(acc: Column, limb: Column) -> Column:
+        v = limb * factor + acc["carry"]
+        return F.struct(F.floor(v / _LIMB).cast("bigint").alias("carry"), F.concat(acc["out"], F.array(v % _LIMB)).alias("out"))
+
+    def close(acc: Column) -> Column:
+        return F.when(acc["carry"] > 0, F.concat(acc["out"], F.array(acc["carry"]))).otherwise(acc["out"])
+
+    return F.aggregate(limbs, start, step, close)
+
+
+def _whole_text(x: Column) -> Column:
+    """The digits of a whole, non-negative double, however large."""
+    def large(power: Column) -> Column:
+        # 53 bits times a power of 2, multiplied out 20 bits at a time; halves, as 2^power may be out of a double's range
+        half = F.floor(power / 2).cast("int")
+        mantissa = (x / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), power - half)).cast("bigint")
+        limbs = _let(mantissa, lambda m: F.array(m % _LIMB, F.floor(m / _LIMB).cast("bigint")))
+        rounds = F.floor(power / 20).cast("int")
+        big = F.aggregate(F.when(rounds > 0, F.sequence(F.lit(1), rounds)).otherwise(F.array().cast("array<int>")), limbs,
+                          lambda acc, _: _times(acc, F.lit(1 << 20).cast("bigint")))
+        big = _times(big, F.pow(F.lit(2.0), power % 20).cast("bigint"))
+        digits = F.array_join(F.transform(F.reverse(big), lambda v: F.lpad(v.cast("string"), 9, "0")), "")
+        return F.regexp_replace(digits, "^0+", "")
+
+    power = F.greatest(F.ceil(F.log2(F.greatest(x, F.lit(1.0)))).cast("int") - 54, F.lit(0))
+    return F.when(x < float(1 << 62), x.cast("bigint").cast("string")).otherwise(_let(power, large))
+
+
+def fixed16(x) -> Column:
+    """The text C's ``%.16f`` gives: the double's exact binary value, rounded half-even at 16 places.
+
+    2.08 -> '2.0800000000000001'. Error-free, in whole numbers: the fraction is a / 2^53 + b / 2^109 (powers of 2 only shift a
+    double's bits), and eight times it is multiplied by 100, which brings out two more digits and stays below 2^63. Bits below
+    2^-109 belong to fractions under 2^-56, which round to 0 with or without them. NaN and infinities are
+    'nan', 'inf' and '-inf'; a negative zero keeps its sign.
+    """
+    a_bits, b_bits = 53, 56
+    half = F.lit(1 << (a_bits - 1))
+
+    def step(acc: Column, _) -> Column:
+        low = acc["b"] * 100
+        high = acc["a"] * 100 + F.shiftright(low, b_bits)
+        return F.struct(high.bitwiseAND(F.lit((1 << a_bits) - 1)).alias("a"), low.bitwiseAND(F.lit((1 << b_bits) - 1)).alias("b"),
+                        (acc["q"] * 100 + F.shiftright(high, a_bits)).alias("q"))
+
+    def of_size(x: Column, size: Column) -> Column:
+        whole = F.when(size < float(1 << 53), F.floor(size).cast("double")).otherwise(size)
+        number = _let(whole, lambda w: _let((size - w) * float(1 << a_bits), lambda f: _let(
+            F.aggregate(F.array(*[F.lit(0)] * 8), F.struct(
+                F.floor(f).alias("a"), F.floor((f - F.floor(f)) * float(1 << b_bits)).alias("b"), F.lit(0).cast("bigint").alias("q")), step),
+            lambda v: rounded(w, v))))
+        sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")
+        return F.when(F.isnan(x), "nan").when(size == float("inf"), F.concat(sign, F.lit("inf"))).otherwise(F.concat(sign, number))
+
+    def rounded(whole: Column, v: Column) -> Column:
+        up = (v["a"] > half) | ((v["a"] == half) & ((v["b"] > 0) | (v["q"] % 2 == 1)))
+        return _let(v["q"] + F.when(up, 1).otherwise(0), lambda q: F.concat(
+            _let(F.when(q >= 10**16, whole + 1).otherwise(whole), _whole_text), F.lit("."),
+            F.lpad(F.when(q >= 10**16, q - 10**16).otherwise(q).cast("string"), 16, "0")))
+
+    return _let(_col(x).cast("double"), lambda v: _let(F.abs(v), lambda size: of_size(v, size)))
+
+
 def safe_div(num, den, zero: float = 0.0) -> Column:
     """num / den, or ``zero`` when the denominator is 0 or NULL (cosine guard)."""
     den = _col(den)

@@ -4,9 +4,8 @@ The reference feeds TensorFlow: a padded id matrix is made sparse (non-zero posi
 ``embedding_lookup_sparse(..., combiner="sum")`` adds the embedding rows of each row's ids;
 a second cell multiplies each numeric value by its field's embedding. Here a row's ids are
 flat rows, so pooling is: count ids per (row, id) first (a hot id collapses to one row per
-owner before any shuffle), join the embedding table on the id, explode the vector with its
-position and sum per (row, dim). The result is long (row, dim, value); ``as_vectors`` folds
-it back into one array per row, a group of exactly ``dim`` entries.
+owner before any shuffle), join the embedding table on the id and sum every dimension of the whole vector in one
+aggregate. The result is long (row, dim, value).
 """
 
 from __future__ import annotations
@@ -15,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DIGITS = 6
+# Dimensions summed by one row of the aggregate; vectors are cut into blocks of so many.
+BLOCK_DIMS = 8
 
 
 def dense_to_sparse(df: DataFrame, row: str, vec: str) -> DataFrame:
@@ -26,24 +27,22 @@ def bag_sum(ids: DataFrame, table: DataFrame, row: str = "user_id", id_col: str
             table_id: str = "vec_id", vec: str = "embedding") -> DataFrame:
     """Sum of the embedding rows of each row's ids; id 0 is empty and dropped.
 
-    Returns (row, dim, value) with value rounded to 6 places.
+    Returns (row, dim, value) with value rounded to 6 places. Vectors are joined whole; one hash aggregate holds a sum per
+    dimension (per block of ``BLOCK_DIMS`` dimensions of a longer vector), so what is shuffled is one row per owner and
+    block, and the sums are unfolded at the end. Vectors may differ in length: a dimension that none of a row's vectors has
+    is not in the result.
     """
     counts = ids.where(F.col(id_col).isNotNull() & (F.col(id_col) != 0)).groupBy(row, id_col).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    emb = table.select(F.col(table_id).alias(id_col), F.posexplode(vec).alias("dim", "_x"))
-    joined = counts.join(emb, id_col)
-    return joined.groupBy(row, "dim").agg(
-        F.round(F.sum(F.col("_x").cast("double") * F.col("_n")), DIGITS).alias("value")
-    )
-
-
-def as_vectors(long: DataFrame, row: str = "user_id", dim: str = "dim", value: str = "value",
-               name: str = "vector") -> DataFrame:
-    """Fold (row, dim, value) into one dense array per row, ordered by dim."""
-    return long.groupBy(row).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(dim, value))), lambda s: s[value]).alias(name)
-    )
+    emb = table.select(F.col(table_id).alias(id_col), F.col(vec).alias("_e"))
+    blocks = F.sequence(F.lit(0), F.floor((F.greatest(F.size("_e"), F.lit(1)) - 1) / BLOCK_DIMS).cast("int"))
+    joined = counts.join(emb, id_col).select(row, "_n", "_e", F.explode(blocks).alias("_b"))
+    entry = lambda i: F.get("_e", F.col("_b") * BLOCK_DIMS + i).cast("double") * F.col("_n")
+    sums = joined.groupBy(row, "_b").agg(*[F.sum(entry(i)).alias(f"_s{i}") for i in range(BLOCK_DIMS)])
+    unfolded = sums.select(row, "_b", F.posexplode(F.array(*[f"_s{i}" for i in range(BLOCK_DIMS)])).alias("_i", "_v"))
+    return unfolded.where(F.col("_v").isNotNull()).select(
+        row, (F.col("_b") * BLOCK_DIMS + F.col("_i")).alias("dim"), F.round("_v", DIGITS).alias("value"))
 
 
 def value_weighted(values: DataFrame, table: DataFrame, row: str, field: str, value: str,

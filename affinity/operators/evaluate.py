@@ -73,17 +73,30 @@ def metric_inputs(recs: DataFrame, train: DataFrame, test: DataFrame, users: Dat
 def list_metrics(recs: DataFrame, train: DataFrame, test: DataFrame, users: DataFrame, n: int = 50,
                  catalog: str = "train", pop_distinct: bool = True) -> DataFrame:
     """One row: precision, recall, coverage, popularity (E5)."""
-    # rows per (kind, item) first: distinct items are then a plain count, without copying rows per distinct
-    per_item = metric_inputs(recs, train, test, users, catalog, pop_distinct).groupBy("kind", "item_id").agg(
-        F.sum("hit").alias("hit"), F.sum("lp").alias("lp"), F.count(F.lit(1)).alias("n"))
-    return per_item.agg(*_metric_columns(n))
+    per_bucket = _bitmaps(metric_inputs(recs, train, test, users, catalog, pop_distinct), ["kind"])
+    return per_bucket.agg(*_metric_columns(n))
+
+
+def _bitmaps(rows: DataFrame, by: list[str], sums: tuple = ("hit", "lp")) -> DataFrame:
+    """(by, items, n, sums): counts of different items, of rows, and sums, in one row per group and bitmap.
+
+    Item ids are set in mergeable bitmaps (one per 32,768 ids in use), so the shuffle holds a bitmap per
+    task, group and bucket instead of a row per group and item, however many groups a sweep has. Items are whole numbers;
+    other ids take their codes from ``features.label_encode`` first. Null items count as rows, not as items.
+    """
+    item = F.col("item_id").cast("bigint")
+    seen = rows.where(item.isNotNull()).groupBy(*by, F.bitmap_bucket_number(item).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(item)).alias("_bits"), F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums])
+    plain = rows.where(item.isNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums])
+    counted = seen.select(*by, F.bitmap_count("_bits").alias("items"), "n", *sums)
+    return counted.unionByName(plain.select(*by, F.lit(0).cast("bigint").alias("items"), "n", *sums))
 
 
 def _metric_columns(n: int):
     kind = F.col("kind")
     hits = F.sum(F.when(kind == "r", F.col("hit")))
     n_users, n_test, n_rec = (F.coalesce(F.sum(F.when(kind == k, F.col("n"))), F.lit(0)) for k in "utr")
-    rec_items, cat_items = (F.count(F.when(kind == k, F.col("item_id"))) for k in "rc")
+    rec_items, cat_items = (F.coalesce(F.sum(F.when(kind == k, F.col("items"))), F.lit(0)) for k in "rc")
     pop = F.sum(F.when(kind == "r", F.col("lp")))
     return [
         F.round(safe_div(F.coalesce(hits, F.lit(0)).cast("double"), n_users * F.lit(n)), DIGITS).alias("precision"),
@@ -105,27 +118,27 @@ def sweep_metrics(recs_by_k: DataFrame, train: DataFrame, test: DataFrame, users
     t = test.join(users, "user_id", "left_semi")
     cat = _catalog(train, test, users, catalog)
     per_k = (
-        _scored_recs(recs_by_k, train, test, users, pop_distinct, ["k"])
-        .groupBy("k", "item_id")
-        .agg(F.sum("hit").alias("hit"), F.sum("lp").alias("lp"), F.count(F.lit(1)).alias("n"))
+        _bitmaps(_scored_recs(recs_by_k, train, test, users, pop_distinct, ["k"]), ["k"])
         .groupBy("k")
         .agg(
             F.sum("hit").alias("hits"),
             F.sum("n").alias("n_rec"),
-            F.count("item_id").alias("rec_items"),
+            F.sum("items").alias("rec_items"),
             F.sum("lp").alias("pop"),
         )
     )
-    fixed = (
+    item_type = recs_by_k.schema["item_id"].dataType
+    kinds = (
         t.select(F.lit("t").alias("kind"), "item_id")
         .unionByName(cat.select(F.lit("c").alias("kind"), "item_id"))
-        .unionByName(users.select(F.lit("u").alias("kind"), F.lit(None).cast(recs_by_k.schema["item_id"].dataType).alias("item_id")))
-        .groupBy("kind", "item_id")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .unionByName(users.select(F.lit("u").alias("kind"), F.lit(None).cast(item_type).alias("item_id")))
+    )
+    fixed = (
+        _bitmaps(kinds, ["kind"], ())
         .agg(
             F.sum(F.when(F.col("kind") == "u", F.col("n"))).alias("n_users"),
             F.sum(F.when(F.col("kind") == "t", F.col("n"))).alias("n_test"),
-            F.count(F.when(F.col("kind") == "c", F.col("item_id"))).alias("cat_items"),
+            F.sum(F.when(F.col("kind") == "c", F.col("items"))).alias("cat_items"),
         )
         .select(F.explode(F.array(*[F.lit(int(k)) for k in ks])).alias("k"), "n_users", "n_test", "cat_items")
     )

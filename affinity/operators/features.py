@@ -10,6 +10,7 @@ vocabulary, which grows with the data, stays a DataFrame and is joined.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,9 +22,13 @@ from affinity.operators.ranking import global_rank
 from affinity.session import materialize
 
 UNK = "<unk>"
-# Largest vocabulary (entries over all fields) that is broadcast to the scan instead of joined
-# through a shuffle. About 100 bytes per entry, so at most ~200 MB per executor.
-MAX_BROADCAST_VOCAB = 2_000_000
+# Bytes of vocabulary entries that are broadcast to the scan, and what an entry takes besides its value.
+HEAD_BYTES = 128 << 20
+ENTRY_BYTES = 96
+# Quantiles: rows of a field that are ranked in the end, the share by which a sketch's rank may be off.
+RANKED_VALUES = 100_000
+SKETCH_MARGIN = 0.02
+SKETCH_STEPS = 400  # of the ranks that a sketch is asked for
 
 
 # ---------------------------------------------------------------- numeric fields
@@ -65,24 +70,70 @@ def apply_minmax(df: DataFrame, stats: dict[str, tuple], suffix: str = "", clips
     return out
 
 
-def quantile_points(df: DataFrame, cols: Sequence[str], q: float = 0.95) -> DataFrame:
-    """Exact linear-interpolated quantile per field (the clip points' stated origin).
+def quantile_points(df: DataFrame, cols: Sequence[str], q: float = 0.95, ranked_values: int = RANKED_VALUES) -> DataFrame:
+    """Exact linear-interpolated quantile per field (the clip points' stated origin), by distributed selection.
 
-    Values are ranked per field by the range-partitioned ``global_rank`` (no field is gathered in
-    one task), then the two ranks around q * (n - 1) are interpolated.
+    The two order statistics around q * (n - 1) are bracketed by a mergeable quantile sketch; one aggregate over the
+    table counts the rows below and inside every field's bracket exactly and sketches the inside for the next, narrower one. A
+    bracket that a sketch placed wrongly is seen by its counts and widened. Only the values inside the last
+    brackets are ranked, by their counts: at most ``ranked_values`` rows a field, or one value. No field is sorted, shuffled
+    or gathered. Missing and NaN values don't count; a field without values gives no row.
     """
-    long = unpivot(df, cols, [], "field", "value", cast="double").where(F.col("value").isNotNull())
-    long = long.withColumn("_u", F.monotonically_increasing_id())
-    ranked = global_rank(long, [F.col("value"), F.col("_u")], by=["field"], name="_r")
-    counts = long.groupBy("field").agg(F.count(F.lit(1)).alias("_n"))
-    pos = F.lit(q) * (F.col("_n") - 1)
-    need = ranked.join(F.broadcast(counts), "field").where(
-        (F.col("_r") - 1 == F.floor(pos)) | (F.col("_r") - 1 == F.ceil(pos))
-    )
-    lo = F.max(F.when(F.col("_r") - 1 == F.floor(pos), F.col("value")))
-    hi = F.max(F.when(F.col("_r") - 1 == F.ceil(pos), F.col("value")))
-    frac = F.first(pos - F.floor(pos))
-    return need.groupBy("field").agg((lo + (hi - lo) * frac).alias("quantile"))
+    values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+    # per field: the bracket [lo, hi] (None: open), the sketch's margin, and the last bracket known to be right
+    state = {c: {"lo": None, "hi": None, "margin": SKETCH_MARGIN, "sure": (None, None)} for c in cols}
+    todo = list(cols)
+    while todo:
+        aggs = []
+        for c in todo:
+            x, s = F.col(c), state[c]
+            below = F.lit(False) if s["lo"] is None else x < s["lo"]
+            inside = x.isNotNull() & ~below if s["hi"] is None else ~below & (x <= s["hi"])
+            aggs += [F.count(x).alias(f"{c}__n"), F.count(F.when(below, 1)).alias(f"{c}__below"), F.count(F.when(inside, 1)).alias(f"{c}__inside"),
+                     F.min(F.when(inside, x)).alias(f"{c}__min"), F.max(F.when(inside, x)).alias(f"{c}__max"),
+                     F.kll_sketch_agg_double(F.when(inside, x)).alias(f"{c}__sketch")]
+        wide = values.agg(*aggs)
+        shares = F.array(*[F.lit(i / SKETCH_STEPS) for i in range(SKETCH_STEPS + 1)])
+        edges = [F.when(F.col(f"{c}__inside") > 0, F.kll_sketch_get_quantile_double(f"{c}__sketch", shares)).alias(f"{c}__edges") for c in todo]
+        row = wide.select("*", *edges).drop(*[f"{c}__sketch" for c in todo]).first()  # a few hundred numbers per field
+        for c in list(todo):
+            s, get = state[c], lambda name, c=c: row[f"{c}__{name}"]
+            n, below, inside = get("n"), get("below"), get("inside")
+            position = q * (n - 1)
+            if not n:
+                todo.remove(c)
+                del state[c]
+            elif not below <= math.floor(position) <= math.ceil(position) < below + inside:  # a wrong bracket
+                s["lo"], s["hi"] = s["sure"]
+                s["margin"] *= 4
+            elif inside <= ranked_values or get("min") == get("max"):
+                s["lo"], s["hi"] = get("min"), get("max")
+                s |= {"n": n, "below": below}
+                todo.remove(c)
+            else:
+                s["sure"] = (get("min"), get("max"))
+                low, high = (SKETCH_STEPS * (at - below) / inside for at in (math.floor(position), math.ceil(position)))
+                margin = SKETCH_STEPS * s["margin"]
+                s["lo"] = max(get("edges")[max(0, math.floor(low - margin))], get("min"))
+                s["hi"] = min(get("edges")[min(SKETCH_STEPS, math.ceil(high + margin))], get("max"))
+                if (s["lo"], s["hi"]) == s["sure"]:  # few values, many rows each: nothing more to narrow
+                    s |= {"n": n, "below": below}
+                    todo.remove(c)
+    spark = df.sparkSession
+    if not state:
+        return spark.createDataFrame([], "field string, quantile double")
+    inside = F.array(*[
+        F.when(F.col(c).between(s["lo"], s["hi"]), F.struct(F.lit(c).alias("field"), F.col(c).alias("value"))) for c, s in state.items()
+    ])
+    counted = values.select(F.explode(F.array_compact(inside)).alias("v")).groupBy("v.field", "v.value").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("field").orderBy("value")
+    before = F.create_map(*[v for c, s in state.items() for v in (F.lit(c), F.lit(s["below"]).cast("bigint"))])
+    size = F.create_map(*[v for c, s in state.items() for v in (F.lit(c), F.lit(s["n"]).cast("bigint"))])
+    placed = counted.withColumn("last", F.sum("n").over(upto) + F.element_at(before, F.col("field"))).withColumn("first", F.col("last") - F.col("n"))
+    position = F.lit(q) * (F.element_at(size, F.col("field")) - 1)
+    holds = lambda at: (F.col("first") <= at) & (at < F.col("last"))
+    lo, hi = (F.max(F.when(holds(at), F.col("value"))) for at in (F.floor(position), F.ceil(position)))
+    return placed.groupBy("field").agg((lo + (hi - lo) * F.first(position - F.floor(position))).alias("quantile"))
 
 
 # ---------------------------------------------------------------- category fields
@@ -132,41 +183,58 @@ def vocab_offsets(spark: SparkSession, vocab: DataFrame, cols: Sequence[str]) ->
     return sizes.withColumn("offset", F.coalesce(F.sum("size").over(w), F.lit(0)).cast("bigint"))
 
 
-def _vocab_is_small(vocab: DataFrame, max_rows: int) -> bool:
-    return vocab.limit(max_rows + 1).count() <= max_rows
+def _entry_bytes() -> Column:
+    """A generous estimate of what a broadcast entry takes: the value, its code and the hash table's row."""
+    return F.octet_length("value") + F.lit(ENTRY_BYTES)
+
+
+def head_cut(vocab: DataFrame, head_bytes: int) -> tuple[int | None, bool]:
+    """(least count of the head, whether the head is all of ``vocab``), by a histogram of the entries' bytes over their counts.
+
+    The head is the most frequent entries of all fields together, as many as fit in ``head_bytes``. Counts
+    are binned by powers of 2^(1/4), so a few hundred rows reach the driver however large the vocabulary. None: not even
+    the most frequent bin fits.
+    """
+    level = F.floor(4 * F.log2(F.col("count").cast("double"))).cast("int").alias("level")
+    bins = vocab.groupBy(level).agg(F.sum(_entry_bytes()).alias("bytes"), F.min("count").alias("least")).collect()
+    used, least = 0, None
+    for b in sorted(bins, key=lambda r: -r.level):
+        if used + b.bytes > head_bytes:
+            return least, False
+        used, least = used + b.bytes, b.least
+    return least, True
 
 
 def apply_vocab(df: DataFrame, cols: Sequence[str], vocab: DataFrame, suffix: str = "_code",
-                max_broadcast_rows: int = MAX_BROADCAST_VOCAB, n_entries: int | None = None) -> DataFrame:
+                head_bytes: int = HEAD_BYTES) -> DataFrame:
     """Add ``<col><suffix>`` = code of the value, 0 when missing or unseen.
 
-    A vocabulary within ``max_broadcast_rows`` entries (checked with a bounded count) is
-    broadcast and joined per field with no shuffle of ``df``. A larger one is joined once in
-    long form through a shuffle (adaptive skew handling splits a hot value) and pivoted back.
-    ``n_entries`` (known from the fitted sizes) saves the bounded count.
+    ``vocab`` is ``fit_vocab``'s (field, value, count, code). Its most frequent entries, up to ``head_bytes`` in all,
+    are broadcast and joined field by field without moving ``df``; they are also the keys that hold more than their share of
+    the rows. What is left of the vocabulary, if anything, is the tail: the values that the head lacks are joined to it by one
+    shuffle in long form over all fields, where no key is frequent, and a row's few tail codes come back as one map.
     """
-    voc = vocab.select("field", "value", "code")
-    small = n_entries <= max_broadcast_rows if n_entries is not None else _vocab_is_small(voc, max_broadcast_rows)
-    if small:
-        out = df
-        for c in cols:
-            v = F.broadcast(voc.where(F.col("field") == c).select(
-                F.col("value").alias(f"_v_{c}"), F.col("code").alias(c + suffix)))
-            out = out.join(v, out[c].cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
-            out = out.withColumn(c + suffix, F.coalesce(F.col(c + suffix), F.lit(0)).cast("bigint"))
-        return out
-    rid = "_row_id"
-    # written once: both readers below must see the same row numbers, whatever order ``df`` computes its rows in
-    base = materialize(df.withColumn(rid, F.monotonically_increasing_id()), "vocab-rows")
-    # missing values stay out of the join (they would share one key) and come back as 0
-    long = unpivot(base, cols, [rid]).where(F.col("value").isNotNull()).join(voc, ["field", "value"])
-    wide = long.groupBy(rid).pivot("field", list(cols)).agg(F.first("code"))
-    for c in cols:
-        wide = wide.withColumnRenamed(c, c + suffix)
-    out = base.join(wide, rid, "left").drop(rid)
+    least, whole = head_cut(vocab, head_bytes)
+    voc = vocab.select("field", "value", "count", "code")
+    head = voc.where(F.col("count") >= least) if least is not None else voc.limit(0)
+    out = df
     for c in cols:
-        out = out.withColumn(c + suffix, F.coalesce(F.col(c + suffix), F.lit(0)).cast("bigint"))
-    return out
+        v = F.broadcast(head.where(F.col("field") == c).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(c + suffix)))
+        out = out.join(v, out[c].cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
+    if not whole:
+        rid = "_row_id"
+        # written once: the readers below must see the same row numbers, whatever order ``df`` computes its rows in
+        out = materialize(out.withColumn(rid, F.monotonically_increasing_id()), "vocab-rows")
+        tail = voc if least is None else voc.where(F.col("count") < least)
+        asked = [F.when(F.col(c + suffix).isNull() & F.col(c).isNotNull(), F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")))
+                 for c in cols]
+        missing = out.select(rid, F.explode(F.array_compact(F.array(*asked))).alias("_m")).select(rid, "_m.field", "_m.value")
+        found = missing.join(tail.select("field", "value", "code"), ["field", "value"])
+        codes = found.groupBy(rid).agg(F.map_from_entries(F.collect_list(F.struct("field", "code"))).alias("_codes"))  # an entry a field at most
+        out = out.join(codes, rid, "left")
+        out = out.select(*[c for c in out.columns if c not in (rid, "_codes") and c not in [k + suffix for k in cols]],
+                         *[F.coalesce(F.col(c + suffix), F.element_at("_codes", F.lit(c))).alias(c + suffix) for c in cols])
+    return out.withColumns({c + suffix: F.coalesce(F.col(c + suffix), F.lit(0)).cast("bigint") for c in cols})
 
 
 def global_index_columns(cols: Sequence[str], offsets: dict[str, int], base: int, suffix: str = "_code") -> list[Column]:
@@ -179,12 +247,6 @@ def collect_offsets(offsets: DataFrame) -> dict[str, int]:
     return {r["field"]: int(r["offset"]) for r in offsets.collect()}
 
 
-def collect_sizes(offsets: DataFrame) -> tuple[dict[str, int], int]:
-    """(offset per field, vocabulary entries over all fields), from one small collect."""
-    rows = offsets.collect()
-    return {r["field"]: int(r["offset"]) for r in rows}, sum(int(r["size"]) - 1 for r in rows)
-
-
 # ---------------------------------------------------------------- indexers and labels
 
 def string_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:

@@ -77,6 +77,11 @@ def block_pairs(
     )
     lk = F.col("l__ord") if order is not None else F.col(f"l_{member}")
     rk = F.col("r__ord") if order is not None else F.col(f"r_{member}")
+    # Both sides are dealt to a named number of partitions: rows meet in pairs, so a partition's work isn't its size, and Spark
+    # would otherwise merge partitions by size until a few tasks make all the pairs.
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = left.repartition(n, group, "_a", "_b")
+    right = right.repartition(n, "_g", "_ra", "_rb")
     joined = left.join(
         right.hint("merge"),  # a sorted side spills where a hash table could not
         (F.col(group) == F.col("_g")) & (F.col("_a") == F.col("_ra")) & (F.col("_b") == F.col("_rb")),

@@ -5,18 +5,28 @@ ItemCF (R9): score(u, j) = sum over u's items i having j among their top-K of si
 Items the user already has in train are never recommended (J8). Lists keep N items per user.
 
 Plan: restrict to eligible users first (semi-join, J7), expand (J9/J10), aggregate per
-(user, item) with map-side partial sums, drop seen items with an anti-join on the aggregated
-rows, round, then a per-user ``row_number() <= N`` (WindowGroupLimit trims before the shuffle).
+(user, item) with the seen items as marker rows of the same aggregate (J8), round, then a per-user
+``row_number() <= N`` (WindowGroupLimit trims before the shuffle). A sweep over K cuts each list to the
+rows above a floor before anything is sorted (``sweep_top_n``).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.columns import prefixed_key
+from affinity.session import materialize
 
 SCORE_DIGITS = 6
+# Neighbor lists are broadcast up to this many entries (about 40 bytes each, so 160 MB).
+MAX_BROADCAST_ENTRIES = 4_000_000
+# Users of more rows are not gathered by user: their candidates are dealt by (user, item).
+HEAVY_USER_ROWS = 50_000
+# Groups per list entry that place a list's floor; more make it tighter.
+FLOOR_GROUPS = 3
 
 
 def eligible_users_ucf(topk: DataFrame, test: DataFrame) -> DataFrame:
@@ -29,45 +39,90 @@ def eligible_users_icf(train: DataFrame, test: DataFrame) -> DataFrame:
     return test.select("user_id").distinct().join(train.select("user_id"), "user_id", "left_semi")
 
 
-def user_cf_scores(train: DataFrame, topk: DataFrame, users: DataFrame | None = None,
-                   normalize: bool = False, by: tuple = ()) -> DataFrame:
-    """(user_id, item_id, score) before the top-N cut; seen items removed.
+def _unseen_sums(contributions: DataFrame, aggs: list, by: list) -> DataFrame:
+    """Aggregates per (by, user_id, item_id) of the items a user hasn't seen.
 
-    ``normalize`` divides by the summed similarity of the contributing neighbors (1e-10 when
-    that sum is 0), the variant the reference computes and leaves commented out. ``by`` are
-    extra key columns of ``topk`` kept through (the k of a sweep).
+    Seen items come as rows of their own with ``seen`` set, so that the aggregate drops them: an anti-join
+    would sort the candidates, the largest table of the plan, once more.
     """
-    by = list(by)
-    nb = topk.select(*by, "user_id", "neighbor_id", "sim")
+    sums = contributions.groupBy(*by, "user_id", "item_id").agg(*aggs, F.max("seen").alias("_seen"))
+    return sums.where(F.col("_seen").isNull()).drop("_seen")
+
+
+def _user_contributions(train: DataFrame, topk: DataFrame, users: DataFrame | None, extra: list) -> DataFrame:
+    """(extra, user_id, item_id, sim, r, seen): the ratings of each user's neighbors and the user's own rows."""
+    nb = topk.select(*extra, "user_id", "neighbor_id", "sim")
     if users is not None:
         nb = nb.join(users, "user_id", "left_semi")
     theirs = train.select(F.col("user_id").alias("neighbor_id"), "item_id", F.col("rating").cast("double").alias("r"))
-    cand = nb.join(theirs, "neighbor_id")
-    agg = cand.groupBy(*by, "user_id", "item_id").agg(
-        F.sum(F.col("sim") * F.col("r")).alias("total"), F.sum("sim").alias("sim_sum")
-    )
-    seen = train.select("user_id", "item_id")
-    agg = agg.join(seen, ["user_id", "item_id"], "left_anti")
-    if normalize:
-        den = F.when(F.col("sim_sum") == 0, F.lit(1e-10)).otherwise(F.col("sim_sum"))
-        score = F.col("total") / den
-    else:
-        score = F.col("total")
-    return agg.select(*by, "user_id", "item_id", F.round(score, SCORE_DIGITS).alias("score"))
+    # named, as in _item_contributions: a neighbor stands for all its ratings
+    n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = nb.repartition(n, "neighbor_id").join(theirs.repartition(n, "neighbor_id"), "neighbor_id").select(*extra, "user_id", "item_id", "sim", "r", F.lit(None).cast("int").alias("seen"))
+    return found.unionByName(train.select("user_id", "item_id", F.lit(1).alias("seen")), allowMissingColumns=True)
 
 
-def item_cf_scores(train: DataFrame, topk: DataFrame, users: DataFrame | None = None, by: tuple = ()) -> DataFrame:
-    """(user_id, item_id, score) before the top-N cut; seen items removed."""
-    by = list(by)
+def _item_contributions(train: DataFrame, topk: DataFrame, users: DataFrame | None, extra: list) -> list[DataFrame]:
+    """(user_id, item_id, sim, r, extra, seen) of every rated item's neighbors and of the rated items themselves.
+
+    The neighbor lists (at most K entries an item) are joined whole to the rating rows and unfolded afterwards. Lists of
+    ``MAX_BROADCAST_ENTRIES`` entries in all are broadcast to rating rows that were dealt by user, so
+    the unfolded rows, K times the ratings, are summed where they arise and never shuffled. Users of more than
+    ``HEAVY_USER_ROWS`` rows stay apart: their rows are dealt by (user, item) like any others beyond the broadcast bound.
+    """
     mine = train.select("user_id", F.col("item_id").alias("src_id"), F.col("rating").cast("double").alias("r"))
     if users is not None:
         mine = mine.join(users, "user_id", "left_semi")
-    nb = topk.select(*by, F.col("item_id").alias("src_id"), F.col("neighbor_id").alias("item_id"), "sim")
-    cand = mine.join(nb, "src_id")
-    agg = cand.groupBy(*by, "user_id", "item_id").agg(F.sum(F.col("sim") * F.col("r")).alias("total"))
-    seen = train.select("user_id", "item_id")
-    agg = agg.join(seen, ["user_id", "item_id"], "left_anti")
-    return agg.select(*by, "user_id", "item_id", F.round("total", SCORE_DIGITS).alias("score"))
+    entry = F.struct(F.col("neighbor_id").alias("item_id"), "sim", *extra, F.lit(None).cast("int").alias("seen"))
+    topk = materialize(topk.select("item_id", "neighbor_id", "sim", *extra), "item-neighbors")
+    lists = topk.groupBy(F.col("item_id").alias("src_id")).agg(F.collect_list(entry).alias("near"))
+    kinds = {f.name: f.dataType for f in topk.schema.fields}
+    itself = F.struct(F.col("src_id").alias("item_id"), *[F.lit(None).cast(kinds[c]).alias(c) for c in ("sim", *extra)], F.lit(1).alias("seen"))
+    if topk.count() <= MAX_BROADCAST_ENTRIES:  # the row counts of the written files
+        sizes = train.groupBy("user_id").agg(F.count(F.lit(1)).alias("_rows"))
+        mine = materialize(mine.join(sizes, "user_id"), "rated-rows")
+        # a number of partitions is named, as these rows unfold: without one Spark would merge partitions by the size they have now
+        n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = [mine.where(F.col("_rows") <= HEAVY_USER_ROWS).repartition(n, "user_id"), mine.where(F.col("_rows") > HEAVY_USER_ROWS)]
+        lists = F.broadcast(lists)
+    else:
+        parts = [mine]
+    out = []
+    for part in parts:
+        near = F.concat(F.array(itself), F.coalesce("near", F.array().cast(lists.schema["near"].dataType)))
+        unfolded = part.join(lists, "src_id", "left").select("user_id", "r", F.explode(near).alias("_n"))
+        out.append(unfolded.select("user_id", "_n.*", "r"))
+    return out
+
+
+def user_cf_scores(train: DataFrame, topk: DataFrame, users: DataFrame | None = None, normalize: bool = False) -> DataFrame:
+    """(user_id, item_id, score) before the top-N cut; seen items removed.
+
+    ``normalize`` divides by the summed similarity of the contributing neighbors (1e-10 when
+    that sum is 0), the variant the reference computes and leaves commented out.
+    """
+    total, weight = F.sum(F.col("sim") * F.col("r")).alias("total"), F.sum("sim").alias("sim_sum")
+    sums = _unseen_sums(_user_contributions(train, topk, users, []), [total, weight] if normalize else [total], [])
+    return sums.select("user_id", "item_id", F.round(_score("total", "sim_sum", normalize), SCORE_DIGITS).alias("score")).where(
+        F.col("score").isNotNull())
+
+
+def item_cf_scores(train: DataFrame, topk: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """(user_id, item_id, score) before the top-N cut; seen items removed."""
+    parts = _item_contributions(train, topk, users, [])
+    sums = [_unseen_sums(p, [F.sum(F.col("sim") * F.col("r")).alias("total")], []) for p in parts]
+    return reduce(DataFrame.unionByName, sums).select("user_id", "item_id", F.round("total", SCORE_DIGITS).alias("score"))
+
+
+def _score(total: str, weight: str, normalize: bool):
+    if not normalize:
+        return F.col(total)
+    return F.col(total) / F.when(F.col(weight) == 0, F.lit(1e-10)).otherwise(F.col(weight))
+
+
+def _list_order(tie: str) -> list:
+    if tie == "key_desc":
+        return [F.col("score").desc(), prefixed_key("item_", "item_id").desc()]
+    return [F.col("score").desc(), F.col("item_id").asc()]
 
 
 def top_n(scores: DataFrame, n: int = 50, tie: str = "item_asc", by: tuple = ()) -> DataFrame:
@@ -78,23 +133,18 @@ def top_n(scores: DataFrame, n: int = 50, tie: str = "item_asc", by: tuple = ())
     ``row_number() <= n`` is planned as a WindowGroupLimit: every map task keeps n rows per
     user before the shuffle.
     """
-    if tie == "key_desc":
-        order = [F.col("score").desc(), prefixed_key("item_", "item_id").desc()]
-    else:
-        order = [F.col("score").desc(), F.col("item_id").asc()]
-    by = list(by)
-    w = Window.partitionBy(*by, "user_id").orderBy(*order)
+    w = Window.partitionBy(*by, "user_id").orderBy(*_list_order(tie))
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
 def recommend_user_cf(train: DataFrame, topk: DataFrame, users: DataFrame | None = None, n: int = 50,
-                      normalize: bool = False, tie: str = "key_desc", by: tuple = ()) -> DataFrame:
-    return top_n(user_cf_scores(train, topk, users, normalize, by), n, tie, by)
+                      normalize: bool = False, tie: str = "key_desc") -> DataFrame:
+    return top_n(user_cf_scores(train, topk, users, normalize), n, tie)
 
 
 def recommend_item_cf(train: DataFrame, topk: DataFrame, users: DataFrame | None = None, n: int = 50,
-                      tie: str = "item_asc", by: tuple = ()) -> DataFrame:
-    return top_n(item_cf_scores(train, topk, users, by), n, tie, by)
+                      tie: str = "item_asc") -> DataFrame:
+    return top_n(item_cf_scores(train, topk, users), n, tie)
 
 
 def _k_bucket(ks: list[int]) -> F.Column:
@@ -108,48 +158,55 @@ def _k_bucket(ks: list[int]) -> F.Column:
 
 def sweep_scores(train: DataFrame, topk: DataFrame, ks: list[int], users: DataFrame | None = None,
                  mode: str = "item", normalize: bool = False) -> DataFrame:
-    """(k, user_id, item_id, score) for every k of a sweep, from one top-max(k) table.
+    """(user_id, item_id, score_<k> ...), one score for every k of a sweep, from one top-max(k) table.
 
     Each candidate contribution is tagged with the smallest k its neighbor rank falls in and
     aggregated once per (user, item) with one conditional sum per k (scores for a larger k
-    include the contributions of the smaller ones). Nothing is copied per k, unlike a join
-    with a table of k values. A user-item pair appears for k only if it has a contribution
-    there.
+    include the contributions of the smaller ones). Nothing is copied per k. A score is null where the
+    pair has no contribution for that k.
     """
     ks = sorted(ks)
     nb = topk.where(F.col("rank") <= max(ks)).withColumn("_kb", _k_bucket(ks))
-    if mode == "item":
-        mine = train.select("user_id", F.col("item_id").alias("src_id"), F.col("rating").cast("double").alias("r"))
-        if users is not None:
-            mine = mine.join(users, "user_id", "left_semi")
-        cand = mine.join(nb.select(F.col("item_id").alias("src_id"), F.col("neighbor_id").alias("item_id"), "sim", "_kb"),
-                         "src_id")
-    else:
-        nbu = nb.select("user_id", "neighbor_id", "sim", "_kb")
-        if users is not None:
-            nbu = nbu.join(users, "user_id", "left_semi")
-        theirs = train.select(F.col("user_id").alias("neighbor_id"), "item_id", F.col("rating").cast("double").alias("r"))
-        cand = nbu.join(theirs, "neighbor_id")
-    contrib = F.col("sim") * F.col("r")
     aggs = []
     for k in ks:
         inside = F.col("_kb") <= k
-        aggs.append(F.sum(F.when(inside, contrib)).alias(f"_t{k}"))
+        aggs.append(F.sum(F.when(inside, F.col("sim") * F.col("r"))).alias(f"_t{k}"))
         if normalize:
             aggs.append(F.sum(F.when(inside, F.col("sim"))).alias(f"_s{k}"))
-    agg = cand.groupBy("user_id", "item_id").agg(*aggs)
-    agg = agg.join(train.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    parts = _item_contributions(train, nb, users, ["_kb"]) if mode == "item" else [_user_contributions(train, nb, users, ["_kb"])]
+    wide = reduce(DataFrame.unionByName, [_unseen_sums(p, aggs, []) for p in parts])
+    scores = [F.round(_score(f"_t{k}", f"_s{k}", normalize), SCORE_DIGITS).alias(f"score_{k}") for k in ks]
+    return wide.where(F.col(f"_t{max(ks)}").isNotNull()).select("user_id", "item_id", *scores)
+
+
+def list_floors(wide: DataFrame, cols: list[str], n: int) -> DataFrame:
+    """(user_id, one floor per column): no row of a user's n best has less than the floor (null: fewer rows may be known).
+
+    The items of a user are dealt to ``FLOOR_GROUPS`` times n groups by a hash. The n-th largest of the groups' maxima
+    is reached by n different items, so it bounds the n-th best score from below. Maxima combine before
+    their shuffle and a user has a bounded number of them, so no user's rows are gathered or sorted.
+    """
+    group = F.pmod(F.xxhash64("item_id"), F.lit(FLOOR_GROUPS * n)).alias("_g")
+    maxima = wide.groupBy("user_id", group).agg(*[F.max(c).alias(c) for c in cols])
+    largest = [F.get(F.sort_array(F.collect_list(c), asc=False), F.lit(n - 1)).alias(f"_floor_{c}") for c in cols]  # nulls aren't collected
+    return maxima.groupBy("user_id").agg(*largest)
+
 
-    def score(k):
-        if not normalize:
-            return F.col(f"_t{k}")
-        den = F.when(F.col(f"_s{k}") == 0, F.lit(1e-10)).otherwise(F.col(f"_s{k}"))
-        return F.col(f"_t{k}") / den
+def sweep_top_n(wide: DataFrame, ks: list[int], n: int = 50, tie: str = "item_asc") -> DataFrame:
+    """(k, user_id, item_id, score, rank), the n best items of every user for every k, from the wide scores.
 
-    per_k = F.array(*[F.struct(F.lit(k).alias("k"), F.round(score(k), SCORE_DIGITS).alias("score")) for k in ks])
-    out = agg.select("user_id", "item_id", F.explode(per_k).alias("_ks"))
-    return out.where(F.col("_ks.score").isNotNull()).select(
-        F.col("_ks.k").alias("k"), "user_id", "item_id", F.col("_ks.score").alias("score"))
+    The wide rows are written once and read twice: for the floors, and for the rows at or above their list's floor. Only these are
+    unfolded to (k, user, item) and sorted; a few more than n a list, however many candidates there are.
+    """
+    ks = sorted(ks)
+    wide = materialize(wide, "sweep-scores")
+    cols = [f"score_{k}" for k in ks]
+    floors = list_floors(wide, cols, n)
+    reached = [
+        F.when(F.col(c) >= F.coalesce(f"_floor_{c}", c), F.struct(F.lit(k).alias("k"), F.col(c).alias("score"))) for k, c in zip(ks, cols)
+    ]
+    kept = wide.join(floors, "user_id").select("user_id", "item_id", F.explode(F.array_compact(F.array(*reached))).alias("_ks"))
+    return top_n(kept.select("_ks.k", "user_id", "item_id", "_ks.score"), n, tie, by=("k",))
 
 
 def with_hits(recs: DataFrame, test: DataFrame) -> DataFrame:
@@ -165,5 +222,5 @@ def with_hits(recs: DataFrame, test: DataFrame) -> DataFrame:
 
 __all__ = [
     "eligible_users_ucf", "eligible_users_icf", "user_cf_scores", "item_cf_scores", "top_n",
-    "recommend_user_cf", "recommend_item_cf", "sweep_scores", "with_hits",
+    "recommend_user_cf", "recommend_item_cf", "sweep_scores", "list_floors", "sweep_top_n", "with_hits",
 ]

@@ -33,9 +33,9 @@ def _encoded(spark: SparkSession, sf: str, cutoff: int = CUTOFF):
     clicks = _clicks(spark, sf)
     stats = features.fit_minmax(clicks, NUM, CLIPS)
     vocab = features.written_vocab(clicks, CAT, cutoff)
-    offsets, n_entries = features.collect_sizes(features.vocab_offsets(spark, vocab, CAT))
+    offsets = features.collect_offsets(features.vocab_offsets(spark, vocab, CAT))
     out = features.apply_minmax(clicks, stats, suffix="_s")
-    out = features.apply_vocab(out, CAT, vocab, n_entries=n_entries)
+    out = features.apply_vocab(out, CAT, vocab)
     out = out.select("*", *features.global_index_columns(CAT, offsets, base=len(NUM)))
     return out.withColumn("is_train", hash_bucket(["row_key"], 10) != 0)
 
@@ -192,13 +192,39 @@ def q_fmt_svmlight_parse(spark, sf):
         "row_key", "label", "pos", F.col("p.idx").alias("idx"), F.col("p.val").alias("val"))
 
 
+# lines damaged by the hash of their key: no label, a value that is no number, a pair without a value, one with two
+_DAMAGED = f"""SELECT row_key, CASE {S.bucket('row_key', 40)} WHEN 0 THEN 'x' || line WHEN 1 THEN line || ' 7:one'
+       WHEN 2 THEN line || ' 8' WHEN 3 THEN line || ' 9:1:1' ELSE line END AS line, {S.bucket('row_key', 40)} AS b, label, toks
+FROM (SELECT row_key, label, line, string_split(line, ' ')[2:] AS toks
+      FROM (SELECT row_key, label, {_fm_sql(chr(39) + ' ' + chr(39), True)} AS line FROM coded))"""
+
+
+@query("fmt_svmlight_rejects", _with(*_ENC) + f"""SELECT row_key, CASE WHEN b > 3 THEN label END AS label,
+       CASE WHEN b > 3 THEN len(toks) END AS n_pairs, CASE WHEN b > 3 THEN round(list_sum(list_transform(toks,
+            lambda t: CAST(split_part(t, ':', 1) AS BIGINT) * CAST(split_part(t, ':', 2) AS DOUBLE))), 6) END AS checksum,
+       CASE WHEN b = 0 THEN 'label' WHEN b <= 3 THEN 'pair ' || (len(toks) + 1) END AS reason
+FROM ({_DAMAGED})""")
+def q_fmt_svmlight_rejects(spark, sf):
+    """S10 with a reject channel: FM lines, one in ten damaged, parsed into good rows and lines with a reason."""
+    e = _encoded(spark, sf)
+    b = hash_bucket(["row_key"], 40)
+    line = writers.fm_line(_VALS, [f"{c}_idx" for c in CAT], "label")
+    damaged = F.when(b == 0, F.concat(F.lit("x"), line)).when(b == 1, F.concat(line, F.lit(" 7:one"))).when(
+        b == 2, F.concat(line, F.lit(" 8"))).when(b == 3, F.concat(line, F.lit(" 9:1:1"))).otherwise(line)
+    lines = materialize(e.select("row_key", damaged.alias("line")), "damaged-lines")
+    good, rejects = readers.parse_pairs_checked(lines, "line")
+    total = F.aggregate("pairs", F.lit(0.0), lambda acc, p: acc + p["idx"] * p["val"])
+    kept = good.select("row_key", "label", F.size("pairs").cast("bigint").alias("n_pairs"), F.round(total, 6).alias("checksum"))
+    return kept.unionByName(rejects.select("row_key", "reason"), allowMissingColumns=True)
+
+
 def _reformat_sql(labeled: bool) -> str:
     src = _fm_sql("chr(9)", labeled)
     rest = "toks[2:]" if labeled else "toks"
     label = "CAST(CAST(toks[1] AS DOUBLE) AS BIGINT)" if labeled else "0"
     return _with(*_ENC) + f"""SELECT row_key, concat_ws(' ', CAST({label} AS VARCHAR),
        array_to_string(list_transform({rest}, lambda t: CAST(split_part(t, ':', 1) AS INTEGER) || ':' ||
-                       CAST(CAST(split_part(t, ':', 2) AS DECIMAL(38,16)) AS VARCHAR)), ' ')) AS line
+                       printf('%.16f', CAST(split_part(t, ':', 2) AS DOUBLE))), ' ')) AS line
 FROM (SELECT row_key, string_split({src}, chr(9)) AS toks FROM coded)"""
 
 

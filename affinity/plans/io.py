@@ -10,6 +10,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from affinity.functions.columns import hash_bucket
+from affinity.operators import features, split
 from affinity.plans import sql as S
 from affinity.plans.clicks import CAT, _VALS, _encoded, _fm_sql, _with, _ENC
 from affinity.plans.registry import query
@@ -59,6 +61,55 @@ def q_sink_shards(spark, sf):
     return readers.read_csv(spark, path, schema=CLICK_SCHEMA, header=True)
 
 
+# fields of a row after the damage: one lost, one too many, words for a number
+_DAMAGED = f"""SELECT {CLICK_COLS}, {S.bucket('row_key', 50)} AS b FROM clicks"""
+
+
+@query("src_tsv_rejects", _with(S.CLICKS) + f"""SELECT row_key, label, i2, c3, CASE b WHEN 0 THEN 'fields: 10 of 11' WHEN 1 THEN 'fields: 12 of 11'
+       WHEN 2 THEN 'value: i3' END AS reason
+FROM (SELECT row_key, CASE WHEN b > 2 THEN label END AS label, CASE WHEN b > 2 THEN i2 END AS i2, CASE WHEN b > 2 THEN c3 END AS c3, b
+      FROM ({_DAMAGED}))""")
+def q_src_tsv_rejects(spark, sf):
+    """S3 with a reject channel: the clicks as lines, some damaged by their key's hash, read back as good rows and rejects."""
+    path = _path(spark, "clicks-damaged")
+    clicks = tables.clicks(spark, sf).select(*CLICK_COLS.split(", "))
+    b = hash_bucket(["row_key"], 50)
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in clicks.columns}
+    text["i3"] = F.when(b == 2, F.lit("many")).otherwise(text["i3"])
+    line = F.concat_ws("\t", *text.values())
+    short = F.concat_ws("\t", *list(text.values())[:-1])
+    damaged = F.when(b == 0, short).when(b == 1, F.concat(line, F.lit("\textra"))).otherwise(line)
+    writers.write_text(clicks.select(damaged.alias("line")), "line", path)
+    good, rejects = readers.read_csv_checked(spark, path, CLICK_SCHEMA)
+    lost = rejects.select(F.split("line", "\t").getItem(0).alias("row_key"), "reason")
+    return good.select("row_key", "label", "i2", "c3").unionByName(lost, allowMissingColumns=True)
+
+
+@query("sink_shards_consecutive", _with(S.INTER) + """SELECT user_id, item_id, rating, CAST(ntile(7) OVER (ORDER BY user_id, item_id) - 1 AS INTEGER) AS shard
+FROM interactions""")
+def q_sink_shards_consecutive(spark, sf):
+    """7 consecutive files, each with its header, whose sizes differ by one row at most; the shard is the file's number."""
+    path = _path(spark, "ratings-consecutive")
+    inter = tables.interactions(spark, sf).select("user_id", "item_id", "rating")
+    writers.write_consecutive_shards(inter, path, 7, ["user_id", "item_id"])
+    back = readers.read_csv(spark, path, schema="user_id bigint, item_id bigint, rating int", header=True)
+    number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+    return back.select("user_id", "item_id", "rating", number.alias("shard"))
+
+
+@query("sink_dump_columns", _with(S.INTER) + f"""SELECT i.user_id, i.item_id, i.ts, CASE WHEN i.rating >= 4 THEN 1 ELSE 0 END AS label, p.p_type AS genres,
+       {S.bucket('user_id, item_id')} < 7 AS is_train
+FROM interactions i LEFT JOIN part p ON p.p_partkey = i.item_id""")
+def q_sink_dump_columns(spark, sf):
+    """The selected columns of the training table, dumped as one table and as train and test, and read again."""
+    inter = tables.interactions(spark, sf).select("*", features.threshold_label()).join(tables.items(spark, sf), "item_id", "left")
+    cols = ["user_id", "item_id", "ts", "label", "genres"]
+    whole = writers.dump_columns(inter, cols, _path(spark, "movies-data"))
+    train, test = split.split_hash(whole, ["user_id", "item_id"])
+    train, test = (writers.dump_columns(part, cols, _path(spark, name)) for part, name in ((train, "train-data"), (test, "test-data")))
+    return train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
+
+
 @query("limit_head", _with(S.INTER) + "SELECT user_id, item_id, rating FROM interactions ORDER BY user_id, item_id LIMIT 5")
 def q_limit_head(spark, sf):
     """A stable peek at the first rows."""

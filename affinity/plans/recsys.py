@@ -464,7 +464,7 @@ def _sweep_query(name: str, ucf: bool, ks: list[int], scripts: bool = False):
         if scripts:
             users = recommend.eligible_users_icf(train, test)
         scores = recommend.sweep_scores(train, topk, ks, users, mode="user" if ucf else "item")
-        recs = recommend.top_n(scores, N_LIST, "key_desc" if ucf else "item_asc", by=("k",))
+        recs = recommend.sweep_top_n(scores, ks, N_LIST, "key_desc" if ucf else "item_asc")
         return evaluate.sweep_metrics(recs, train, test, users, ks, N_LIST, "test" if scripts else "train",
                                       pop_distinct=not scripts)
 

@@ -8,10 +8,14 @@ filter, an ordered head, and random columns attached to an existing table.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from affinity.session import materialize
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, header: bool = True,
              infer: bool = False, sep: str = ",", null_value: str | None = None) -> DataFrame:
@@ -30,6 +34,50 @@ def read_tsv_positional(spark: SparkSession, path: str, schema: StructType | str
     return read_csv(spark, path, schema=schema, header=False, sep="\t", null_value="")
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType | str, header: bool = False, sep: str = "\t",
+                     null_value: str | None = "") -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects): delimited lines that fit the schema, and (line, reason) of those that don't.
+
+    A line is rejected when its number of fields differs from the schema's or a field can't be read as its type; the reader itself
+    keeps such lines as corrupt records. The reason names the first of them: ``fields: <found> of <expected>`` or
+    ``value: <column>``. Nothing is dropped or read as missing: every line is in one of the two.
+    """
+    want = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    bad = "_corrupt_line"
+    r = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad)
+    if null_value is not None:
+        r = r.option("nullValue", null_value).option("emptyValue", null_value)
+    # written once: both results read it, and a reader that parses only some of the columns would find fewer faults
+    rows = materialize(r.schema(StructType([*want.fields]).add(bad, "string")).csv(path), "checked-lines")
+    good = rows.where(F.col(bad).isNull()).drop(bad)
+    rejects = rows.where(F.col(bad).isNotNull()).select(bad, *[F.col(f.name).isNull().alias(f.name) for f in want.fields])
+    fields = F.split(bad, re.escape(sep), -1)
+    reason = F.when(F.size(fields) != len(want.fields), F.concat(F.lit("fields: "), F.size(fields).cast("string"), F.lit(f" of {len(want.fields)}")))
+    for i, f in enumerate(want.fields):
+        given = F.get(fields, F.lit(i))
+        reason = reason.when(F.col(f.name) & (given != (null_value or "")), F.lit(f"value: {f.name}"))
+    return good, rejects.select(F.col(bad).alias("line"), reason.otherwise(F.lit("line")).alias("reason"))
+
+
+def parse_pairs_checked(lines: DataFrame, line: str, sep: str = " ") -> tuple[DataFrame, DataFrame]:
+    """S10 with a reject channel: (good, rejects) of 'label idx:val ...' lines.
+
+    good: the columns of ``lines``, then label int and pairs; rejects: the columns of ``lines`` and the reason, ``label`` or
+    ``pair <place>`` (from 1) of the first token that isn't ``index:number``.
+    """
+    toks = F.split(F.col(line), sep)
+    label = F.expr("try_cast(try_cast(_toks[0] AS double) AS int)")
+    pairs = F.expr("""transform(filter(slice(_toks, 2, greatest(size(_toks) - 1, 0)), t -> t <> ''), t -> struct(
+        try_cast(split(t, ':')[0] AS int) AS idx, try_cast(get(split(t, ':'), 1) AS double) AS val, size(split(t, ':')) AS parts))""")
+    wrong = F.expr("transform(_pairs, p -> p.idx IS NULL OR p.val IS NULL OR p.parts <> 2)")
+    read = lines.withColumn("_toks", toks).withColumn("_label", label).withColumn("_pairs", pairs).withColumn("_at", F.array_position(wrong, F.lit(True)))
+    fine = F.col("_label").isNotNull() & (F.col("_at") == 0)
+    reason = F.when(F.col("_label").isNull(), F.lit("label")).otherwise(F.concat(F.lit("pair "), F.col("_at").cast("string")))
+    clean = F.transform("_pairs", lambda p: F.struct(p["idx"].alias("idx"), p["val"].alias("val")))
+    good = read.where(F.coalesce(fine, F.lit(False))).select(*lines.columns, F.col("_label").alias("label"), clean.alias("pairs"))
+    return good, read.where(~F.coalesce(fine, F.lit(False))).select(*lines.columns, reason.alias("reason"))
+
+
 def truncated_int(c) -> Column:
     """P2: '3.5' -> 3. A direct string -> int cast fails under ANSI mode, so go via double."""
     return (F.col(c) if isinstance(c, str) else c).cast("double").cast("int")

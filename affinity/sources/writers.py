@@ -7,7 +7,7 @@ row for row; ``write_text``/``write_csv``/``write_shards`` put them into files.
 * FM       (S7): ``label 0:v0 ... (N-1):v idx:1 ...``  zero-based, space separated
 * FFM      (S8): ``label\\tf:f:v ... f:idx:1``          field number:feature index:value
 * svmlight (S9): ``target idx:val ...``                 zero entries left out, zero-based
-* reformat (S11/S12): ``label idx:val`` with the value written with 16 decimals
+* reformat (S11/S12): ``label idx:val`` with the value written as ``%.16f``
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.functions.columns import double_text, trim_decimal
+from affinity.functions.columns import double_text, fixed16, trim_decimal
+from affinity.operators.ranking import global_rank
 
 
 def _c(x) -> Column:
@@ -55,8 +56,8 @@ def svmlight_line(target, features: Sequence) -> Column:
 def reformat_line(line, in_sep: str = "\t", labeled: bool = True, label_value: int = 0) -> Column:
     """Re-emit 'label idx:val ...' space separated with 16-decimal values.
 
-    The value text is re-based on its decimal form (decimal(38,16)), not on the binary double,
-    so '2.08' becomes '2.0800000000000000'. Unlabeled input gets ``label_value`` prepended
+    The value is read as a double and written as ``%.16f`` writes it, the double's exact value rounded half-even
+    ('2.08' becomes '2.0800000000000001'). Unlabeled input gets ``label_value`` prepended
     (the reference overwrote feature 0 with it, B13).
     """
     toks = F.split(_c(line), in_sep)
@@ -65,9 +66,7 @@ def reformat_line(line, in_sep: str = "\t", labeled: bool = True, label_value: i
     pairs = F.transform(
         F.filter(toks, lambda t, i: (i >= first) & (t != "")),
         lambda t: F.concat(
-            F.split(t, ":").getItem(0).cast("int").cast("string"),
-            F.lit(":"),
-            F.split(t, ":").getItem(1).cast("decimal(38,16)").cast("string"),
+            F.split(t, ":").getItem(0).cast("int").cast("string"), F.lit(":"), fixed16(F.split(t, ":").getItem(1).cast("double")),
         ),
     )
     return F.concat_ws(" ", label, F.array_join(pairs, " "))
@@ -99,3 +98,38 @@ def write_shards(df: DataFrame, path: str, n: int, header: bool = True, key: Seq
     else:
         parts = df.repartition(n)
     write_csv(parts, path, header=header)
+
+
+def consecutive_shards(df: DataFrame, n: int, order: Sequence[str], name: str = "shard", place: str = "place") -> DataFrame:
+    """``df`` dealt to n partitions of consecutive rows in ``order`` (unique), sizes at most one apart, sorted inside.
+
+    ``name`` is the partition's number (from 0), ``place`` the row's place in it (from 1). The place in the whole
+    table is a range-partitioned rank, so no task sorts or holds more than its share; the shard follows from it by
+    arithmetic (the first ``total % n`` shards take one row more) and names the partition explicitly. Rows with a
+    null in ``order`` come first.
+    """
+    ranked = global_rank(df, [F.col(c).asc() for c in order], name="_rank")
+    total = ranked.count()
+    small, more = divmod(total, n)
+    at = F.col("_rank") - 1
+    ahead = more * (small + 1)  # rows of the longer shards
+    in_long = at < ahead
+    shard = F.when(in_long, F.floor(at / (small + 1))).otherwise(more + F.floor((at - ahead) / max(small, 1))).cast("int")
+    offset = F.when(in_long, at % (small + 1)).otherwise((at - ahead) % max(small, 1))
+    dealt = ranked.withColumn(name, shard).withColumn(place, (offset + 1).cast("bigint"))
+    return dealt.repartitionById(n, F.col(name)).sortWithinPartitions(place).drop("_rank")
+
+
+def write_consecutive_shards(df: DataFrame, path: str, n: int, order: Sequence[str], header: bool = True) -> None:
+    """N CSV files, each with its own header, that hold the table's rows one file after the other in ``order``.
+
+    Spark names a file after its partition, so the files' names are in the rows' order too; a shard without rows
+    (fewer rows than shards) has no file."""
+    dealt = consecutive_shards(df, n, order)
+    write_csv(dealt.drop("shard", "place"), path, header=header)
+
+
+def dump_columns(df: DataFrame, cols: Sequence[str], path: str, mode: str = "overwrite") -> DataFrame:
+    """Write the selected columns as Parquet at ``path`` and return the reread rows."""
+    df.select(*cols).write.mode(mode).parquet(path)
+    return df.sparkSession.read.parquet(path)

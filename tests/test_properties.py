@@ -82,10 +82,38 @@ def test_sweep_scores_match_per_k(inter):
     sweep = recommend.sweep_scores(train, topk, [5, 20], users, mode="item")
     for k in (5, 20):
         one = recommend.item_cf_scores(train, topk.where(F.col("rank") <= k), users)
-        got = sweep.where(F.col("k") == k).select("user_id", "item_id", "score")
+        got = sweep.select("user_id", "item_id", F.col(f"score_{k}").alias("score")).where("score IS NOT NULL")
         assert got.exceptAll(one).count() == 0 and one.exceptAll(got).count() == 0
 
 
+@pytest.mark.parametrize("mode, heavy, entries", [("item", 50_000, 4_000_000), ("item", 3, 4_000_000), ("item", 50_000, 0), ("user", 50_000, 4_000_000)])
+def test_pruned_sweep_lists_equal_a_plain_ranking(spark, inter, monkeypatch, mode, heavy, entries):
+    """Floors cut no list short, whichever way the candidates are dealt; lists shorter than n keep all their rows."""
+    monkeypatch.setattr(recommend, "HEAVY_USER_ROWS", heavy)
+    monkeypatch.setattr(recommend, "MAX_BROADCAST_ENTRIES", entries)
+    train, test = split.split_hash(inter, ["user_id", "item_id"])
+    entity = "item_id" if mode == "item" else "user_id"
+    topk = similarity.neighbors(train, entity, "user_id" if mode == "item" else "item_id", 20)
+    users = recommend.eligible_users_icf(train, test)
+    ks, tie = [2, 5, 20], "item_asc" if mode == "item" else "key_desc"
+    wide = recommend.sweep_scores(train, topk.checkpoint(), ks, users, mode=mode).checkpoint()
+    long = wide.selectExpr("user_id", "item_id", "stack(3, 2, score_2, 5, score_5, 20, score_20) AS (k, score)").where("score IS NOT NULL")
+    for n in (3, 50, 2000):
+        cols = ["k", "user_id", "item_id", "score", "rank"]
+        want = {tuple(r) for r in recommend.top_n(long, n, tie, by=("k",)).select(*cols).collect()}
+        got = [tuple(r) for r in recommend.sweep_top_n(wide, ks, n, tie).select(*cols).collect()]
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_floors_with_ties(spark):
+    rows = [("u", i, 1.0, None if i else 5.0) for i in range(400)] + [("v", 1, 2.0, None)]
+    wide = spark.createDataFrame(rows, "user_id string, item_id long, score_1 double, score_2 double")
+    floors = {r.user_id: r for r in recommend.list_floors(wide, ["score_1", "score_2"], 10).collect()}
+    assert floors["u"]["_floor_score_1"] == 1.0 and floors["u"]["_floor_score_2"] is None and floors["v"]["_floor_score_1"] is None
+    lists = recommend.sweep_top_n(wide, [1, 2], 10).collect()
+    assert sorted((r.k, r.item_id) for r in lists if r.user_id == "u") == [(1, i) for i in range(10)] + [(2, 0)]
+
+
 def test_global_rank_without_groups_and_with_run_time_partitions(spark):
     df = spark.range(0, 3000).select((F.col("id") * 7919 % 3000).alias("v"), (F.col("id") % 4).alias("g"))
     assert all(r["r"] == r["v"] + 1 for r in global_rank(df, [F.col("v")], name="r").collect())

@@ -2,25 +2,120 @@
 
 import collections
 import math
+import random
+import struct
 
+import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from affinity.operators import cooccur, evaluate, features, history, recommend, split
+from affinity.functions.columns import fixed16
+from affinity.operators import cooccur, embed, evaluate, features, history, recommend, split
 from affinity.sources import readers, tables
 from affinity.sources import writers
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_large_vocabulary_branch_equals_the_small_one(spark):
+def test_head_and_tail_of_a_vocabulary_give_the_same_codes(spark):
     clicks = tables.clicks(spark, SF)
     cols = tables.CLICK_CATEGORY
-    vocab = features.written_vocab(clicks, cols, 10)
+    vocab = features.written_vocab(clicks, cols, 2)
     shuffled = clicks.repartition(16)  # computed lazily, in another order by each reader
     pick = ["row_key", *[f"{c}_code" for c in cols]]
-    small = features.apply_vocab(shuffled, cols, vocab).select(*pick).collect()
-    large = features.apply_vocab(shuffled, cols, vocab, max_broadcast_rows=0).select(*pick).collect()
-    assert collections.Counter(map(tuple, small)) == collections.Counter(map(tuple, large))
+    total = vocab.agg(F.sum(F.octet_length("value") + features.ENTRY_BYTES)).first()[0]
+    want = None
+    for head_bytes in (total, total // 2, total // 20, 0):
+        least, whole = features.head_cut(vocab, head_bytes)
+        head = 0 if least is None else vocab.where(F.col("count") >= least).agg(F.sum(F.octet_length("value") + features.ENTRY_BYTES)).first()[0]
+        assert head <= head_bytes and whole == (head_bytes == total)
+        got = collections.Counter(map(tuple, features.apply_vocab(shuffled, cols, vocab, head_bytes=head_bytes).select(*pick).collect()))
+        want = want or got
+        assert got == want
+    assert features.apply_vocab(shuffled, cols, vocab.limit(0)).where(" + ".join(pick[1:]) + " > 0").count() == 0
+
+
+def test_exact_decimal_text(spark):
+    rng = random.Random(4)
+    values = [0.0, -0.0, 2.08, 0.5, 1e-16, 5e-17, 4.9e-17, 2**-54, 2**-53, 2**-55, 5e-324, 1.7976931348623157e308, -1.5, 1e15 + 0.3, 2.0**52 + 0.5,
+              2.0**53, 2.0**53 - 1, 2.0**62, 2.0**62 - 512, 2.0**63, 1e22, 1e23, 1 - 2**-53, float("nan"), float("inf"), -float("inf"), 3.5e-17]
+    values += [k + 0.5**j for k in (0, 1, 7) for j in range(1, 60)]  # ties and their neighbors
+    values += [rng.random() for _ in range(3000)] + [rng.uniform(-1e6, 1e6) for _ in range(3000)] + [rng.random() * 10**rng.randint(-20, 20) for _ in range(3000)]
+    values += [struct.unpack("d", rng.randbytes(8))[0] for _ in range(3000)]  # any double
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(8)
+    assert all(r.text == "%.16f" % r.v for r in df.select("v", fixed16("v").alias("text")).collect())
+
+
+@pytest.mark.parametrize("ranked", [1, 40, 100_000])
+def test_quantiles_by_selection(spark, ranked):
+    """Against numpy, however few values are left to rank: ties, one value, nulls and NaN, few rows, extremes."""
+    rng = np.random.default_rng(1)
+    n = 20_000
+    data = {
+        "spread": rng.normal(size=n), "ties": rng.integers(0, 9, n).astype(float), "one": np.full(n, 3.5), "huge": np.exp(rng.normal(size=n) * 50),
+        "mostly": np.where(rng.random(n) < 0.96, 1.0, rng.random(n)), "few": np.where(np.arange(n) < 3, rng.random(n), np.nan), "none": np.full(n, np.nan),
+    }
+    df = spark.createDataFrame(pd.DataFrame(data)).repartition(7)
+    for q in (0.0, 0.95) if ranked > 1 else (0.5, 1.0):
+        got = {r.field: r["quantile"] for r in features.quantile_points(df, list(data), q, ranked).collect()}
+        assert set(got) == set(data) - {"none"}
+        for c, v in got.items():
+            assert v == pytest.approx(np.quantile(data[c][~np.isnan(data[c])], q), rel=1e-12)
+    assert features.quantile_points(df.limit(0), ["spread"]).count() == 0
+
+
+def test_consecutive_shards(spark, tmp_path):
+    df = spark.range(0, 1003).select((F.col("id") * 7919 % 1003).alias("k"), F.lit("v").alias("v")).repartition(6)
+    for n in (1, 7, 1003, 2000):
+        rows = writers.consecutive_shards(df, n, ["k"]).collect()
+        sizes = collections.Counter(r.shard for r in rows)
+        assert max(sizes.values()) - min(sizes.values()) <= 1 and len(sizes) == min(n, 1003)
+        assert [r.k for r in sorted(rows, key=lambda r: (r.shard, r.place))] == list(range(1003))
+    writers.write_consecutive_shards(df, str(tmp_path / "s"), 5, ["k"])
+    files = sorted((tmp_path / "s").glob("part-*"))
+    lines = [f.read_text().splitlines() for f in files]
+    assert len(files) == 5 and all(part[0] == "k,v" for part in lines)
+    assert [int(line.split(",")[0]) for part in lines for line in part[1:]] == list(range(1003))
+
+
+def test_rejected_lines_keep_their_reason(spark, tmp_path):
+    lines = ["1\ta\t2.5", "2\t\t", "x\ta\t1", "3\ta", "4\ta\t1\tmore", "5\tb\t1.5.1", "", "6\tc\t-1"]
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
+    good, rejects = readers.read_csv_checked(spark, path, "k int, s string, v double")
+    assert sorted(map(tuple, good.collect())) == [(1, "a", 2.5), (2, None, None), (6, "c", -1.0)]
+    assert {r.line: r.reason for r in rejects.collect()} == {
+        "x\ta\t1": "value: k", "3\ta": "fields: 2 of 3", "4\ta\t1\tmore": "fields: 4 of 3", "5\tb\t1.5.1": "value: v"}
+    assert good.select("k").count() == 3 and good.agg(F.sum("v")).first()[0] == 1.5  # pruned columns find the same faults
+    pairs = ["1 0:2.5 3:1", "1", "one 0:1", "0 a:1", "0 1:2 7", "0 1:2 7:", "0 1:1:1", "", None]
+    df = spark.createDataFrame([(k, line) for k, line in enumerate(pairs)], "n int, line string")
+    good, rejects = readers.parse_pairs_checked(df, "line")
+    assert {r.n: (r.label, [tuple(p) for p in r.pairs]) for r in good.collect()} == {0: (1, [(0, 2.5), (3, 1.0)]), 1: (1, [])}
+    assert {r.n: r.reason for r in rejects.collect()} == {2: "label", 3: "pair 1", 4: "pair 2", 5: "pair 2", 6: "pair 1", 7: "label", 8: "label"}
+
+
+def test_coverage_by_bitmaps(spark):
+    ids = [0, 1, 32_767, 32_768, 32_769, 1 << 40, 1, 1, 0]
+    recs = spark.createDataFrame([(k, "u", i) for k in (5, 10) for i in ids[:len(ids) - (k == 10)]], "k int, user_id string, item_id long")
+    train = spark.createDataFrame([("u", i, 1.0) for i in (2, 3, 4, 5, 6, 7)], "user_id string, item_id long, rating double")
+    users = spark.createDataFrame([("u",)], "user_id string")
+    got = {r.k: r.coverage for r in evaluate.sweep_metrics(recs, train, train, users, [5, 10, 20]).collect()}
+    assert got == {5: 1.0, 10: 1.0, 20: 0.0}
+    assert evaluate.list_metrics(recs, train, train, users).first().coverage == 1.0
+
+
+def test_bag_sum_of_long_and_uneven_vectors(spark):
+    rng = np.random.default_rng(2)
+    vectors = {k: rng.random(int(size)).tolist() for k, size in enumerate([1, 3, 64, 65, 200, 64, 0], start=1)}
+    table = spark.createDataFrame([(k, v) for k, v in vectors.items()], "vec_id int, embedding array<double>")
+    pairs = [("a", 1), ("a", 1), ("a", 4), ("a", 0), ("b", 5), ("b", 2), ("c", 7), ("d", 99), ("e", None)]
+    got = {(r.user_id, r.dim): r.value for r in embed.bag_sum(spark.createDataFrame(pairs, "user_id string, k int"), table).collect()}
+    want = collections.defaultdict(float)
+    for user, k in pairs:
+        for d, x in enumerate(vectors.get(k, []) if k else []):
+            want[user, d] += x
+    assert got.keys() == want.keys() and all(abs(got[c] - v) < 2e-6 for c, v in want.items())
 
 
 def test_cooccurrence_counts_every_pair_of_equal_rows(spark):
@@ -65,8 +160,8 @@ def test_thirteen_numeric_and_twenty_six_category_columns(spark):
     rows = spark.createDataFrame([(1, *[float(k) for k in range(13)], *[f"v{k % 2}" for k in range(26)])] * 12,
                                  ["label", *num, *cat])
     vocab = features.written_vocab(rows, cat, 10)
-    offsets, n = features.collect_sizes(features.vocab_offsets(spark, vocab, cat))
-    coded = features.apply_vocab(rows, cat, vocab, n_entries=n)
+    offsets = features.collect_offsets(features.vocab_offsets(spark, vocab, cat))
+    coded = features.apply_vocab(rows, cat, vocab)
     coded = coded.select("*", *features.global_index_columns(cat, offsets, base=13))
     line = coded.select(writers.fm_line(num, [f"{c}_idx" for c in cat], "label").alias("line")).first().line.split(" ")
     assert len(line) == 40 and line[0] == "1" and line[14] == "14:1" and line[-1] == f"{13 + 25 * 2 + 1}:1"
