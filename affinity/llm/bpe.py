@@ -15,6 +15,8 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import sys
+import unicodedata
 from array import array
 
 import numpy as np
@@ -39,6 +41,16 @@ CUT = re.compile(
     f"| ?[{MARK}]++(?![^{LETTER}{DIGIT}{SPACE}])"
     f"| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]"
 )
+#: Letters and numbers that Unicode 16, the tokenizer library's version, has and Python's tables (15.1) lack.
+LETTERS_16 = (
+    "\u1c89-\u1c8a\ua7cb-\ua7cd\ua7da-\ua7dc\U000105c0-\U000105f3\U00010d4a-\U00010d65\U00010d6f-\U00010d85\U00010ec2-\U00010ec4"
+    "\U00011380-\U00011389\U0001138b\U0001138e\U00011390-\U000113b5\U000113b7\U000113d1\U000113d3\U00011bc0-\U00011be0"
+    "\U00013460-\U000143fa\U00016100-\U0001611d\U00016d40-\U00016d6c\U00018cff\U0001e5d0-\U0001e5ed\U0001e5f0"
+)
+NUMBERS_16 = (
+    "\U00010d40-\U00010d49\U000116d0-\U000116e3\U00011bf0-\U00011bf9\U00016130-\U00016139\U00016d70-\U00016d79\U0001ccf0-\U0001ccf9"
+    "\U0001e5f1-\U0001e5fa"
+)
 #: Entries of a generation of a worker's table of recent pieces; two generations are kept.
 MEMO_PIECES = 200_000
 
@@ -49,6 +61,24 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(bytes.strip, f))}
 
 
+def _ranges(kind: str) -> str:
+    """The code points of a general category, from Python's tables, as the inside of a character class."""
+    points = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == kind]
+    runs = np.split(np.array(points), np.flatnonzero(np.diff(points) > 1) + 1)
+    return "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs)
+
+
+def pinned(pattern: str) -> str:
+    """``pattern`` with \\p{L} and \\p{N} spelt out as the tokenizer library's Unicode version has them: the installed
+    ``regex`` may be newer and take more code points for letters."""
+    inside = {r"\p{L}": _ranges("L") + LETTERS_16, r"\p{N}": _ranges("N") + NUMBERS_16}
+
+    def spelt(found) -> str:  # a class of its own, or a part of one
+        return re.sub(r"\\p\{[LN]\}", lambda m: inside[m[0]] if found[0][0] == "[" else f"[{inside[m[0]]}]", found[0])
+
+    return re.sub(r"\[(?:[^\]\\]|\\.)*\]|\\p\{[LN]\}", spelt, pattern)
+
+
 class PerfectHash:
     """Minimal perfect hash of the vocabulary: bytes -> id, or None for other bytes."""
 
@@ -158,7 +188,7 @@ class Encoder:
         lost = [b for b in range(256) if bytes([b]) not in ranks]
         if lost:
             raise ValueError(f"the vocabulary lacks single bytes: {lost[:5]}")
-        self.ranks, self.pattern = ranks, regex.compile(pattern)
+        self.ranks, self.pattern = ranks, regex.compile(pinned(pattern))
         self.whole = PerfectHash(ranks)
         self.bytes = sorted(ranks, key=ranks.get)
         if sorted(ranks.values()) != list(range(len(ranks))):

@@ -24,10 +24,16 @@ def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def words(text: Column) -> Column:
-    """The words ``[^\\x20\\x09-\\x0D]+`` of a text; null and blank texts give an empty array."""
-    parts = F.split(text_or_empty(text), f"[{WORD_SPACE}]+", -1)
-    return F.filter(parts, lambda w: w != "")
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Each name, with underscores added until ``df`` has no column of it (however it is capitalised)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def one_label(labels: DataFrame, name: str) -> DataFrame:
@@ -53,4 +59,4 @@ def bounded_ids(labelled: DataFrame, per_label: int, seed: int) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-__all__ = ["WORD_SPACE", "bounded_ids", "fold", "materialize", "one_label", "table", "text_or_empty", "words"]
+__all__ = ["WORD_SPACE", "bounded_ids", "fold", "free_names", "materialize", "one_label", "table", "text_or_empty"]

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinity.llm.common import free_names
+
 SEED = 10
 #: A larger rate is split into equal parts of at most this, whose draws add up (sums of Poisson numbers are
 #: Poisson): exp(-rate) stays far from underflow.
@@ -73,24 +75,22 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: float |
     texts hash like empty ones. Rows equal in id and text draw the same count. A document drawn
     0 times isn't in the result.
     """
+    base = docs.drop("copy", "shuffle_key")
+    of_source, law, key, draws, count = free_names(base, "of_source", "law", "text_key", "draws", "n_copies")
     rates = poisson_table(repetition_rates(docs, weights, total, source)).select(
-        F.col("source").alias("_source"), "parts", "cdf"
-    ).select("_source", F.struct("parts", "cdf").alias("_law"))
+        F.col("source").alias(of_source), F.struct("parts", "cdf").alias(law)
+    )
     if rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
-    base = docs.drop("copy", "shuffle_key")
-    key = F.md5(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))))
-    drawn = base.withColumn("_key", key).join(rates, F.col(source).eqNullSafe(F.col("_source")))
-    law = F.col("_law")
-    count = F.aggregate(
-        F.sequence(F.lit(1), law["parts"]), F.lit(0),
-        lambda acc, part: acc + F.size(
-            F.filter(law["cdf"], lambda c: c <= _uniform(F.lit(str(seed)), part.cast("string"), F.col("_key")))
-        ),
-    )
-    copies = drawn.withColumn("_count", count).where("_count > 0")
-    exploded = copies.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_count"))))
-    place = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.col("copy").cast("string"), "_key")), 1, 15), 16, 10)
+    digest = F.md5(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))))
+    drawn = base.withColumn(key, digest).join(rates, F.col(source).eqNullSafe(F.col(of_source)))
+    # the draws are a column, not part of the search: each is hashed once, not once for every entry of the table of probabilities
+    uniform = F.transform(F.sequence(F.lit(1), F.col(law)["parts"]), lambda part: _uniform(F.lit(str(seed)), part.cast("string"), F.col(key)))
+    counted = drawn.withColumn(draws, uniform).withColumn(count, F.aggregate(
+        F.col(draws), F.lit(0), lambda acc, u: acc + F.size(F.filter(F.col(law)["cdf"], lambda c: c <= u))
+    ))
+    exploded = counted.where(F.col(count) > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(count))))
+    place = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.col("copy").cast("string"), key)), 1, 15), 16, 10)
     keyed = exploded.withColumn("shuffle_key", place.cast("bigint"))
     kept = keyed.select(*base.columns, "copy", "shuffle_key")
     # rebalance: dealt by the hashed key, and a key that very many equal rows share is split

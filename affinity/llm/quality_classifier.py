@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import bounded_ids
+from affinity.llm.common import bounded_ids, free_names
 from affinity.llm.text_features import Rows, labelled_grams, platt, score_column, spread_out
 
 BITS = 20
@@ -101,4 +101,5 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, columns unchanged."""
-    return score(docs, model, name="_quality_score").where(F.col("_quality_score") >= threshold).drop("_quality_score")
+    name, = free_names(docs, "quality_score")
+    return score(docs, model, name=name).where(F.col(name) >= threshold).drop(name)

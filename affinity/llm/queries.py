@@ -6,6 +6,7 @@ columns of its contract. ``ORACLES`` (from ``sql``) has the DuckDB SQL where SQL
 
 from __future__ import annotations
 
+import uuid
 from hashlib import sha256
 
 import numpy as np
@@ -19,6 +20,7 @@ from affinity.llm import (
 )
 from affinity.llm.common import fold, one_label, table
 from affinity.llm.sql import ORACLES
+from affinity.session import scratch_path
 
 #: The files of the tokenizers, by their public names.
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -138,8 +140,9 @@ def op8_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secret spans of every document, scanned once per distinct text."""
-    findings, _ = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Secret spans of every document, scanned once per distinct text, against a ledger stored in the checkpoint folder."""
+    ledger = scratch_path(spark, f"secret-ledger-{uuid.uuid4().hex}")
+    findings = secrets.scan_stored(table(spark, sf_dir, "documents").select("doc_id", "text"), ledger)
     text = secrets.span_text(F.col("spans"))
     counts = [secrets.span_count(F.col("spans"), k).alias(f"n_{r.kind}") for k, r in enumerate(secrets.BASE_RULES)]
     return findings.select("doc_id", *counts, F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))

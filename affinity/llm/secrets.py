@@ -10,18 +10,22 @@ Every version of a document is a blob named by the SHA-256 of its text. A ledger
 3. runs the rules still due on it, writes the new ledger rows, and
 4. joins the findings back to all rows (paths) that hold the blob.
 
+``scan_stored`` keeps the ledger as Parquet under a path: it reads what earlier scans stored and adds its own rows.
+
 Positions are code points: ``split`` gives the text between matches, ``regexp_extract_all`` the
 matches, and their lengths add up to the start of each. Only texts with a match pay for that.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from affinity.llm.common import materialize, text_or_empty
+from affinity.llm.common import free_names, materialize, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -114,19 +118,41 @@ def find(texts: DataFrame, rules=BASE_RULES, text: str = "text", due: Column | N
     return cut.select(*keep, *out)
 
 
-def scan(docs: DataFrame, ledger: DataFrame | None = None, rules=BASE_RULES) -> tuple[DataFrame, DataFrame]:
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger rows stored under ``path``, one folder a scan; none if there is no such path yet."""
+    try:
+        return spark.read.schema(LEDGER).option("recursiveFileLookup", "true").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
+
+
+def scan_stored(docs: DataFrame, path: str, rules=BASE_RULES) -> DataFrame:
+    """``scan`` against the ledger stored under ``path``, which takes the new rows: the next scan, in whatever session,
+    fetches no text that this one has seen with the same rule versions. Returns the findings.
+
+    New rows lie in a folder of their own that Spark commits as a whole, so a scan that fails leaves the ledger as it was; two
+    scans at a time may both store a blob, which is harmless."""
+    spark = docs.sparkSession
+    return scan(docs, read_ledger(spark, path), rules, f"{path}/scan-{uuid.uuid4().hex}")[0]
+
+
+def scan(docs: DataFrame, ledger: DataFrame | None = None, rules=BASE_RULES, store: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(findings, new ledger rows). ``docs`` needs ``doc_id`` and ``text``; other columns don't matter.
 
     findings: (doc_id, blob, spans), one row per row of ``docs``, spans sorted by start, then rule
     (an empty array without findings). Null texts count as empty; null and repeated ids and
-    repeated rows keep their rows. New ledger rows (``LEDGER``) are those scanned now: append them to
-    the ledger, and the next scan reads no text of theirs.
+    repeated rows keep their rows. New ledger rows (``LEDGER``) are those scanned now, written to the folder ``store`` if one
+    is named: append them to the ledger, and the next scan reads no text of theirs. Repeated ledger rows count once.
     """
     spark = docs.sparkSession
     ledger = spark.createDataFrame([], LEDGER) if ledger is None else ledger
     paths = materialize(docs.select("doc_id", blob_name(F.col("text")).alias("blob")), "secret-paths")
-    current = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
-    pairs = paths.groupBy("blob").agg(F.min("doc_id").alias("at")).select("blob", "at", F.inline(current))
+    current = F.array(*[
+        F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), F.lit(k).alias("number")) for k, r in enumerate(rules)
+    ])
+    pairs = paths.groupBy("blob").agg(F.min("doc_id").alias("at")).select("blob", "at", F.inline(current)).drop("number")
     unseen = (
         pairs.join(ledger.select("blob", "kind", "version"), ["blob", "kind", "version"], "left_anti")
         .groupBy("blob", "at").agg(F.collect_set("kind").alias("due"))  # at most one entry per rule
@@ -140,12 +166,18 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules=BASE_RULES) ->
         F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), F.col(f"spans_{r.kind}").alias("spans"))
         for r in rules
     ])
-    new = materialize(scanned.select("blob", F.inline(by_rule)).where("spans IS NOT NULL"), "secret-ledger")
+    new = scanned.select("blob", F.inline(by_rule)).where("spans IS NOT NULL")
+    if store is None:
+        new = materialize(new, "secret-ledger")
+    else:
+        new.write.parquet(store)
+        new = spark.read.parquet(store)
     known = ledger.select("blob", "kind", "version", "spans").unionByName(new)
     versions = F.broadcast(spark.range(1).select(F.inline(current)))  # one row per rule
+    numbered = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("number").alias("rule"), s["end"].alias("end")))
     found = (
-        known.where(F.size("spans") > 0).join(versions, ["kind", "version"], "left_semi")
-        .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+        known.where(F.size("spans") > 0).join(versions, ["kind", "version"]).select("blob", numbered.alias("spans"))
+        .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
     )
     # written, so that the join deals both sides itself and can split a blob that very many paths hold
     found = materialize(found, "secret-found")
@@ -171,6 +203,7 @@ def span_count(spans: Column, rule: int) -> Column:
 def redact(docs: DataFrame, findings: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of a text replaced by ``mask`` (overlapping spans by one); ``n_chars``, if it is
     a column, is counted anew for texts that change. Texts without findings stay as they are."""
+    hit, gap_list, tail, name, new_text = free_names(docs, "hit", "gap_list", "tail", "blob_name", "masked")
     hits = findings.where(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("spans"))
     in_text = Window.partitionBy("blob").orderBy("place")
     ends = hits.select("blob", F.posexplode("spans").alias("place", "s")).select(
@@ -179,10 +212,10 @@ def redact(docs: DataFrame, findings: DataFrame, mask: str = "[SECRET]") -> Data
     )
     # gaps: what stays before each mask; a span that begins inside an earlier one has none
     gap = F.when(F.col("start") >= F.col("from"), F.struct("from", F.col("start").alias("to")))
-    gaps = ends.groupBy(F.col("blob").alias("_hit")).agg(
-        F.array_sort(F.collect_list(gap)).alias("_gaps"), F.max("end").alias("_tail")
+    gaps = ends.groupBy(F.col("blob").alias(hit)).agg(
+        F.array_sort(F.collect_list(gap)).alias(gap_list), F.max("end").alias(tail)
     )
-    joined = docs.withColumn("_blob", blob_name(F.col("text"))).join(gaps, F.col("_blob") == F.col("_hit"), "left")
+    joined = docs.withColumn(name, blob_name(F.col("text"))).join(gaps, F.col(name) == F.col(hit), "left")
 
     def stretch(block: Column) -> Column:
         # a block's part of the text, so that a gap isn't sought from the beginning of a long text
@@ -196,13 +229,13 @@ def redact(docs: DataFrame, findings: DataFrame, mask: str = "[SECRET]") -> Data
         ), "")
 
     masked = F.concat(
-        F.array_join(F.transform(F.transform(_blocks(F.col("_gaps")), stretch), pieces), ""),
-        F.substr(F.col("text"), F.col("_tail") + 1, F.length("text")),
+        F.array_join(F.transform(F.transform(_blocks(F.col(gap_list)), stretch), pieces), ""),
+        F.substr(F.col("text"), F.col(tail) + 1, F.length("text")),
     )
-    changed = F.col("_gaps").isNotNull()
-    out = joined.withColumn("_masked", F.when(changed, masked).otherwise(F.col("text")))
-    cols = {"text": F.col("_masked")}
+    changed = F.col(gap_list).isNotNull()
+    out = joined.withColumn(new_text, F.when(changed, masked).otherwise(F.col("text")))
+    cols = {"text": F.col(new_text)}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        cols["n_chars"] = F.when(changed, F.length("_masked").cast(kind)).otherwise(F.col("n_chars"))
+        cols["n_chars"] = F.when(changed, F.length(new_text).cast(kind)).otherwise(F.col("n_chars"))
     return out.select(*[cols.get(c, F.col(c)).alias(c) for c in docs.columns])

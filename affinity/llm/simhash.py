@@ -5,10 +5,12 @@
    half of the hashes.
 2. Equal fingerprints collapse to one row (a grouped aggregate, so a text copied into a third
    of the corpus is one point of the search).
-3. A small vantage-point tree, built on the driver from a bounded sample of fingerprints,
-   cuts the Hamming space into shards. A point lives in exactly one shard (``d <= radius``
+3. A vantage-point tree, built on the driver from a sample of fingerprints (``LEAF_SAMPLE`` of every ``SHARD_POINTS``, as
+   whole numbers: 8 bytes of the driver's memory for 1,250 fingerprints), cuts the Hamming space into shards of about
+   ``SHARD_POINTS`` however many there are. A point lives in exactly one shard (``d <= radius``
    goes inside). As a query it visits each shard its ball of ``max_bits`` can reach: by the
-   triangle inequality no link crosses a boundary further than that.
+   triangle inequality no link crosses a boundary further than that. A shard's visitors are dealt to blocks, each with a copy
+   of the shard's own points, so a task holds about three times ``SHARD_POINTS`` (with the sample's error, up to about twice that).
 4. Each shard searches its points against its visitors with a local vantage-point tree by
    the same bounds and checks surviving pairs exactly.
 5. A shard reports the connected sets it found as (fingerprint, hub) rows, at most one per
@@ -25,15 +27,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import materialize
+from affinity.llm.common import free_names, materialize
 from affinity.llm.components import component_roots
 
 SEED = 42
 SHINGLE_WORDS = 3
 MAX_BITS = 2
-#: Points aimed at per shard, and the size of the sample that places the boundaries.
+#: Points aimed at per shard, and how many of them are in the sample that places the boundaries.
 SHARD_POINTS = 20_000
-SAMPLE_POINTS = 8_192
+LEAF_SAMPLE = 16
+#: Centres tried for each boundary; points of the sample that the driver routes at a time; spreads visitors over blocks.
+CENTRES, ROUTE_POINTS, MIX = 5, 1 << 16, 0x9E3779B97F4A7C15
 #: A local tree stops splitting at this many points; pair blocks hold at most this many cells.
 LEAF_POINTS = 192
 BLOCK_CELLS = 1 << 21
@@ -71,38 +75,48 @@ def _distance(points: np.ndarray, centre) -> np.ndarray:
     return np.bitwise_count(points ^ centre)
 
 
-def build_tree(sample: np.ndarray, depth: int, prefix: str = "") -> list:
-    """Nodes (path, centre, radius) of a vantage-point tree with up to ``2 ** depth`` leaves."""
-    if depth == 0 or len(sample) < 2:
-        return []
-    centre = sample[len(sample) // 2]
-    d = _distance(sample, centre)
-    radius = int(np.median(d))
-    inside = d <= radius
-    if inside.all():
-        radius = int(d.max()) - 1
-        inside = d <= radius
-        if not inside.any():  # all at one distance: nothing to split
-            return []
-    return [
-        (prefix, int(centre), radius),
-        *build_tree(sample[inside], depth - 1, prefix + "0"),
-        *build_tree(sample[~inside], depth - 1, prefix + "1"),
-    ]
-
-
-def route(points: np.ndarray, tree: dict, reach: int, prefix: str = "", rows=None):
-    """Yield (leaf path, row numbers): the leaves that balls of ``reach`` bits around the points meet."""
-    rows = np.arange(len(points)) if rows is None else rows
-    if not len(rows):
-        return
-    if prefix not in tree:
-        yield prefix, rows
-        return
-    centre, radius = tree[prefix]
-    d = _distance(points[rows], np.uint64(centre)).astype(np.int64)
-    yield from route(points, tree, reach, prefix + "0", rows[d <= radius + reach])
-    yield from route(points, tree, reach, prefix + "1", rows[d > radius - reach])
+def build_tree(sample: np.ndarray, leaf_points: int) -> list:
+    """Nodes [centre, radius, inside, outside] of a vantage-point tree, the root first, whose leaves hold at most ``leaf_points``
+    of the sample; children are node numbers, or -1 - leaf number. Of a few centres the one that splits best is taken, so points at one
+    distance from a centre are told apart by another."""
+    nodes, n_leaves = [], 0
+    todo = [(sample, None, 0)]
+    while todo:
+        part, parent, side = todo.pop()
+        best = None
+        if len(part) > leaf_points:
+            for centre in part[:: max(1, len(part) // CENTRES)][:CENTRES]:
+                d = _distance(part, centre)
+                ranked = np.bincount(d, minlength=65).cumsum()
+                radius = int(np.abs(2 * ranked[:-1] - len(part)).argmin())
+                balance = min(ranked[radius], len(part) - ranked[radius])
+                if best is None or balance > best[0]:
+                    best = balance, int(centre), radius, d <= radius
+        if best is None or not best[0]:
+            number = -1 - n_leaves
+            n_leaves += 1
+        else:
+            number = len(nodes)
+            nodes.append([best[1], best[2], 0, 0])
+            todo += [(part[~best[3]], number, 3), (part[best[3]], number, 2)]
+        if parent is not None:
+            nodes[parent][side] = number
+    return nodes
+
+
+def route(points: np.ndarray, tree: list, reach: int):
+    """Yield (leaf number, row numbers): the leaves that balls of ``reach`` bits around the points meet."""
+    todo = [(0 if tree else -1, np.arange(len(points)))]
+    while todo:
+        node, rows = todo.pop()
+        if not len(rows):
+            continue
+        if node < 0:
+            yield -1 - node, rows
+            continue
+        centre, radius, inside, outside = tree[node]
+        d = _distance(points[rows], np.uint64(centre)).astype(np.int64)
+        todo += [(inside, rows[d <= radius + reach]), (outside, rows[d > radius - reach])]
 
 
 class Sets:
@@ -150,38 +164,54 @@ def search(points: np.ndarray, home: np.ndarray, queries: np.ndarray, max_bits:
         sets.union(part[q], home[h])
 
 
+def plan_shards(sample: np.ndarray, leaf_points: int, max_bits: int) -> tuple[list, np.ndarray]:
+    """(tree, blocks of each leaf): a leaf's visitors are dealt to as many blocks as give each about twice a leaf's points."""
+    tree = build_tree(sample, leaf_points)
+    visits = np.zeros(len(tree) + 1, dtype=np.int64)
+    for lo in range(0, len(sample), ROUTE_POINTS):
+        for leaf, rows in route(sample[lo:lo + ROUTE_POINTS], tree, max_bits):
+            visits[leaf] += len(rows)
+    return tree, np.maximum(1, -(-visits // (2 * leaf_points)))
+
+
 def linked_sets(fps: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SHARD_POINTS,
-                sample_points: int = SAMPLE_POINTS) -> DataFrame:
+                leaf_sample: int = LEAF_SAMPLE) -> DataFrame:
     """``fps(fp bigint, distinct)`` -> ``(node, hub)`` rows of points linked with another point."""
     n = fps.count()
-    depth = max(0, int(np.ceil(np.log2(max(1, n / shard_points)))))
-    sample = fps.orderBy(F.xxhash64(F.lit(SEED), "fp"), "fp").limit(sample_points).collect()
-    nodes = build_tree(np.array([r.fp for r in sample], dtype=np.int64).view(np.uint64), depth)
-    tree = {path: (centre, radius) for path, centre, radius in nodes}
+    sample = np.zeros(0, dtype=np.uint64)
+    if n > shard_points:
+        share = min(1.0, leaf_sample / shard_points)
+        chosen = F.pmod(F.xxhash64(F.lit(SEED), "fp"), F.lit(1 << 31)) < int(share * (1 << 31))
+        sample = np.sort(fps.where(chosen).select("fp").toPandas()["fp"].to_numpy(np.int64).view(np.uint64))
+        sample = np.random.default_rng(SEED).permutation(sample)
+    tree, blocks = plan_shards(sample, leaf_sample, max_bits)
 
     def spread(batches):
         for batch in batches:
-            points = batch["fp"].to_numpy(np.int64).view(np.uint64)
-            for home, reach in ((True, 0), (False, max_bits)):
-                for leaf, rows in route(points, tree, reach):
-                    yield pd.DataFrame({"shard": int("1" + leaf, 2), "fp": points[rows].view(np.int64), "home": home})
+            fp = batch["fp"].to_numpy(np.int64)
+            points = fp.view(np.uint64)
+            for leaf, rows in route(points, tree, 0):  # a leaf's own points go to all its blocks
+                for block in range(blocks[leaf]):
+                    yield pd.DataFrame({"shard": leaf, "block": block, "fp": fp[rows], "home": True})
+            for leaf, rows in route(points, tree, max_bits):
+                block = (points[rows] * np.uint64(MIX) >> np.uint64(33)).astype(np.int64) % blocks[leaf]
+                yield pd.DataFrame({"shard": leaf, "block": block, "fp": fp[rows], "home": False})
 
     def shard_links(key, group):
-        # the visitors include the shard's own points, so the visitors are all its points
-        visit = group[~group["home"]]["fp"].to_numpy(np.int64).view(np.uint64)
-        visit.sort()
-        own = np.searchsorted(visit, group[group["home"]]["fp"].to_numpy(np.int64).view(np.uint64))
-        sets = Sets(len(visit))
-        search(visit, np.sort(own), np.arange(len(visit)), max_bits, sets)
-        sizes = np.bincount(sets.label, minlength=len(visit))
+        # all blocks together have the shard's own points among their visitors
+        fp, home = group["fp"].to_numpy(np.int64).view(np.uint64), group["home"].to_numpy(bool)
+        points = np.unique(fp)
+        sets = Sets(len(points))
+        search(points, np.searchsorted(points, np.sort(fp[home])), np.searchsorted(points, fp[~home]), max_bits, sets)
+        sizes = np.bincount(sets.label, minlength=len(points))
         linked = sizes[sets.label] > 1
         return pd.DataFrame({
-            "node": visit[linked].view(np.int64), "shard": key[0], "root": visit[sets.label[linked]].view(np.int64),
+            "node": points[linked].view(np.int64), "shard": key[0], "block": key[1], "root": points[sets.label[linked]].view(np.int64),
         })
 
-    spread_rows = fps.select("fp").mapInPandas(spread, "shard long, fp long, home boolean")
-    linked = spread_rows.groupBy("shard").applyInPandas(shard_links, "node long, shard long, root long")
-    return linked.select("node", F.concat_ws(":", "shard", "root").alias("hub"))
+    spread_rows = fps.select("fp").mapInPandas(spread, "shard int, block int, fp long, home boolean")
+    linked = spread_rows.groupBy("shard", "block").applyInPandas(shard_links, "node long, shard int, block int, root long")
+    return linked.select("node", F.concat_ws(":", "shard", "block", "root").alias("hub"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS,
@@ -214,15 +244,16 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
     Columns are those of ``docs``; a table of null ids alone keeps one row per group too.
     """
+    keep_id, keep_hash, text_hash = free_names(docs, "keep_id", "keep_hash", "text_hash")
     groups = near_duplicates(docs, **options)
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     best = groups.groupBy("root").agg(F.min(first).alias("best")).select(
-        F.col("best.doc_id").alias("_keep_id"), F.col("best.text_hash").alias("_keep_hash")
+        F.col("best.doc_id").alias(keep_id), F.col("best.text_hash").alias(keep_hash)
     )
-    marked = docs.withColumn("_text_hash", F.xxhash64("text"))
+    marked = docs.withColumn(text_hash, F.xxhash64("text"))
     kept = marked.join(
         best,
-        F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("_text_hash") == F.col("_keep_hash")),
+        F.col("doc_id").eqNullSafe(F.col(keep_id)) & (F.col(text_hash) == F.col(keep_hash)),
         "left_semi",
     )
-    return kept.dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    return kept.dropDuplicates(["doc_id", text_hash]).drop(text_hash)

@@ -6,9 +6,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from affinity.llm import bpe, embeddings, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, text_features, toxicity, url_filter
+from affinity.llm import bpe, components, embeddings, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, text_features, toxicity, url_filter
 from affinity.llm.components import component_roots
 from affinity.llm.queries import TOKENIZER
 from tests.llm.test_queries import brute_components, brute_simhash
@@ -26,7 +27,9 @@ TEXTS = [
     (8, "Ünïcode 😀 token=short secret = deadbeefdeadbeef99", "de", None),
     (8, "another text under the same id", "de", "c"),
 ]
-CLASH = ("score", "ids", "copy", "shuffle_key", "fp", "spans", "blob", "n_words", "kept", "shard", "rank", "_key", "root")
+CLASH = ("score", "ids", "copy", "shuffle_key", "fp", "spans", "blob", "n_words", "kept", "shard", "rank", "_key", "root",
+         "keep_id", "keep_hash", "text_hash", "hit", "gap_list", "tail", "Blob_Name", "masked", "quality_score", "quality_score_", "of_source", "law",
+         "text_key", "draws", "n_copies", "_keep_id", "_text_hash", "_hit", "_law", "_source", "_count")
 
 
 def frame(spark, rows, clash=False):
@@ -185,11 +188,38 @@ def test_vantage_point_shards_lose_no_link(spark):
     points = np.unique(np.array([*base, *near, *chain], dtype=np.uint64))
     fps = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
     want = brute_components(list(map(int, points.view(np.int64))), lambda a, b: ((a ^ b) % 2**64).bit_count() <= 2)
-    for shard_points in (10_000, 40):
-        roots = {r.node: r.root for r in component_roots(simhash.linked_sets(fps, 2, shard_points, 64)).collect()}
+    for shard_points, leaf_sample in ((10_000, 16), (40, 16), (20, 20)):
+        roots = {r.node: r.root for r in component_roots(simhash.linked_sets(fps, 2, shard_points, leaf_sample)).collect()}
         assert all(roots.get(p, p) == want[p] for p in want)
 
 
+def test_shards_of_any_number_of_points_are_bounded(spark):
+    rng = np.random.default_rng(8)
+    points = rng.integers(0, 1 << 63, 60_000, dtype=np.uint64)
+    points[:20_000] = points[0] ^ (rng.integers(0, 1 << 16, 20_000, dtype=np.uint64) << np.uint64(20))  # a dense third
+    points = np.unique(points)
+    for shard_points in (4_000, 500):
+        chosen = rng.permutation(points)[: len(points) * simhash.LEAF_SAMPLE // shard_points]
+        tree, blocks = simhash.plan_shards(chosen, simhash.LEAF_SAMPLE, 2)
+        assert len(blocks) > len(points) / shard_points / 2
+        own = np.bincount(np.concatenate([np.full(len(r), leaf) for leaf, r in simhash.route(points, tree, 0)]), minlength=len(blocks))
+        visits = np.bincount(np.concatenate([np.full(len(r), leaf) for leaf, r in simhash.route(points, tree, 2)]), minlength=len(blocks))
+        assert own.sum() == len(points) and (visits >= own).all()
+        assert own.max() <= 4 * shard_points and (visits / blocks).max() <= 8 * shard_points
+
+
+def test_components_in_few_rounds(spark, monkeypatch):
+    """A chain of 1,000 nodes in rising order, and a hub of many nodes dealt to salts."""
+    rounds = []
+    write = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, name: rounds.append(name) or write(df, name))
+    chain = [(k + d, f"h{k}") for k in range(999) for d in (0, 1)]
+    hot = [(10_000 + k, "hot") for k in range(5_000)] + [(14_999, "z"), (20_000, "z")]
+    got = {r.node: r.root for r in component_roots(spark.createDataFrame(chain + hot, "node long, hub string"), salts=7).collect()}
+    assert got == {k: 0 for k in range(1000)} | {k: 10_000 for k in [*range(10_000, 15_000), 20_000]}
+    assert rounds.count("cc-step") <= 15
+
+
 def test_components_over_chains(spark):
     members = [(k + d, f"h{k}") for k in range(60) for d in (0, 1)] + [(100, "x"), (101, "x"), (200, "y"), (None, "x"), (5, None)]
     got = {r.node: r.root for r in component_roots(spark.createDataFrame(members, "node long, hub string")).collect()}
@@ -263,12 +293,38 @@ def test_secrets_ledger_and_redaction(spark, docs, clashing, empty):
     assert {r.kind for r in rescan.collect()} == {"access"} and rescan.count() == n_blobs
     masked = secrets.redact(clashing, findings)
     assert masked.columns == clashing.columns and ids(masked) == ALL_IDS
+    assert {tuple(r) for r in masked.select(*CLASH).collect()} == {("x",) * len(CLASH)}
     texts = {r.doc_id: r for r in masked.collect()}
     assert texts[None].text == "[SECRET]' é日 [SECRET]" and texts[None].n_chars == len(texts[None].text)
     assert texts[7].text == "word " * 30_000 + "[SECRET]" and texts[3].text is None
     assert secrets.scan(empty)[0].count() == 0
 
 
+def test_secrets_stored_ledger(spark, docs, tmp_path, monkeypatch):
+    """A second scan fetches the texts that the first half lacked, and nothing of the first half."""
+    path = str(tmp_path / "ledger")
+    rows = docs.withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(" secret=abcdefghijkl")))
+    halves = [rows.where("coalesce(doc_id, 0) < 4"), rows]
+    read = []
+    find = secrets.find
+    monkeypatch.setattr(secrets, "find", lambda texts, *a, **k: read.append(texts.count()) or find(texts, *a, **k))
+    first = secrets.scan_stored(halves[0], path)
+    both = secrets.scan_stored(halves[1], path)
+    third = secrets.scan_stored(halves[1].unionByName(halves[0]), path)
+    blobs = [len({r.text for r in h.collect()}) for h in halves]
+    assert read == [blobs[0], blobs[1] - blobs[0], 0]
+    shown = lambda f: collections.Counter((r.doc_id, r.s) for r in f.select("doc_id", secrets.span_text(f.spans).alias("s")).collect())
+    assert shown(both) == shown(secrets.scan(rows)[0]) and shown(third) == shown(both) + shown(first)
+    turned = secrets.BASE_RULES[::-1]  # the stored rows know rules by kind and version, not by place
+    again = secrets.scan_stored(rows, path, turned)
+    assert read[-1] == 0
+    assert {s for r in again.select(secrets.span_text(again.spans, turned).alias("s")).collect() for s in r.s.split(",")} == {
+        s for _, text in shown(both) for s in text.split(",")}
+    stored = secrets.read_ledger(spark, path)
+    doubled, none = secrets.scan(rows, stored.unionByName(stored))
+    assert none.count() == 0 and shown(doubled) == shown(both)
+
+
 def test_mixing(spark, docs, clashing, empty):
     for df in (docs, clashing):
         out = mixing.mix(df, total=200)

@@ -91,6 +91,17 @@ def test_bpe_equals_tiktoken(spark, docs):
         assert r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_every_code_point_is_cut_as_by_tiktoken():
+    """Beside letters, digits and contractions: the classes are the library's, whatever Unicode version ``regex`` has."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ref = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    encoder = bpe.public_encoder("byte_bpe_multi_50k.tiktoken")
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and not 0x20000 < c < 0xE0000]
+    for context in ("X", " X's", "aX", "1X", "X1a ", "!X\t"):
+        texts = [context.replace("X", c) for c in points]
+        assert [t for t, ids in zip(texts, ref.encode_ordinary_batch(texts)) if encoder.encode(t).tolist() != ids] == []
+
+
 def test_sharding_law_and_walk(spark, docs):
     rows = QUERIES["op3_ring_sharding"](spark, SF).collect()
     texts = dict(docs)
