@@ -1,13 +1,14 @@
 """Quality rules with risk-controlled thresholds, in DataFrame expressions only.
 
 Four shares of a text (symbols, repeated lines, repeated words, letters per word) reject it when
-they lie above a cutoff of its stratum (its language). Cutoffs come from all labelled
-documents, not by hand: for each stratum, rule and cutoff of a fixed grid, the good
-documents (label 1) that the cutoff would reject are counted. A cutoff is admissible when the
-exact binomial test refutes "it rejects more than ``ALPHA / rules`` of good documents" at level
-``DELTA / tests`` (Bonferroni over all strata, rules and cutoffs), which is the same as the exact
-(Clopper-Pearson) upper bound lying below that share. The lowest admissible cutoff is used; a
-stratum with too few labelled documents to admit any rejects none.
+any lies above its cutoff. The cutoffs of a stratum (its language) are chosen by labelled documents, not by hand: they
+tighten together along a fixed path, from the loosest cutoffs of the grids to the strictest. At each step the good
+documents (label 1) of the stratum that the step would reject are counted, and the exact binomial test of "it rejects more than
+``ALPHA`` of good documents" is made at level ``DELTA / strata``, which is the same as the exact (Clopper-Pearson) upper
+bound lying below that share. The steps are tested in their order and the first that isn't refuted ends the path (a fixed sequence
+needs no further correction, as nothing behind a failure is looked at; Bonferroni's covers the strata), so with
+probability ``1 - DELTA`` no stratum rejects more than ``ALPHA`` of its good documents. About 220 good documents (four strata)
+are the least that admit a step; a stratum with fewer rejects none.
 
 The statistics of a text are computed in its own row, with no shuffle of words, and written once;
 counting for the thresholds reads only them.
@@ -22,12 +23,13 @@ from affinity.llm.common import WORD_SPACE, materialize, text_or_empty
 
 #: Limits of the base rule.
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
-#: False rejection of good documents: at most ALPHA over all rules, with probability 1 - DELTA.
+#: False rejection of good documents: at most ALPHA in every stratum, with probability 1 - DELTA.
 ALPHA, DELTA = 0.02, 0.05
-#: Cutoffs of each rule.
+#: Cutoffs of each rule, from the strictest; step t of the path takes each rule's t-th from the end.
+STEPS = 21
 GRID = {
     "symbols": [round(0.01 * 1.25**k, 6) for k in range(21)],
-    "dup_lines": [round(0.02 * 1.22**k, 6) for k in range(20)],
+    "dup_lines": [round(0.02 * 1.22**k, 6) for k in range(21)],
     "repeats": [round(0.01 * 1.25**k, 6) for k in range(21)],
     "word_length": [round(6 * 1.1**k, 6) for k in range(21)],
 }
@@ -145,26 +147,28 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k > n * p, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.exp(log_top) * total))
 
 
+def strictness() -> Column:
+    """How many steps of the path leave a text in: it is rejected by step t (from 0) when t >= this."""
+    def below(rule: str, value: Column) -> Column:
+        return F.size(F.filter(F.array(*map(F.lit, GRID[rule])), lambda c: c < value))
+
+    return F.lit(STEPS) - F.greatest(*[below(r, v) for r, v in shares().items()])
+
+
 def thresholds(good: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, cutoffs map rule -> cutoff) from statistics of good documents (``good``: stratum and statistics).
-    Strata without an admissible cutoff have no row; an empty table gives none."""
-    values = F.array(*[F.struct(F.lit(r).alias("rule"), v.alias("value")) for r, v in shares().items()])
-    grid = F.create_map(*[x for r, g in GRID.items() for x in (F.lit(r), F.array(*map(F.lit, g)))])
-    binned = (
-        good.select("stratum", F.inline(values))
-        .withColumn("above", F.size(F.filter(grid[F.col("rule")], lambda c: c < F.col("value"))))
-        .groupBy("stratum", "rule", "above").agg(F.count("*").alias("n"))
-    )
-    counts = materialize(binned, "rule-bins")  # strata x rules x (cutoffs + 1) rows at most
-    sizes = counts.groupBy("stratum", "rule").agg(F.sum("n").alias("n"))
-    tests = sizes.select("stratum", "rule", "n", F.posexplode(grid[F.col("rule")]).alias("at", "cutoff"))
-    m = max(1, tests.count())
-    rejected = counts.where("above > 0").select("stratum", "rule", "n", F.explode(F.sequence(F.lit(0), F.col("above") - 1)).alias("at"))
-    rejected = rejected.groupBy("stratum", "rule", "at").agg(F.sum("n").alias("k"))
-    tested = tests.join(rejected, ["stratum", "rule", "at"], "left").withColumn("k", F.coalesce("k", F.lit(0).cast("long")))
-    admissible = tested.where(binomial_tail(F.col("k"), F.col("n"), alpha / len(GRID)) <= delta / m)
-    lowest = admissible.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
-    return lowest.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+    """(stratum, steps): how many steps of the path a stratum takes, from statistics of good documents (``good``: stratum and
+    statistics). Strata that can't take the first step have no row; an empty table gives none."""
+    counts = materialize(good.groupBy("stratum", strictness().alias("kept_steps")).agg(F.count("*").alias("n")), "rule-bins")
+    sizes = counts.groupBy("stratum").agg(F.sum("n").alias("n"))  # strata x (steps + 1) bins at most
+    m = max(1, sizes.count())
+    at = sizes.select("stratum", "n", F.explode(F.sequence(F.lit(0), F.lit(STEPS - 1))).alias("step"))
+    rejected = counts.where(F.col("kept_steps") < STEPS).select(
+        "stratum", F.col("n").alias("k"), F.explode(F.sequence("kept_steps", F.lit(STEPS - 1))).alias("step")
+    ).groupBy("stratum", "step").agg(F.sum("k").alias("k"))
+    tested = at.join(rejected, ["stratum", "step"], "left").withColumn("k", F.coalesce("k", F.lit(0).cast("long")))
+    passed = binomial_tail(F.col("k"), F.col("n"), alpha) <= delta / m
+    taken = tested.groupBy("stratum").agg(F.coalesce(F.min(F.when(~passed, F.col("step"))), F.lit(STEPS)).alias("steps"))
+    return taken.where("steps > 0")
 
 
 def judge(docs: DataFrame, good_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang",
@@ -180,15 +184,12 @@ def judge(docs: DataFrame, good_ids: DataFrame, doc_id: str = "doc_id", text: st
         F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),
     )
     stats = materialize(text_stats(slim), "rule-stats")
-    cutoffs = thresholds(stats.where(~base_failed()).join(good_ids, "doc_id", "left_semi"), alpha, delta)
-    if cutoffs.limit(BROADCAST_STRATA + 1).count() <= BROADCAST_STRATA:
-        cutoffs = F.broadcast(cutoffs)
-    rejected = F.lit(False)
-    for rule, value in shares().items():
-        cutoff = F.element_at("cutoffs", F.lit(rule))
-        rejected = rejected | F.coalesce(value > cutoff, F.lit(False))
+    steps = thresholds(stats.where(~base_failed()).join(good_ids, "doc_id", "left_semi"), alpha, delta)
+    if steps.limit(BROADCAST_STRATA + 1).count() <= BROADCAST_STRATA:
+        steps = F.broadcast(steps)
+    rejected = F.coalesce(strictness() < F.col("steps"), F.lit(False))
     failed = base_failed()
-    return stats.join(cutoffs, "stratum", "left").select(
+    return stats.join(steps, "stratum", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & ~rejected).alias("kept"),
     )

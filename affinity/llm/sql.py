@@ -4,7 +4,7 @@ The classifiers, XXH64 fingerprints, the tokenizer and the ring's overflow have
 in tests/llm.
 """
 
-from affinity.llm.quality_rules import ALPHA, DELTA, GRID
+from affinity.llm.quality_rules import ALPHA, DELTA, GRID, STEPS
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -27,7 +27,6 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
-_TESTS = " UNION ALL ".join(f"SELECT '{r}' AS rule, unnest({g}) AS cutoff" for r, g in GRID.items())
 OP6 = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t FROM documents
@@ -52,31 +51,26 @@ WITH d AS (
 ), b AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM st
 ), v AS (
-  SELECT rid, doc_id, stratum, base_failed, 'symbols' AS rule, CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END AS x FROM b
-  UNION ALL SELECT rid, doc_id, stratum, base_failed, 'dup_lines', CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END FROM b
-  UNION ALL SELECT rid, doc_id, stratum, base_failed, 'repeats', CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END FROM b
-  UNION ALL SELECT rid, doc_id, stratum, base_failed, 'word_length', CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END FROM b
+  SELECT *, {STEPS} - greatest(
+    len(list_filter({GRID["symbols"]}, lambda c: c < CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END)),
+    len(list_filter({GRID["dup_lines"]}, lambda c: c < CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END)),
+    len(list_filter({GRID["repeats"]}, lambda c: c < CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END)),
+    len(list_filter({GRID["word_length"]}, lambda c: c < CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END))) AS kept_steps
+  FROM b
 ), g AS (
-  SELECT v.* FROM v WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 1)
-), tests AS (
-  SELECT z.stratum, c.rule, c.cutoff, z.n FROM ({_TESTS}) c
-  JOIN (SELECT stratum, rule, count(*) AS n FROM g GROUP BY ALL) z ON c.rule = z.rule
+  SELECT stratum, kept_steps FROM v WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 1)
 ), k AS (
-  SELECT t.stratum, t.rule, t.cutoff, t.n, count(g.rid) AS k
-  FROM tests t LEFT JOIN g ON g.stratum = t.stratum AND g.rule = t.rule AND g.x > t.cutoff GROUP BY ALL
+  SELECT stratum, step, count(*) AS n, count(*) FILTER (kept_steps <= step) AS k FROM g, (SELECT unnest(range(0, {STEPS})) AS step) GROUP BY ALL
 ), p AS (
-  SELECT *, CASE WHEN k > n * {ALPHA / len(GRID)} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda j: exp(
-    lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({ALPHA / len(GRID)}) + (n - j) * ln(1 - {ALPHA / len(GRID)})))) END AS tail
+  SELECT *, CASE WHEN k > n * {ALPHA} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda j: exp(
+    lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({ALPHA}) + (n - j) * ln(1 - {ALPHA})))) END AS tail
   FROM k
 ), cut AS (
-  SELECT stratum, rule, min(cutoff) AS cutoff FROM p
-  WHERE tail <= {DELTA} / greatest(1, (SELECT count(*) FROM tests)) GROUP BY ALL
-), bad AS (
-  SELECT DISTINCT v.rid FROM v JOIN cut ON v.stratum = cut.stratum AND v.rule = cut.rule AND v.x > cut.cutoff
+  SELECT stratum, coalesce(min(step) FILTER (tail > {DELTA} / (SELECT count(DISTINCT stratum) FROM g)), {STEPS}) AS steps FROM p GROUP BY stratum
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND rid NOT IN (SELECT rid FROM bad) AS kept
-FROM b
+  NOT base_failed AND kept_steps >= coalesce(steps, 0) AS kept
+FROM v LEFT JOIN cut ON v.stratum = cut.stratum
 """
 
 OP7 = """

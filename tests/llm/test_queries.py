@@ -169,8 +169,32 @@ def test_thresholds_bound_false_rejections(spark):
         F.when(F.col("id") < 60, 100).otherwise(1).cast("long").alias("n_symbols"),  # 0.3 % with a share of 0.2
         F.lit(10).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dup_lines"), F.lit(0).cast("long").alias("n_repeat_words"),
     )
-    cut = quality_rules.thresholds(good).first().cutoffs
-    assert cut["symbols"] == quality_rules.GRID["symbols"][0]  # 0.3 % is provably below 0.5 %
-    strict = quality_rules.thresholds(good, alpha=0.008).first().cutoffs
-    assert strict["symbols"] >= 0.2  # not provably below 0.2 %
+    assert quality_rules.thresholds(good).first().steps == quality_rules.STEPS  # 0.3 % is provably below 2 %
+    # not provably below 0.3 %: the path ends before the step that rejects a share of 0.2, though later steps reject no more
+    assert quality_rules.thresholds(good, alpha=0.003).first().steps == sum(c >= 0.2 for c in quality_rules.GRID["symbols"])
     assert quality_rules.thresholds(good.limit(50)).count() == 0  # too few to prove anything
+
+
+def test_path_of_cutoffs_by_brute_force(spark):
+    """Several strata, some too small: the path by plain loops, and the rejections that follow from it."""
+    rng = np.random.default_rng(4)
+    rows = [
+        (s, 100, int(rng.integers(400, 900)), int(rng.exponential(4) * (2 if s == "b" else 1)), 20, int(rng.integers(0, 3)), int(rng.integers(0, 4)))
+        for s, n in (("a", 3000), ("b", 1500), ("c", 240), ("d", 40)) for _ in range(n)
+    ]
+    names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
+    good = spark.createDataFrame(rows, "stratum string, " + ", ".join(f"{c} long" for c in names))
+    got = {r.stratum: r.steps for r in quality_rules.thresholds(good).collect()}
+    grid, steps, alpha, delta = quality_rules.GRID, quality_rules.STEPS, quality_rules.ALPHA, quality_rules.DELTA
+    want = {}
+    for s in "abcd":
+        part = [dict(zip(names, r[1:])) for r in rows if r[0] == s]
+        values = [(r["n_symbols"] / r["word_chars"], r["n_dup_lines"] / r["n_lines"], r["n_repeat_words"] / r["n_words"], r["word_chars"] / r["n_words"]) for r in part]
+        for t in range(steps):
+            cut = [grid[rule][steps - 1 - t] for rule in ("symbols", "dup_lines", "repeats", "word_length")]
+            k = sum(any(v > c for v, c in zip(row, cut)) for row in values)
+            log_term = lambda j, n=len(part): math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(alpha) + (n - j) * math.log(1 - alpha)
+            if k > alpha * len(part) or sum(math.exp(log_term(j)) for j in range(k + 1)) > delta / 4:
+                break
+            want[s] = t + 1
+    assert got == want and set(got) == {"a", "b", "c"} and all(0 < v < steps for v in got.values())
