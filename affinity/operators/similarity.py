@@ -69,7 +69,8 @@ def cosine_pairs(
     rows = ratings.select(context, entity, F.col(rating).cast("double").alias("r"))
     rows = with_group_size(rows, context).where(F.col("group_n") > 1).join(norms(ratings, entity, rating), entity)
     x = safe_div(F.col("r"), F.col("norm") * damping("group_n", damping_power / 2))
-    rows = rows.select(context, entity, "group_n", x.alias("x"))
+    # both sides of the self-join read the scaled rows: written once, not joined together twice
+    rows = materialize(rows.select(context, entity, "group_n", x.alias("x")), "cosine-rows")
     pairs = block_pairs(rows, group=context, member=entity, carry=["x"], block_rows=block_rows)
     return pairs.groupBy(F.col(f"l_{entity}").alias("a"), F.col(f"r_{entity}").alias("b")).agg(
         F.sum(F.col("l_x") * F.col("r_x")).alias("sim"), F.count(F.lit(1)).alias("n_common")

@@ -38,7 +38,8 @@ def _icf(spark: SparkSession, sf: str, k: int = K_NEIGHBORS, p: float = 2):
 
 def _ucf(spark: SparkSession, sf: str, k: int = K_NEIGHBORS, p: float = 2):
     _, train, test = _split(spark, sf)
-    topk = similarity.user_neighbors(train, k, p)
+    # read twice, for the eligible users and for their candidates; without this the pair join ran once for each
+    topk = materialize(similarity.user_neighbors(train, k, p), "user-neighbors")
     users = recommend.eligible_users_ucf(topk, test)
     return train, test, topk, users
 
