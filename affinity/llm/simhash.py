@@ -6,7 +6,7 @@
 2. Equal fingerprints collapse to one row (a grouped aggregate, so a text copied into a third
    of the corpus is one point of the search).
 3. A vantage-point tree, built on the driver from a sample of fingerprints (``LEAF_SAMPLE`` of every ``SHARD_POINTS``, as
-   whole numbers: 8 bytes of the driver's memory for 1,250 fingerprints), cuts the Hamming space into shards of about
+   whole numbers: 8 bytes of the driver's memory for 500 fingerprints), cuts the Hamming space into shards of about
    ``SHARD_POINTS`` however many there are. A point lives in exactly one shard (``d <= radius``
    goes inside). As a query it visits each shard its ball of ``max_bits`` can reach: by the
    triangle inequality no link crosses a boundary further than that. A shard's visitors are dealt to blocks, each with a copy
@@ -34,7 +34,7 @@ SEED = 42
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 #: Points aimed at per shard, and how many of them are in the sample that places the boundaries.
-SHARD_POINTS = 20_000
+SHARD_POINTS = 8_000
 LEAF_SAMPLE = 16
 #: Centres tried for each boundary; points of the sample that the driver routes at a time; spreads visitors over blocks.
 CENTRES, ROUTE_POINTS, MIX = 5, 1 << 16, 0x9E3779B97F4A7C15
