@@ -8,7 +8,7 @@ see, turns margins into scores.
 
 The fit sees a bounded sample of labelled rows: at most ``PER_LABEL`` documents per class,
 chosen by a hash of the id, none above ``MAX_FIT_CHARS`` characters. Only their n-gram ids reach
-the driver. Every text is scored whole, map-side, with no shuffle.
+the driver, at most ``text_features.FIT_BYTES`` of each class. Every text is scored whole, map-side, with no shuffle.
 """
 
 from __future__ import annotations
@@ -79,7 +79,7 @@ def fit(docs: DataFrame, labelled: DataFrame, per_label: int = PER_LABEL) -> Mod
     """``labelled(doc_id, label)``, one row per id. Without rows of both classes the model is neutral
     (margin 0, score 0.5)."""
     dim = 1 << BITS
-    grams, label = labelled_grams(docs, bounded_ids(labelled, per_label, SEED), BITS, True, MAX_FIT_CHARS)
+    _, grams, label = labelled_grams(docs, bounded_ids(labelled, per_label, SEED), BITS, True, MAX_FIT_CHARS)
     if len(set(label.tolist())) < 2:
         return Model(np.zeros(dim), np.zeros(dim), 0.0, 1.0, 0.0)
     kept = np.arange(len(label)) % 5 == 4  # the fifth for the sigmoid

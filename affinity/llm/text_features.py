@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinity.llm.common import materialize
+
 #: Bytes by kind: 0 blank, 1 word (ASCII letters, digits, underscore and all bytes above ASCII), 2 punctuation.
 KIND = np.array(
     [0 if b <= 32 or b == 127 else 1 if b > 127 or chr(b).isalnum() or b == 95 else 2 for b in range(256)], np.uint8
@@ -19,6 +21,8 @@ PLACE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint
 SAME = np.uint64(1)
 #: Bytes hashed at a time; longer texts are cut between tokens.
 BLOCK = 1 << 22
+#: Bytes of gram ids (4 an id) of each label that reach the driver at most, two labels under its result limit of 1 GB.
+FIT_BYTES = 200_000_000
 
 
 def token_hashes(text: str | None) -> np.ndarray:
@@ -51,26 +55,34 @@ def gram_ids(text: str | None, bits: int, pairs: bool) -> np.ndarray:
     return np.unique((ids >> np.uint64(64 - bits)).astype(np.uint32))
 
 
-def labelled_grams(docs: DataFrame, ids: DataFrame, bits: int, pairs: bool, max_chars: int):
-    """Gram ids and labels of a bounded set of documents, gathered for a fit on the driver.
+def labelled_grams(docs: DataFrame, ids: DataFrame, bits: int, pairs: bool, max_chars: int, max_bytes: int = FIT_BYTES):
+    """Documents, gram ids and labels of a bounded sample, gathered for a fit on the driver.
 
     ``ids(doc_id, label)`` holds a bounded number of rows, so it is broadcast. Documents of more
     than ``max_chars`` characters aren't used to fit (every document is scored whole). An id that many
-    rows share counts once, by its smallest grams, so what reaches the driver is bounded by ``ids``.
-    Returns (list of id arrays, array of labels), in order of (doc_id, label, ids).
+    rows share counts once, by its smallest grams. Of each label, documents are taken in the order of a hash of their
+    id as long as their gram ids fit in ``max_bytes``, so the driver gets twice that at most, however long the texts.
+    Returns (list of doc_ids, list of id arrays, array of labels), in order of (doc_id, label).
     """
 
     @F.pandas_udf("binary")
     def grams(texts: pd.Series) -> pd.Series:
         return pd.Series([gram_ids(t, bits, pairs).tobytes() for t in texts], dtype=object)
 
-    rows = (
+    sample = materialize(
         docs.select("doc_id", "text").where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars)
         .join(F.broadcast(ids), "doc_id").select("doc_id", "label", grams("text").alias("grams"))
-        .groupBy("doc_id", "label").agg(F.min("grams").alias("grams")).collect()
+        .groupBy("doc_id", "label").agg(F.min("grams").alias("grams")),
+        "fit-grams",
     )
-    rows.sort(key=lambda r: (r.doc_id, r.label, bytes(r.grams)))
-    return [np.frombuffer(bytes(r.grams), dtype=np.uint32) for r in rows], np.array([r.label for r in rows], dtype=int)
+    # at most a row for each of ``ids``, of a few bytes: the grams themselves don't pass through the window
+    so_far = F.sum("size").over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    sizes = sample.select("doc_id", "label", F.octet_length("grams").alias("size")).withColumn("so_far", so_far)
+    chosen = sizes.where(F.col("so_far") <= max_bytes).select("doc_id", "label")
+    rows = sample.join(F.broadcast(chosen), ["doc_id", "label"]).collect()
+    rows.sort(key=lambda r: (r.doc_id, r.label))
+    grams_of = [np.frombuffer(bytes(r.grams), dtype=np.uint32) for r in rows]
+    return [r.doc_id for r in rows], grams_of, np.array([r.label for r in rows], dtype=int)
 
 
 class Rows:

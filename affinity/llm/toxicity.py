@@ -12,7 +12,9 @@ between the confirmed and the unlabelled texts and normalised by row.
 
 The fit sees bounded samples, chosen by hash: at most ``POSITIVE`` confirmed and ``UNLABELLED``
 other documents, none above ``MAX_FIT_CHARS`` characters; only their word ids reach the
-driver. The class prior is the toxic share of all labelled rows that may be learnt from. Every
+driver, at most ``text_features.FIT_BYTES`` of each role. The class prior is estimated from these two samples
+alone: a first fit ranks texts that it didn't see, and the prior is the share of unlabelled texts above a cut over the
+share of confirmed ones, at the cut where this ratio has the lowest upper bound (best-bin estimation). Every
 text is scored whole, map-side, with no shuffle.
 """
 
@@ -41,6 +43,11 @@ DECAY = 1e-4
 THRESHOLD = 0.7
 #: The sigmoid is fitted to margins of rows that their fit didn't see.
 FOLDS = 3
+#: The prior of the fits that only rank texts, before it is estimated.
+FIRST_PRIOR = 0.1
+#: Confidence and slack of the bound that picks the cut of the estimate.
+PRIOR_DELTA = 0.1
+PRIOR_SLACK = 0.01
 
 
 @dataclass
@@ -97,9 +104,15 @@ def calibrated(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tu
     return platt(np.concatenate([positive, low]), label)
 
 
-def part(rows: list, k: int, rest: bool) -> list:
-    """Every ``FOLDS``-th row from the k-th, or the rest."""
-    return [r for i, r in enumerate(rows) if (i % FOLDS == k) != rest]
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Share of toxic texts among the unlabelled, from margins of confirmed and unlabelled texts that their fits
+    didn't see. Above a cut that only toxic texts reach, the two shares differ by just this factor."""
+    cuts = np.unique(positive)
+    p = 1 - np.searchsorted(np.sort(positive), cuts) / len(positive)
+    u = 1 - np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
+    deviation = sum(np.sqrt(np.log(4 / PRIOR_DELTA) / (2 * n)) for n in (len(positive), len(unlabelled)))
+    best = np.argmin((u + (1 + PRIOR_SLACK) * deviation) / p)
+    return float(min(0.9, max(1e-3, u[best] / p[best])))
 
 
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, dim: int):
@@ -107,29 +120,45 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return ratio, *nn_pu(Rows(positive, ratio, FLOOR), Rows(unlabelled, ratio, FLOOR), prior)
 
 
+def fold_numbers(positive_ids: list, unlabelled_ids: list) -> tuple[np.ndarray, np.ndarray]:
+    """Fold of each text. One that is drawn in both roles has the same in both, so no fit sees it in either."""
+    place = {d: i for i, d in enumerate(dict.fromkeys([*positive_ids, *unlabelled_ids]))}
+    return tuple(np.array([place[d] % FOLDS for d in ids], dtype=int) for ids in (positive_ids, unlabelled_ids))
+
+
+def unseen_margins(positive: list[np.ndarray], unlabelled: list[np.ndarray], folds, prior: float, dim: int):
+    """(margins of confirmed, margins of unlabelled texts), each by a fit on the other folds."""
+    out = ([], [])
+    for k in range(FOLDS):
+        seen = [[g for g, f in zip(rows, fold) if f != k] for rows, fold in zip((positive, unlabelled), folds)]
+        if not all(seen):
+            continue
+        ratio, w, b = train(*seen, prior, dim)
+        for rows, fold, margins in zip((positive, unlabelled), folds, out):
+            margins.append(Rows([g for g, f in zip(rows, fold) if f == k], ratio, FLOOR).dot(w) + b)
+    return tuple(np.concatenate([[], *m]) for m in out)
+
+
 def fit(docs: DataFrame, labelled: DataFrame, unlabelled_ids: DataFrame) -> Model:
-    """``labelled(doc_id, label)``: rows that may be learnt from; only label 1 is used, and the share of
-    1 as the prior. ``unlabelled_ids(doc_id)``: documents that serve as unlabelled text. Without
-    confirmed or unlabelled documents every text scores 0."""
+    """``labelled(doc_id, label)``: rows that may be learnt from; only label 1 is used.
+    ``unlabelled_ids(doc_id)``: documents that serve as unlabelled text. Without confirmed or unlabelled documents
+    every text scores 0; where there are too few for a fit on folds the prior is ``FIRST_PRIOR``."""
     dim = 1 << BITS
-    counts = labelled.agg(F.sum("label").alias("ones"), F.count("*").alias("n")).first()
     order = F.xxhash64(F.lit(SEED), "doc_id")
     confirmed = labelled.where("label = 1").orderBy(order, "doc_id").limit(POSITIVE).select("doc_id", F.lit(1).alias("label"))
     rest = unlabelled_ids.select("doc_id").dropna().distinct().orderBy(order, "doc_id").limit(UNLABELLED)
     ids = confirmed.unionByName(rest.withColumn("label", F.lit(0)))  # a confirmed text may be drawn in both roles
-    grams, role = labelled_grams(docs, ids, BITS, False, MAX_FIT_CHARS)
+    drawn, grams, role = labelled_grams(docs, ids, BITS, False, MAX_FIT_CHARS)
     positive = [g for g, r in zip(grams, role) if r == 1]
     unlabelled = [g for g, r in zip(grams, role) if r == 0]
     if not positive or not unlabelled:
         return Model(np.zeros(dim), np.zeros(dim), -50.0)
-    prior = min(0.9, max(1e-3, counts.ones / counts.n))
-    unseen = [(part(positive, k, False), part(unlabelled, k, False)) for k in range(FOLDS)]
-    margins = [
-        [Rows(x, ratio, FLOOR).dot(w) + b for x in rows]
-        for k, rows in enumerate(unseen)
-        for ratio, w, b in [train(part(positive, k, True), part(unlabelled, k, True), prior, dim)]
-    ]
-    a, shift = calibrated(*(np.concatenate(m) for m in zip(*margins)), prior)
+    folds = fold_numbers([d for d, r in zip(drawn, role) if r == 1], [d for d, r in zip(drawn, role) if r == 0])
+    ranked = unseen_margins(positive, unlabelled, folds, FIRST_PRIOR, dim)
+    prior, a, shift = FIRST_PRIOR, 1.0, 0.0
+    if all(len(m) for m in ranked):
+        prior = class_prior(*ranked)
+        a, shift = calibrated(*unseen_margins(positive, unlabelled, folds, prior, dim), prior)
     ratio, w, b = train(positive, unlabelled, prior, dim)
     return Model(ratio, spread_out(w, ratio), float(b), a, shift)
 

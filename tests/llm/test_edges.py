@@ -129,8 +129,8 @@ def test_ring_overflow_follows_the_keys(spark):
 def test_an_id_that_many_rows_share_counts_once_in_a_fit(spark):
     rows = frame(spark, [(9, f"text {k}", "en", "a") for k in range(50)] + [(3, "other", "en", "a")])
     ids_ = spark.createDataFrame([(9, 1), (3, 0), (4, 0)], "doc_id long, label int")
-    grams, label = text_features.labelled_grams(rows, ids_, 16, True, 1000)
-    assert label.tolist() == [0, 1]
+    drawn, grams, label = text_features.labelled_grams(rows, ids_, 16, True, 1000)
+    assert (drawn, label.tolist()) == ([3, 9], [0, 1])
     assert grams[1].tobytes() == min(text_features.gram_ids(f"text {k}", 16, True).tobytes() for k in range(50))
 
 
