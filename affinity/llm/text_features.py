@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm.common import materialize
@@ -75,11 +75,14 @@ def labelled_grams(docs: DataFrame, ids: DataFrame, bits: int, pairs: bool, max_
         .groupBy("doc_id", "label").agg(F.min("grams").alias("grams")),
         "fit-grams",
     )
-    # at most a row for each of ``ids``, of a few bytes: the grams themselves don't pass through the window
-    so_far = F.sum("size").over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    sizes = sample.select("doc_id", "label", F.octet_length("grams").alias("size")).withColumn("so_far", so_far)
-    chosen = sizes.where(F.col("so_far") <= max_bytes).select("doc_id", "label")
-    rows = sample.join(F.broadcast(chosen), ["doc_id", "label"]).collect()
+    place = F.xxhash64("doc_id")
+    sizes = sample.select("label", place.alias("place"), F.octet_length("grams").alias("size")).collect()  # at most a row for each of ``ids``
+    fits = F.lit(False)
+    for value in {r.label for r in sizes}:
+        mine = sorted((r.place, r.size) for r in sizes if r.label == value)
+        over = [p for (p, _), total in zip(mine, np.cumsum([s for _, s in mine])) if total > max_bytes]
+        fits |= (F.col("label") == value) & ((place < over[0]) if over else F.lit(True))
+    rows = sample.where(fits).collect()
     rows.sort(key=lambda r: (r.doc_id, r.label))
     grams_of = [np.frombuffer(bytes(r.grams), dtype=np.uint32) for r in rows]
     return [r.doc_id for r in rows], grams_of, np.array([r.label for r in rows], dtype=int)
