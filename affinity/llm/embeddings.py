@@ -4,12 +4,14 @@
    (label, vector) points with a count, so a vector copied into a third of all rows is
    one point.
 2. The points of a label are cut into shards of about ``SHARD_POINTS`` by a hash. Each shard builds a
-   graph, links its own points, and audits itself: points are drawn until enough have a link, their links with
-   other points are found by brute force, and the beam doubles until such a point finds ``AUDIT_RECALL`` of its
-   links on average. Points of other shards are audited too: every point visits one other shard, chosen by a
-   hash, so a shard tests its beam on about as many visitors as it has points. Where the audit fails until a
-   walk would look at as many vectors as the shard holds, all pairs are compared instead. The graph is
-   written to the checkpoint folder.
+   graph, links its own points, and audits itself, with work that doesn't depend on how rare links are:
+   ``AUDIT_PLANTED`` points drawn at random each get a planted link, a query just above the threshold from it in a random
+   direction, and the number that misses its point must prove a recall of ``AUDIT_FLOOR`` by an exact binomial bound;
+   ``AUDIT_DRAWS`` points are compared with all others, and those with a link must find ``AUDIT_RECALL`` of
+   their links on average. Points of other shards are audited like the latter: every point visits one other shard, chosen by a
+   hash, so a shard tests its beam on visitors too. The beam doubles until the audit passes; where it fails until a
+   walk would look at as many vectors as the shard holds, all pairs are compared instead. What an audit finds
+   isn't added to the result. The graph is written to the checkpoint folder.
 3. Every point queries every shard of its label, in blocks of ``BLOCK_POINTS`` queries a task. A hit
    brings in the whole set of points that the shard found linked with it; every such pair is
    checked by its cosine in double precision, so no link below the threshold is reported.
@@ -19,6 +21,7 @@
 
 from __future__ import annotations
 
+import math
 import pickle
 
 import numpy as np
@@ -36,8 +39,12 @@ SHARD_POINTS = 20_000
 BLOCK_POINTS = 20_000
 BUILD_BEAM = 32
 FIRST_BEAM = 24
-AUDIT_POINTS = 400
+AUDIT_DRAWS = 2_000
 AUDIT_RECALL = 0.99
+AUDIT_PLANTED = 1_000
+#: Recall of planted links that an audit proves, but for a chance of ``AUDIT_RISK`` a beam (a shard tries at most 8).
+AUDIT_FLOOR = 0.98
+AUDIT_RISK = 0.05 / 8
 #: The beam of a shard whose graph fails its audit: its points are compared one by one.
 ALL = -1
 SEED = 7
@@ -50,12 +57,11 @@ def unit_rows(vectors) -> np.ndarray:
 
 
 def true_links(unit: np.ndarray, queries: np.ndarray, threshold: float, seed: int) -> list:
-    """Blocks (queries, their links as packed bits, number of links) by brute force, of queries drawn until those
-    with a link weigh ``AUDIT_POINTS``, each by one over its links, or all are drawn. If the queries are the points
-    of the shard (``unit`` itself), a point is no link of itself."""
-    order = np.random.default_rng(seed).permutation(len(queries))
+    """Blocks (queries, their links as packed bits, number of links) by brute force, of those of ``AUDIT_DRAWS`` queries
+    drawn that have a link. If the queries are the points of the shard (``unit`` itself), a point is no link of itself."""
+    order = np.random.default_rng(seed).permutation(len(queries))[:AUDIT_DRAWS]
     step = max(1, BLOCK_CELLS // len(unit))
-    blocks, weight = [], 0.0
+    blocks = []
     for lo in range(0, len(order), step):
         rows = order[lo:lo + step]
         linked = queries[rows] @ unit.T >= threshold
@@ -64,12 +70,32 @@ def true_links(unit: np.ndarray, queries: np.ndarray, threshold: float, seed: in
         n_links = linked.sum(axis=1)
         some = n_links > 0
         blocks.append((rows[some], np.packbits(linked[some], axis=1), n_links[some]))
-        weight += (1 / n_links[some]).sum()
-        if weight >= AUDIT_POINTS:
-            break
     return blocks
 
 
+def planted_links(unit: np.ndarray, threshold: float, seed: int):
+    """(points drawn with replacement, a unit query for each with a cosine just above ``threshold``)."""
+    rng = np.random.default_rng(seed)
+    rows = rng.integers(0, len(unit), AUDIT_PLANTED)
+    at = unit[rows]
+    aside = rng.normal(size=at.shape)
+    aside -= np.einsum("id,id->i", aside, at)[:, None] * at
+    length = np.sqrt(np.einsum("id,id->i", aside, aside))[:, None]
+    cosine = threshold + 1e-3 * (1 - threshold)
+    out = cosine * at + math.sqrt(1 - cosine * cosine) * aside / np.maximum(length, 1e-300)
+    return rows, np.where(length > 1e-9, out, at)  # in one dimension nothing lies aside
+
+
+def allowed_misses(n: int, floor: float = AUDIT_FLOOR, risk: float = AUDIT_RISK) -> int:
+    """Most misses among ``n`` that still prove a recall above ``floor``: fewer or as many have a chance of at most
+    ``risk`` at that recall. -1 if none do."""
+    chance, misses = floor ** n, -1
+    while chance <= risk:
+        misses += 1
+        chance += math.comb(n, misses + 1) * (1 - floor) ** (misses + 1) * floor ** (n - misses - 1)
+    return misses
+
+
 def audit_passes(blocks: list, n: int, met) -> bool:
     """Whether the drawn queries with a link find ``AUDIT_RECALL`` of their links, on average over them and on
     average with a query weighed by one over its links, so that a large cluster counts about once.
@@ -96,7 +122,7 @@ def hit_sets(unit: np.ndarray, graph: Graph, sets: np.ndarray, queries: np.ndarr
 
 
 def link_shard(unit: np.ndarray, graph: Graph, threshold: float, visitors: np.ndarray, seed: int = SEED):
-    """(set label of every point, beam that passed the audit of the points and of ``visitors`` from other shards).
+    """(set label of every point, beam that passed the audit of planted links, the points and ``visitors`` from other shards).
 
     A walk can miss a point at any beam, as it only follows links from one start. If the audit fails until
     a wider walk would look at as many vectors as there are points, all pairs are compared, and the beam is ALL: queries
@@ -105,6 +131,14 @@ def link_shard(unit: np.ndarray, graph: Graph, threshold: float, visitors: np.nd
     n = len(unit)
     small = unit.astype(np.float32)
     own, foreign = true_links(unit, unit, threshold, seed), true_links(unit, visitors, threshold, seed)
+    targets, planted = planted_links(unit, threshold, seed)
+
+    def planted_pass():
+        found = np.zeros(len(targets), dtype=bool)
+        for lo in range(0, len(targets), BATCH):
+            q, s = hit_sets(unit, graph, sets.label, planted[lo:lo + BATCH], beam, threshold)
+            found[lo + q[s == sets.label[targets[lo + q]]]] = True
+        return (~found).sum() <= allowed_misses(len(found))
 
     def visited(rows):
         met = np.zeros((len(rows), n), dtype=bool)
@@ -122,8 +156,8 @@ def link_shard(unit: np.ndarray, graph: Graph, threshold: float, visitors: np.nd
             a, b = lo + q, ids[q, c]
             real = np.einsum("id,id->i", unit[a], unit[b]) >= threshold
             sets.union(a[real], b[real])
-        passed = audit_passes(own, n, lambda rows: sets.label[rows][:, None] == sets.label) and audit_passes(foreign, n, visited)
-        if passed:
+        passed = planted_pass() and audit_passes(own, n, lambda rows: sets.label[rows][:, None] == sets.label)
+        if passed and audit_passes(foreign, n, visited):
             break
         beam *= 2
         if 2 * LINKS * beam >= n:
@@ -133,9 +167,6 @@ def link_shard(unit: np.ndarray, graph: Graph, threshold: float, visitors: np.nd
                 a, b = np.nonzero(unit[lo:lo + step] @ unit.T >= threshold)
                 sets.union(lo + a, b)
             break
-    for rows, bits, _ in own:  # links that the audit knows are kept even if no search found them
-        q, c = np.nonzero(np.unpackbits(bits, axis=1, count=n).astype(bool) & (sets.label[rows][:, None] != sets.label))
-        sets.union(rows[q], c)
     return sets.label, beam
 
 

@@ -415,6 +415,55 @@ def test_embedding_graph_that_finds_nothing():
     assert list(zip(q, s)) == [(k, k // 2 * 2) for k in range(7)]
 
 
+def test_planted_links_and_their_bound():
+    rng = np.random.default_rng(8)
+    for dim in (1, 2, 48):
+        unit = embeddings.unit_rows(rng.normal(size=(30, dim)))
+        rows, queries = embeddings.planted_links(unit, 0.93, 1)
+        cosine = np.einsum("id,id->i", unit[rows], queries)
+        assert len(rows) == embeddings.AUDIT_PLANTED and (cosine >= 0.93).all()
+        assert np.allclose(np.linalg.norm(queries, axis=1), 1) and (dim == 1 or np.allclose(cosine, 0.93, atol=1e-3))
+    for n, floor, risk in ((1000, 0.98, 0.05 / 8), (400, 0.98, 0.05), (10, 0.98, 0.05), (29, 0.9, 0.05)):
+        tail = [sum(math.comb(n, k) * (1 - floor) ** k * floor ** (n - k) for k in range(m + 1)) for m in range(n + 1)]
+        assert embeddings.allowed_misses(n, floor, risk) == sum(t <= risk for t in tail) - 1
+
+
+def test_embedding_audit_without_links():
+    """Where no two points are linked, a search that finds nothing still fails its audit, and a good one passes it;
+    the queries compared with all points are as many for any number of links."""
+    unit = embeddings.unit_rows(np.random.default_rng(9).normal(size=(3_000, 48)))
+
+    class Nothing:
+        def search(self, queries, beam):
+            return np.full((len(queries), 1), -1), np.full((len(queries), 1), -np.inf)
+
+    none = np.arange(len(unit))
+    label, beam = embeddings.link_shard(unit, Nothing(), 0.93, unit[:0])
+    assert beam == embeddings.ALL and (label == none).all()
+    label, beam = embeddings.link_shard(unit, embeddings.Graph(unit.astype(np.float32), embeddings.BUILD_BEAM), 0.93, unit[:0])
+    assert beam != embeddings.ALL and (label == none).all()
+
+
+def test_embeddings_of_a_label_above_a_shard(spark):
+    """Production parameters, one label in two shards, links within and across them: recall against brute force."""
+    rng = np.random.default_rng(10)
+    vectors = rng.normal(size=(20_600, 32))
+    vectors[20_000:] = vectors[:600] + rng.normal(scale=0.2, size=(600, 32))
+    unit = embeddings.unit_rows(vectors)
+    want = {}
+    for lo in range(0, len(unit), 2_000):
+        for i, j in zip(*np.nonzero(unit[lo:lo + 2_000] @ unit.T >= 0.93)):
+            if lo + i != j:
+                want.setdefault(int(lo + i), set()).add(int(j))
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(df).collect()}
+    links = sum(map(len, want.values()))
+    recall = sum(min(got[k], len(v)) for k, v in want.items()) / links
+    print(f"recall {recall:.4f} of {links} links")
+    assert len(got) == 20_600 and links > 500 and recall >= 0.98
+    assert all(got[k] <= len(want.get(k, ())) for k in got)
+
+
 @pytest.mark.parametrize("opens", [96, math.inf])
 def test_embedding_links_across_shards(spark, monkeypatch, opens):
     """Points of other shards find nothing until the beam opens, or at any beam."""
