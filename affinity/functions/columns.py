@@ -34,7 +34,7 @@ def hash_bucket(cols: Sequence, buckets: int = 10) -> Column:
 def trim_decimal(x, digits: int = 6) -> Column:
     """Fixed-point text with trailing zeros and a bare dot removed: 0.5 -> '0.5', 10 -> '10'."""
     fixed = _col(x).cast(f"decimal(38,{digits})").cast("string")
-    return F.regexp_replace(fixed, r"\.?0+$", "")
+    return F.rtrim(F.rtrim(fixed, F.lit("0")), F.lit("."))
 
 
 def double_text(x) -> Column:

@@ -207,11 +207,12 @@ FROM ({_DAMAGED})""")
 def q_fmt_svmlight_rejects(spark, sf):
     """S10 with a reject channel: FM lines, one in ten damaged, parsed into good rows and lines with a reason."""
     e = _encoded(spark, sf)
-    b = hash_bucket(["row_key"], 40)
-    line = writers.fm_line(_VALS, [f"{c}_idx" for c in CAT], "label")
+    # the bucket and the line are columns of their own: used in several branches, they would be computed in each
+    whole = e.select("row_key", hash_bucket(["row_key"], 40).alias("b"), writers.fm_line(_VALS, [f"{c}_idx" for c in CAT], "label").alias("line"))
+    b, line = F.col("b"), F.col("line")
     damaged = F.when(b == 0, F.concat(F.lit("x"), line)).when(b == 1, F.concat(line, F.lit(" 7:one"))).when(
         b == 2, F.concat(line, F.lit(" 8"))).when(b == 3, F.concat(line, F.lit(" 9:1:1"))).otherwise(line)
-    lines = materialize(e.select("row_key", damaged.alias("line")), "damaged-lines")
+    lines = whole.select("row_key", damaged.alias("line"))
     good, rejects = readers.parse_pairs_checked(lines, "line")
     total = F.aggregate("pairs", F.lit(0.0), lambda acc, p: acc + p["idx"] * p["val"])
     kept = good.select("row_key", "label", F.size("pairs").cast("bigint").alias("n_pairs"), F.round(total, 6).alias("checksum"))

@@ -67,14 +67,16 @@ def parse_pairs_checked(lines: DataFrame, line: str, sep: str = " ") -> tuple[Da
     """
     toks = F.split(F.col(line), sep)
     label = F.expr("try_cast(try_cast(_toks[0] AS double) AS int)")
-    pairs = F.expr("""transform(filter(slice(_toks, 2, greatest(size(_toks) - 1, 0)), t -> t <> ''), t -> struct(
-        try_cast(split(t, ':')[0] AS int) AS idx, try_cast(get(split(t, ':'), 1) AS double) AS val, size(split(t, ':')) AS parts))""")
+    pairs = F.expr("""transform(transform(filter(slice(_toks, 2, greatest(size(_toks) - 1, 0)), t -> t <> ''), t -> split(t, ':')), p -> struct(
+        try_cast(p[0] AS int) AS idx, try_cast(get(p, 1) AS double) AS val, size(p) AS parts))""")
     wrong = F.expr("transform(_pairs, p -> p.idx IS NULL OR p.val IS NULL OR p.parts <> 2)")
     read = lines.withColumn("_toks", toks).withColumn("_label", label).withColumn("_pairs", pairs).withColumn("_at", F.array_position(wrong, F.lit(True)))
+    clean = F.transform("_pairs", lambda p: F.struct(p["idx"].alias("idx"), p["val"].alias("val")))
+    # written once: both results read it, and a filter on what was parsed would parse every line again, in each of them
+    read = materialize(read.select(*lines.columns, "_label", clean.alias("_pairs"), "_at"), "parsed-lines")
     fine = F.col("_label").isNotNull() & (F.col("_at") == 0)
     reason = F.when(F.col("_label").isNull(), F.lit("label")).otherwise(F.concat(F.lit("pair "), F.col("_at").cast("string")))
-    clean = F.transform("_pairs", lambda p: F.struct(p["idx"].alias("idx"), p["val"].alias("val")))
-    good = read.where(F.coalesce(fine, F.lit(False))).select(*lines.columns, F.col("_label").alias("label"), clean.alias("pairs"))
+    good = read.where(F.coalesce(fine, F.lit(False))).select(*lines.columns, F.col("_label").alias("label"), F.col("_pairs").alias("pairs"))
     return good, read.where(~F.coalesce(fine, F.lit(False))).select(*lines.columns, reason.alias("reason"))
 
 
@@ -91,13 +93,8 @@ def parse_pairs(line, sep: str = " ", labeled: bool = True) -> tuple[Column, Col
     toks = F.split(F.col(line) if isinstance(line, str) else line, sep)
     label = F.element_at(toks, 1).cast("double").cast("int") if labeled else F.lit(None).cast("int")
     first = 1 if labeled else 0
-    pairs = F.transform(
-        F.filter(toks, lambda t, i: (i >= first) & (t != "")),
-        lambda t: F.struct(
-            F.split(t, ":").getItem(0).cast("int").alias("idx"),
-            F.split(t, ":").getItem(1).cast("double").alias("val"),
-        ),
-    )
+    parts = F.transform(F.filter(toks, lambda t, i: (i >= first) & (t != "")), lambda t: F.split(t, ":"))
+    pairs = F.transform(parts, lambda p: F.struct(p.getItem(0).cast("int").alias("idx"), p.getItem(1).cast("double").alias("val")))
     return label, pairs
 
 
