@@ -29,6 +29,10 @@ _SUMS = "key bigint, members array<bigint>, sums array<double>, counts array<big
 _NO_MEMBER = np.iinfo(np.int64).min  # stands for a null member inside a task
 
 
+def _n_packed(columns: list[str], name: str) -> int:
+    return 2 if f"{name}_1" in columns else 1
+
+
 def _halves(batch: pa.Table, name: str, n: int) -> tuple[list[np.ndarray], np.ndarray | None]:
     """The flat values of the packed columns of ``name`` and which of them are null (None: none)."""
     values, gone = [], None
@@ -42,15 +46,28 @@ def _halves(batch: pa.Table, name: str, n: int) -> tuple[list[np.ndarray], np.nd
     return values, gone
 
 
+def _whole(values: list[np.ndarray]) -> np.ndarray:
+    """The whole numbers of one packed column, or of a high and a low one."""
+    high, *low = values
+    if not low:
+        return high.astype(np.int64)
+    bits = 8 * low[0].dtype.itemsize
+    return (high.astype(np.int64) << bits) | (low[0].astype(np.int64) & ((1 << bits) - 1))
+
+
 def _numbers(batch: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray | None]:
-    """``pairs.unpack`` of a packed column of doubles."""
-    (first, rest), gone = _halves(batch, name, 2)
-    return (first / 1e6 if name == "sim" else first.astype(np.float64)) + rest, gone
+    """``pairs.unpack`` of a packed column of doubles, in halves or of a narrow kind."""
+    values, gone = _halves(batch, name, _n_packed(batch.column_names, name))
+    unit = 1e6 if name == "sim" else 1.0
+    if values[-1].dtype != np.float64:
+        return _whole(values) / unit, gone
+    first, rest = values
+    return (first / unit if name == "sim" else first.astype(np.float64)) + rest, gone
 
 
 def _members(batch: pa.Table, name: str) -> np.ndarray:
-    (high, low), gone = _halves(batch, name, 2)
-    ids = (high.astype(np.int64) << 32) | (low.astype(np.int64) & 0xFFFFFFFF)
+    values, gone = _halves(batch, name, _n_packed(batch.column_names, name))
+    ids = _whole(values)
     return ids if gone is None else np.where(gone, _NO_MEMBER, ids)
 
 
@@ -164,7 +181,7 @@ def list_sums(rows: DataFrame, cols: list[str], member: str, value: Callable = p
         if held:
             yield _sum_keys(pa.Table.from_batches(held), cols, member, value, k, margin)
 
-    packed = [f"{c}_{i}" for c in [*cols, member] for i in range(2)]
+    packed = [f"{c}_{i}" for c in [*cols, member] for i in range(_n_packed(rows.columns, c))]
     return rows.select("key", "weight", "mark_out", "all_out", *packed).sortWithinPartitions("key").mapInArrow(summed, _SUMS)
 
 

@@ -21,6 +21,8 @@ summed apart, by both members of the pair.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,9 @@ DEFAULT_BLOCK_ROWS = 2048
 PARTITION_PAIRS = 2_000_000
 # Members of more pairs don't have their row in one partition.
 HEAVY_ROW_PAIRS = 16_000_000
+# Narrow kinds of one column, and of a high byte and a low part of so many bits.
+_ONE = {"whole1": "tinyint", "whole4": "int"}
+_LOW_BITS = {"whole2": (8, "tinyint"), "whole3": (16, "smallint")}
 
 
 def with_group_size(rows: DataFrame, group: str, name: str = "group_n") -> DataFrame:
@@ -111,9 +116,45 @@ def block_pairs(
     return kept.select(*out)
 
 
+def narrowest(rows: DataFrame, cols: list[str]) -> tuple[list[Column], Callable[[list], dict[str, str]]]:
+    """Aggregates of the values of ``cols``, and what makes {column: kind} of the results, the kinds being the narrowest that hold every value exactly.
+
+    ``whole<n>`` holds whole numbers of n bytes (of a ``sim``: of millionths). Columns that don't fit are left out and travel in halves.
+    """
+    types = dict(rows.dtypes)
+    tried = [c for c in cols if types[c] in ("bigint", "double")]
+    checks = []
+    for c in tried:
+        v, whole = F.col(c), _millionths(c)
+        fits = (whole / F.lit(1e6) if c == "sim" else F.rint(v)) == v if types[c] == "double" else F.lit(True)
+        checks += [F.min(whole), F.max(whole), F.bool_and(fits)]
+
+    def kinds(found: list) -> dict[str, str]:
+        out = {}
+        for i, c in enumerate(tried):
+            low, high, fits = found[3 * i:3 * i + 3]
+            sizes = [n for n in (1, 2, 3, 4) if low is None or (fits is not False and low >= -(1 << (8 * n - 1)) and high < 1 << (8 * n - 1))]
+            if sizes:
+                out[c] = f"whole{sizes[0]}"
+        return out
+
+    return checks, kinds
+
+
+def _millionths(name: str) -> Column:
+    return F.round(F.col(name) * 1_000_000) if name == "sim" else F.col(name)
+
+
 def pack(name: str, kind: str) -> list[Column]:
-    """The columns a long or double travels in: halves, one of which is nearly always 0 and so compresses to nothing."""
+    """The columns a long or double travels in: halves, one of which is nearly always 0 and so compresses to nothing; bytes of a narrow kind."""
     c = F.col(name)
+    if kind in _LOW_BITS:
+        bits, low = _LOW_BITS[kind]
+        whole = _millionths(name).cast("int")
+        last = F.shiftright(F.shiftleft(whole, 32 - bits), 32 - bits).cast(low)
+        return [F.shiftright(whole, bits).cast("tinyint").alias(f"{name}_0"), last.alias(f"{name}_1")]
+    if kind in _ONE:
+        return [_millionths(name).cast(_ONE[kind]).alias(f"{name}_0")]
     if kind == "bigint":
         low = F.shiftright(F.shiftleft(c, 32), 32)
         return [F.shiftright(c, 32).cast("int").alias(f"{name}_0"), low.cast("int").alias(f"{name}_1")]
@@ -128,7 +169,13 @@ def pack(name: str, kind: str) -> list[Column]:
 
 
 def unpack(parts: list[Column], kind: str, name: str = "") -> Column:
-    """The very value that ``pack`` split."""
+    """The very value that ``pack`` split, or in its narrow kind."""
+    if kind in _LOW_BITS or kind in _ONE:
+        whole = parts[0].cast("int")
+        if kind in _LOW_BITS:
+            bits = _LOW_BITS[kind][0]
+            whole = F.shiftleft(whole, bits).bitwiseOR(parts[1].cast("int").bitwiseAND(F.lit((1 << bits) - 1)))
+        return whole / F.lit(1e6) if name == "sim" else whole
     if kind == "bigint":
         return F.shiftleft(parts[0].cast("bigint"), 32).bitwiseOR(parts[1].cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
     if kind == "double" and name == "sim":
@@ -138,9 +185,12 @@ def unpack(parts: list[Column], kind: str, name: str = "") -> Column:
     return parts[0]
 
 
-def pack_lists(rows: DataFrame, by: list[str], cols: list[str], carry: list[str] = ()) -> DataFrame:
-    """One row per ``by`` with an array ``_l`` of structs of the ``carry`` columns and arrays ``<c>_<i>`` of the packed ``cols``, in one order."""
-    kinds = dict(rows.dtypes)
+def pack_lists(rows: DataFrame, by: list[str], cols: list[str], carry: list[str] = (), narrow: dict | None = None) -> DataFrame:
+    """One row per ``by`` with an array ``_l`` of structs of the ``carry`` columns and arrays ``<c>_<i>`` of the packed ``cols``, in one order.
+
+    ``narrow``: kinds that some columns travel in, from ``narrowest``.
+    """
+    kinds = dict(rows.dtypes) | (narrow or {})
     packed = [p for c in cols for p in pack(c, kinds[c])]
     names = [f"{c}_{i}" for c in cols for i in range(len(pack(c, kinds[c])))]
     entry = F.struct(*packed, F.struct(*carry).alias("_c")) if carry else F.struct(*packed)
@@ -172,14 +222,17 @@ def pair_sums(rows: DataFrame, group: str, member: str, mine: list[str], theirs:
     spark = rows.sparkSession
     rows = rows.where(F.col(group).isNotNull() & F.col(member).isNotNull())
     kinds = dict(rows.dtypes)
-    total, largest = rows.agg(F.sum(group_size), F.max(group_size)).first()
+    checks, narrow_kinds = narrowest(rows, [*theirs, member] if by_list is not None else [])
+    total, largest, *found = rows.agg(F.sum(group_size), F.max(group_size), *checks).first()
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # numbers of partitions go by the pairs, which no size in bytes tells; a list unfolds later than it is dealt
     n = max(least, -(-int(total or 0) // PARTITION_PAIRS))
-    n_lists = max(least, -(-int(total or 0) // (8 * PARTITION_PAIRS)))
+    n_lists = max(least, -(-int(total or 0) // (2 * PARTITION_PAIRS)))
     by_list = by_list if kinds[member] == "bigint" and not by_place and int(total or 0) > lists.FEW_ENTRIES else None
     most = HEAVY_ROW_PAIRS if by_list is None else min(HEAVY_ROW_PAIRS, lists.KEY_ENTRIES)
     block_rows = block_rows if by_list is None else min(block_rows, lists.LIST_ROWS)
+    narrow = narrow_kinds(found) if by_list is not None else {}
+    held = kinds | narrow
     blocked = (largest or 0) > block_rows
     if blocked:
         s = F.greatest(F.lit(1), F.ceil(F.col(group_size) / F.lit(block_rows)).cast("int"))
@@ -192,13 +245,15 @@ def pair_sums(rows: DataFrame, group: str, member: str, mine: list[str], theirs:
 
     own = F.posexplode("_l").alias("_own", "_m")
 
-    def gathered(df: DataFrame) -> DataFrame:
-        return pack_lists(df.repartition(n_lists, group, "_blk"), [group, "_s", "_blk"], [*theirs, member], [member, *mine])
+    def gathered(df: DataFrame, deal: list[str], by: list[str]) -> DataFrame:
+        # dealt by no constant column: Spark drops those from ``by`` and would deal the rows once more, to a number of partitions
+        # by their size, of which each sends many times that
+        return pack_lists(df.repartition(n_lists, *deal), by, [*theirs, member], [member, *mine], narrow)
 
-    packed = [f"{c}_{i}" for c in [*theirs, member] for i in range(len(pack(c, kinds[c])))]
-    sent = gathered(rows_b.where("_s = 1")).select(*packed, own)
+    packed = [f"{c}_{i}" for c in [*theirs, member] for i in range(len(pack(c, held[c])))]
+    sent = gathered(rows_b.where("_s = 1"), [group], [group]).select(*packed, own)
     if blocked:
-        parts = gathered(rows_b.where("_s > 1"))
+        parts = gathered(rows_b.where("_s > 1"), [group, "_blk"], [group, "_s", "_blk"])
         left = parts.select(group, F.col("_blk").alias("_from"), "_l", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_blk"))
         met = left.repartition(n, group, "_blk").join(parts.drop("_s", "_l").repartition(n, group, "_blk").hint("merge"), [group, "_blk"])
         met = met.select(*packed, "_blk", "_from", own)
@@ -208,7 +263,8 @@ def pair_sums(rows: DataFrame, group: str, member: str, mine: list[str], theirs:
 
     def summed(df: DataFrame) -> DataFrame:
         names = {c: f"r_{c}" for c in theirs} | {member: "b"}
-        flat = unpack_lists(df, ["a", *[f"l_{c}" for c in mine], "_own"], [*theirs, member], kinds, names)
+        flat = unpack_lists(df, ["a", *[f"l_{c}" for c in mine], "_own"], [*theirs, member], held, names)
+        flat = flat.withColumns({names[c]: F.col(names[c]).cast(kinds[c]) for c in narrow})
         other = (F.col("_own") != F.col("_at")) if by_place else (F.col("a") != F.col("b"))
         return flat.where(other).groupBy("a", "b").agg(*aggs)
 

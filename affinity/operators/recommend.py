@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.columns import prefixed_key
 from affinity.operators import lists
-from affinity.operators.pairs import DEFAULT_BLOCK_ROWS, HEAVY_ROW_PAIRS, PARTITION_PAIRS, pack, pack_lists, unpack_lists
+from affinity.operators.pairs import DEFAULT_BLOCK_ROWS, HEAVY_ROW_PAIRS, PARTITION_PAIRS, narrowest, pack, pack_lists, unpack_lists
 from affinity.session import materialize
 
 SCORE_DIGITS = 6
@@ -253,7 +253,7 @@ def recommend_item_cf(train: DataFrame, topk: DataFrame, users: DataFrame | None
                       tie: str = "item_asc") -> DataFrame:
     """R9 + W3. The candidates of users with up to ``lists.KEY_ENTRIES`` are summed and cut from lists, where there are many of them."""
     mine, topk = _item_inputs(train, topk, users, [])
-    rated, entries = mine.count(), topk.count()  # the row counts of the written files
+    rated = mine.count()  # the row count of the written file
     total = [F.sum(F.col("sim") * F.col("r")).alias("total")]
 
     def plain(rows: DataFrame, bound: int) -> DataFrame:
@@ -261,7 +261,9 @@ def recommend_item_cf(train: DataFrame, topk: DataFrame, users: DataFrame | None
         return top_n(sums.select("user_id", "item_id", F.round("total", SCORE_DIGITS).alias("score")), n, tie)
 
     near = topk.select(F.col("item_id").alias("src_id"), F.col("neighbor_id").alias("item_id"), "sim")
-    packed = materialize(pack_lists(near, ["src_id"], ["sim", "item_id"]), "packed-neighbors") if _long_ids(train) else None
+    checks, narrow_kinds = narrowest(near, ["sim", "item_id"])
+    entries, *found = near.agg(F.count(F.lit(1)), *checks).first()
+    packed = materialize(pack_lists(near, ["src_id"], ["sim", "item_id"], narrow=narrow_kinds(found)), "packed-neighbors") if _long_ids(train) else None
     each = 1 + -(-entries // max(1, packed.count())) if packed is not None else 0
     if rated * each <= lists.FEW_ENTRIES:
         return plain(mine, HEAVY_USER_ROWS)
