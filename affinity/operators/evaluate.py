@@ -84,12 +84,11 @@ def _bitmaps(rows: DataFrame, by: list[str], sums: tuple = ("hit", "lp")) -> Dat
     task, group and bucket instead of a row per group and item, however many groups a sweep has. Items are whole numbers;
     other ids take their codes from ``features.label_encode`` first. Null items count as rows, not as items.
     """
+    # one aggregate, null items in a bucket of their own: a branch for them would compute the lists a second time
     item = F.col("item_id").cast("bigint")
-    seen = rows.where(item.isNotNull()).groupBy(*by, F.bitmap_bucket_number(item).alias("_bucket")).agg(
+    seen = rows.groupBy(*by, F.bitmap_bucket_number(item).alias("_bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(item)).alias("_bits"), F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums])
-    plain = rows.where(item.isNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums])
-    counted = seen.select(*by, F.bitmap_count("_bits").alias("items"), "n", *sums)
-    return counted.unionByName(plain.select(*by, F.lit(0).cast("bigint").alias("items"), "n", *sums))
+    return seen.select(*by, F.bitmap_count("_bits").alias("items"), "n", *sums)
 
 
 def _metric_columns(n: int):
@@ -163,14 +162,10 @@ def sweep_metrics(recs_by_k: DataFrame, train: DataFrame, test: DataFrame, users
 def average_precision(recs_hits: DataFrame, users: DataFrame) -> DataFrame:
     """E6 per user: recs_hits(user_id, rank, hit). Users without a list or a hit get 0.
 
-    The running hit count is a window over one user's list, at most N rows.
+    A hit's running count is its place among the user's hits, so only hits (at most N a user) are dealt by user and sorted.
     """
-    w = Window.partitionBy("user_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = recs_hits.withColumn("_cum", F.sum("hit").over(w))
-    per = run.groupBy("user_id").agg(
-        F.sum(F.when(F.col("hit") == 1, F.col("_cum") / F.col("rank"))).alias("_s"),
-        F.sum("hit").alias("_h"),
-    )
+    run = recs_hits.where(F.col("hit") == 1).withColumn("_cum", F.row_number().over(Window.partitionBy("user_id").orderBy("rank")))
+    per = run.groupBy("user_id").agg(F.sum(F.col("_cum") / F.col("rank")).alias("_s"), F.sum("hit").alias("_h"))
     return users.join(per, "user_id", "left").select(
         "user_id", F.round(safe_div(F.coalesce("_s", F.lit(0.0)), F.coalesce("_h", F.lit(0))), DIGITS).alias("ap")
     )
@@ -179,7 +174,8 @@ def average_precision(recs_hits: DataFrame, users: DataFrame) -> DataFrame:
 def dcg(recs_rated: DataFrame, users: DataFrame) -> DataFrame:
     """E8 per user: recs_rated(user_id, rank, test_rating); users without a list get 0."""
     g = (F.pow(F.lit(2.0), F.col("test_rating")) - 1) / F.log2(F.col("rank") + 1)
-    per = recs_rated.groupBy("user_id").agg(F.sum(g).alias("_d"))
+    # a rating of 0 adds 0: such rows are not dealt by user
+    per = recs_rated.where(F.col("test_rating") != 0).groupBy("user_id").agg(F.sum(g).alias("_d"))
     return users.join(per, "user_id", "left").select(
         "user_id", F.round(F.coalesce("_d", F.lit(0.0)), DIGITS).alias("dcg")
     )

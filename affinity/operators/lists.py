@@ -3,7 +3,8 @@
 Neighbors and recommendations are both sums of weight x value per (key, member), of which a key keeps its k best. The rows, each a key, a
 weight and a packed list of (value, member), are dealt by key by Spark and sorted by it; a task then sums whole keys at a time (sort by
 (key, member), ``reduceat``) and passes on one row per key. Of a key only members that may be among its k best pass, with a margin for the rounding
-that ranks; Spark ranks them exactly, so ties, nulls and NaN are ordered as by a window.
+that ranks; Spark ranks them exactly, so ties, nulls and NaN are ordered as by a window. Rows that don't lie by key yet travel in
+blocks: the rows of a task for one task of the next stage are one compressed Arrow batch, column after column.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 
 # List entries that a task sums at once, if they aren't all of one key.
 CHUNK_ENTRIES = 250_000
+# List entries of a task that are dealt to blocks at once, and that one task gets in blocks (about 6 bytes each).
+BLOCK_ENTRIES = 4_000_000
+TASK_ENTRIES = 8_000_000
 # Keys of more list entries aren't summed in one go: the callers deal theirs by (key, member).
 KEY_ENTRIES = 2_000_000
 # Jobs of fewer entries in all stay with Spark's own aggregates: no Python worker is started for them.
@@ -125,10 +129,10 @@ def _sum_keys(batch: pa.Table, cols: list[str], member: str, value: Callable, k:
         order = np.lexsort((b, group))
     group, b = group[order], b[order]
     starts = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]) | (b[1:] != b[:-1])))) if len(b) else np.zeros(0, np.int64)
-    kept = starts if not len(starts) else starts[~np.logical_or.reduceat(out[order], starts)]
-    n_rows = np.diff(np.append(starts, len(b)))
+    kept, n_rows = starts, np.diff(np.append(starts, len(b)))
     if len(starts):
         alive = ~np.logical_or.reduceat(out[order], starts)
+        kept = starts[alive]
         sums, n_rows = np.add.reduceat(product[order], starts)[alive], n_rows[alive]
         empty = None if counted is None else ~np.logical_or.reduceat(counted[order], starts)[alive]
     else:
@@ -153,15 +157,98 @@ def _sum_keys(batch: pa.Table, cols: list[str], member: str, value: Callable, k:
         [pa.array(keys[new][group[edge]]), *[pa.ListArray.from_arrays(offsets, v) for v in lists]], ["key", "members", "sums", "counts"])
 
 
-def list_sums(rows: DataFrame, cols: list[str], member: str, value: Callable = plain_value, k: int | None = None, digits: int = 6) -> DataFrame:
+def _arrow_type(kind: str) -> pa.DataType:
+    if kind.startswith("array<"):
+        return pa.list_(_arrow_type(kind[6:-1]))
+    return {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64(), "float": pa.float32(), "double": pa.float64(),
+            "boolean": pa.bool_()}[kind]
+
+
+def _entries(batch: pa.RecordBatch | pa.Table, member: str) -> int:
+    return (pc.sum(pc.list_value_length(batch.column(f"{member}_0"))).as_py() or 0) + batch.num_rows
+
+
+def _cut(batches: Iterator[pa.RecordBatch], member: str, listed: bool) -> Iterator[pa.Table]:
+    """The rows in tables of about ``BLOCK_ENTRIES`` entries, a list counted once per key it is for."""
+    held, size = [], 0
+    for batch in batches:
+        each = 1 + pc.fill_null(pc.list_value_length(batch.column(f"{member}_0")), 0).to_numpy().astype(np.int64)
+        upto = np.cumsum(each * pc.list_value_length(batch.column("key")).to_numpy() if listed else each)
+        at, before = 0, 0
+        while at < len(upto):
+            end = max(at + 1, int(np.searchsorted(upto, before + BLOCK_ENTRIES - size, "right")))
+            held.append(batch.slice(at, end - at))
+            size += int(upto[end - 1]) - before
+            at, before = end, int(upto[end - 1])
+            if size >= BLOCK_ENTRIES or at < len(upto):
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def in_blocks(rows: DataFrame, member: str, n: int) -> DataFrame:
+    """(at, block): ``rows`` dealt by ``key`` to ``n`` tasks, those that a task has for another as one compressed Arrow batch.
+
+    A list for several keys comes once, with arrays of its keys and their weights (and ``mark_out``, where there is one); it is copied to each key's row here.
+    """
+    kinds = dict(rows.dtypes)
+    listed = kinds["key"].startswith("array<")
+    own = [c for c in ("key", "weight", "mark_out") if c in kinds]
+    schema = pa.schema([(c, _arrow_type(k[6:-1] if listed and c in own else k)) for c, k in rows.dtypes])
+
+    def blocks(table: pa.Table) -> pa.RecordBatch:
+        def flat(c: str) -> pa.Array:
+            return pa.concat_arrays([x.flatten() if listed else x for x in table.column(c).chunks])
+
+        at = flat("at").to_numpy()
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        row = np.repeat(np.arange(len(table)), pc.list_value_length(table.column("key")).to_numpy())[order] if listed else order
+        copied = table.select([c for c in schema.names if c not in own]).combine_chunks().take(pa.array(row)).combine_chunks()
+        columns = [flat(f.name).take(pa.array(order)) if f.name in own else copied.column(f.name).chunk(0) for f in schema]
+        batch = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)) as out:
+            out.write_batch(batch.slice(0, 0))  # the schema is written with the first batch and not sent
+            edges = [sink.tell()]
+            for lo, hi in zip(starts, np.append(starts[1:], len(at))):
+                out.write_batch(batch.slice(lo, hi - lo))
+                edges.append(sink.tell())
+        data = memoryview(sink.getvalue())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(at[starts], pa.int32()), pa.array([data[lo:hi] for lo, hi in zip(edges, edges[1:])], pa.binary())], ["at", "block"])
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _cut((b for b in batches if b.num_rows), member, listed):
+            yield blocks(table)
+
+    def place(key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+    at = F.transform("key", place) if listed else place(F.col("key"))
+    return rows.select("*", at.alias("at")).mapInArrow(dealt, "at int, block binary").repartitionById(n, F.col("at"))
+
+
+def list_sums(rows: DataFrame, cols: list[str], member: str, value: Callable = plain_value, k: int | None = None, digits: int = 6,
+              n: int | None = None) -> DataFrame:
     """(key, members, sums, counts), one row per key: the sums of weight x value per member, and how many entries each has.
 
-    ``rows``, dealt by ``key`` (long, not null), hold ``weight`` (double), the packed ``cols`` (doubles) and ``member`` (long),
-    ``mark_out``, a member that the key doesn't take (or null), and ``all_out``, whether it takes none of the list's. A sum
-    is null if none of its products is known. With ``k``, members that can't be among the k largest sums, rounded to ``digits`` places,
-    are left out.
+    ``rows``, dealt by ``key`` (long, not null), or with ``n`` to be dealt by it to so many tasks (see ``in_blocks``), hold ``weight`` (double), the
+    packed ``cols`` (doubles) and ``member`` (long), ``mark_out``, a member that the key doesn't take (or null; without the column, the key itself), and
+    ``all_out``, whether it takes none of the list's. A sum is null if none of its products is known. With ``k``, members that can't be among
+    the k largest sums, rounded to ``digits`` places, are left out.
     """
     margin = 2.0 * 10.0 ** -digits
+    packed = [f"{c}_{i}" for c in [*cols, member] for i in range(_n_packed(rows.columns, c))]
+    marked = "mark_out" in rows.columns
+    rows = rows.select("key", "weight", *(["mark_out"] if marked else []), "all_out", *packed)
+    schema = pa.schema([(c, _arrow_type(kind[6:-1] if c in ("key", "weight", "mark_out") and kind.startswith("array<") else kind)) for c, kind in rows.dtypes])
+
+    def of(table: pa.Table) -> pa.RecordBatch:
+        table = table if marked else table.append_column("mark_out", table.column("key"))
+        return _sum_keys(table, cols, member, value, k, margin)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -169,20 +256,32 @@ def list_sums(rows: DataFrame, cols: list[str], member: str, value: Callable = p
             if not batch.num_rows:
                 continue
             held.append(batch)
-            size += len(batch.column(f"{member}_0").flatten()) + batch.num_rows
+            size += _entries(batch, member)
             if size >= CHUNK_ENTRIES:
                 table = pa.Table.from_batches(held)
                 keys = table.column("key").to_numpy()
                 cut = int(np.searchsorted(keys, keys[-1]))
                 if cut:
-                    yield _sum_keys(table.slice(0, cut), cols, member, value, k, margin)
+                    yield of(table.slice(0, cut))
                 held = table.slice(cut).to_batches()
-                size = sum(len(t.column(f"{member}_0").flatten()) + t.num_rows for t in held)
+                size = sum(_entries(t, member) for t in held)
         if held:
-            yield _sum_keys(pa.Table.from_batches(held), cols, member, value, k, margin)
-
-    packed = [f"{c}_{i}" for c in [*cols, member] for i in range(_n_packed(rows.columns, c))]
-    return rows.select("key", "weight", "mark_out", "all_out", *packed).sortWithinPartitions("key").mapInArrow(summed, _SUMS)
+            yield of(pa.Table.from_batches(held))
+
+    def sorted_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [pa.ipc.read_record_batch(pa.py_buffer(b.as_py()), schema) for batch in batches for b in batch.column("block")]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        order = np.argsort(table.column("key").to_numpy(), kind="stable")
+        step = max(1, len(order) * CHUNK_ENTRIES // (4 * _entries(table, member)))
+        for at in range(0, len(order), step):
+            yield from table.take(pa.array(order[at:at + step])).to_batches()
+
+    if n is None:
+        return rows.sortWithinPartitions("key").mapInArrow(summed, _SUMS)
+    return in_blocks(rows, member, n).mapInArrow(lambda batches: summed(sorted_rows(batches)), _SUMS)
 
 
 def best_of(lists: DataFrame, key: str, member: str, score: Callable[[Column], Column], order: Callable[[Column, Column], list[Column]], k: int,

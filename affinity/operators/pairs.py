@@ -208,16 +208,16 @@ def unpack_lists(df: DataFrame, keep: list, cols: list[str], kinds: dict, names:
     return flat.select(*keep, "_at", *out)
 
 
-def pair_sums(rows: DataFrame, group: str, member: str, mine: list[str], theirs: list[str], aggs: list[Column], finish,
+def pair_sums(rows: DataFrame, group: str, member: str, mine: list[str] | dict[str, Column], theirs: list[str], aggs: list[Column], finish,
               group_size: str = "group_n", block_rows: int = DEFAULT_BLOCK_ROWS, by_place: bool = False, by_list=None) -> DataFrame:
     """``finish(sums, heavy)`` of the sums over all groups per ordered pair (a, b) of members.
 
-    ``rows`` (written; read several times) holds ``group``, ``member``, ``group_size``, ``mine`` and ``theirs``. ``aggs`` are made of
-    ``l_<c>`` for c in ``mine`` and ``r_<c>`` for c in ``theirs``. A pair has two different members, or with ``by_place`` two
+    ``rows`` (written; read several times) holds ``group``, ``member``, ``group_size``, ``mine`` and ``theirs``; of a dict, ``mine`` is made where the
+    rows are gathered. ``aggs`` are made of ``l_<c>`` for c in ``mine`` and ``r_<c>`` for c in ``theirs``. A pair has two different members, or with ``by_place`` two
     different rows. In ``finish``, all pairs of an ``a`` lie in one partition, so windows over ``a`` need no shuffle, except in
     a call with ``heavy`` set, for the members of more than ``HEAVY_ROW_PAIRS`` pairs. Where it is given and there are more than
-    ``lists.FEW_ENTRIES`` pairs of long ids, ``by_list(sent)`` takes the place of the sums and ``finish`` for members of up to ``lists.KEY_ENTRIES`` pairs: rows
-    of ``a``, ``l_<c>`` and the packed lists of ``theirs`` and the member, dealt by ``a``.
+    ``lists.FEW_ENTRIES`` pairs of long ids, ``by_list(sent, n)`` takes the place of the sums and ``finish`` for members of up to ``lists.KEY_ENTRIES`` pairs: rows
+    of arrays ``a`` and ``l_<c>`` and the packed lists of ``theirs`` and the member that each ``a`` of the row gets, to be dealt by ``a`` to ``n`` tasks.
     """
     spark = rows.sparkSession
     rows = rows.where(F.col(group).isNotNull() & F.col(member).isNotNull())
@@ -248,18 +248,22 @@ def pair_sums(rows: DataFrame, group: str, member: str, mine: list[str], theirs:
     def gathered(df: DataFrame, deal: list[str], by: list[str]) -> DataFrame:
         # dealt by no constant column: Spark drops those from ``by`` and would deal the rows once more, to a number of partitions
         # by their size, of which each sends many times that
-        return pack_lists(df.repartition(n_lists, *deal), by, [*theirs, member], [member, *mine], narrow)
+        dealt = df.repartition(n_lists, *deal)
+        return pack_lists(dealt.withColumns(mine) if isinstance(mine, dict) else dealt, by, [*theirs, member], [member, *mine], narrow)
 
     packed = [f"{c}_{i}" for c in [*theirs, member] for i in range(len(pack(c, held[c])))]
-    sent = gathered(rows_b.where("_s = 1"), [group], [group]).select(*packed, own)
+    sent = gathered(rows_b.where("_s = 1"), [group], [group]).select(*packed, "_l")
     if blocked:
         parts = gathered(rows_b.where("_s > 1"), [group, "_blk"], [group, "_s", "_blk"])
         left = parts.select(group, F.col("_blk").alias("_from"), "_l", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_blk"))
         met = left.repartition(n, group, "_blk").join(parts.drop("_s", "_l").repartition(n, group, "_blk").hint("merge"), [group, "_blk"])
-        met = met.select(*packed, "_blk", "_from", own)
-        met = met.select(*packed, F.when(F.col("_blk") == F.col("_from"), F.col("_own")).otherwise(-1).alias("_own"), "_m")
-        sent = sent.unionByName(met)
-    sent = sent.select(F.col(f"_m.{member}").alias("a"), *[F.col(f"_m.{c}").alias(f"l_{c}") for c in mine], "_own", *packed)
+        # the place of a row in its own list, as the rows of another block have none
+        sent = sent.withColumn("_same", F.lit(True)).unionByName(met.select(*packed, "_l", (F.col("_blk") == F.col("_from")).alias("_same")))
+    whole = sent
+    same = F.col("_same") if blocked else F.lit(True)
+    sent = sent.select(*packed, same.alias("_same"), own)
+    sent = sent.select(F.col(f"_m.{member}").alias("a"), *[F.col(f"_m.{c}").alias(f"l_{c}") for c in mine],
+                       F.when(F.col("_same"), F.col("_own")).otherwise(-1).alias("_own"), *packed)
 
     def summed(df: DataFrame) -> DataFrame:
         names = {c: f"r_{c}" for c in theirs} | {member: "b"}
@@ -268,16 +272,22 @@ def pair_sums(rows: DataFrame, group: str, member: str, mine: list[str], theirs:
         other = (F.col("_own") != F.col("_at")) if by_place else (F.col("a") != F.col("b"))
         return flat.where(other).groupBy("a", "b").agg(*aggs)
 
-    def of_light(df: DataFrame) -> DataFrame:
-        dealt = df.repartition(n, "a")
-        return finish(summed(dealt), False) if by_list is None else by_list(dealt)
+    def of_light(heavy: DataFrame | None) -> DataFrame:
+        df = sent if heavy is None else sent.join(heavy, "a", "left_anti")
+        if by_list is None:
+            return finish(summed(df.repartition(n, "a")), False)
+        if heavy is None:  # a list goes to Python once, not once per member
+            df = whole.select(F.col(f"_l.{member}").alias("a"), *[F.col(f"_l.{c}").alias(f"l_{c}") for c in mine], *packed)
+        else:
+            df = df.select(F.array("a").alias("a"), *[F.array(f"l_{c}").alias(f"l_{c}") for c in mine], *packed)
+        return by_list(df, max(least, -(-int(total) // lists.TASK_ENTRIES)))
 
     if int(total or 0) <= most:
-        return of_light(sent)
+        return of_light(None)
     heavy = materialize(rows.groupBy(F.col(member).alias("a")).agg(F.sum(group_size).alias("_w"))
                         .where(F.col("_w") > most).select("a"), "heavy-rows")
     if heavy.isEmpty():
-        return of_light(sent)
+        return of_light(None)
     few = F.broadcast(heavy)  # at most one per ``most`` pairs
-    light = of_light(sent.join(few, "a", "left_anti"))
+    light = of_light(few)
     return light.unionByName(finish(summed(sent.join(few, "a", "left_semi")), True))

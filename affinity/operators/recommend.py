@@ -40,7 +40,7 @@ def eligible_users_ucf(topk: DataFrame, test: DataFrame) -> DataFrame:
 
 def eligible_users_icf(train: DataFrame, test: DataFrame) -> DataFrame:
     """Spark ItemCF: test users that also have train rows."""
-    return test.select("user_id").distinct().join(train.select("user_id"), "user_id", "left_semi")
+    return test.select("user_id").distinct().join(train.select("user_id").distinct(), "user_id", "left_semi")
 
 
 def _unseen_sums(contributions: DataFrame, aggs: list, by: list) -> DataFrame:
@@ -222,9 +222,9 @@ def _list_keys(tie: str):
     return lambda score, item: [score, item.isNull(), F.bitwise_not(item)]
 
 
-def _best_items(rows: DataFrame, cols: list[str], n: int, tie: str) -> DataFrame:
-    """(user_id, item_id, score, rank) of the n best sums of each user, from rows for ``lists.list_sums``."""
-    best = lists.best_of(lists.list_sums(rows, cols, "item_id", k=n, digits=SCORE_DIGITS), "user_id", "item_id",
+def _best_items(rows: DataFrame, cols: list[str], n: int, tie: str, tasks: int | None = None) -> DataFrame:
+    """(user_id, item_id, score, rank) of the n best sums of each user, from rows for ``lists.list_sums``, which deals them to ``tasks`` if given."""
+    best = lists.best_of(lists.list_sums(rows, cols, "item_id", k=n, digits=SCORE_DIGITS, n=tasks), "user_id", "item_id",
                          lambda total: F.round(total, SCORE_DIGITS), _list_keys(tie), n, {"score": "score"})
     return best.select("user_id", "item_id", "score", "rank")
 
@@ -270,13 +270,15 @@ def recommend_item_cf(train: DataFrame, topk: DataFrame, users: DataFrame | None
     bound = min(HEAVY_USER_ROWS, lists.KEY_ENTRIES // (1 + (packed.agg(F.max(F.size("sim_0"))).first()[0] or 0)))
     light, heavy = mine.where(F.col("_rows") <= bound), mine.where(F.col("_rows") > bound)
     parts = _partitions(mine.sparkSession, rated * each)
+    tasks = None
     if entries <= MAX_BROADCAST_ENTRIES:
         met = light.repartition(parts, "user_id").join(F.broadcast(packed), "src_id", "left")
     else:
-        met = light.repartition(parts, "src_id").join(packed, "src_id", "left").repartition(parts, "user_id")
+        met = light.repartition(parts, "src_id").join(packed, "src_id", "left")
+        tasks = max(_partitions(mine.sparkSession, 0), -(-rated * each // lists.TASK_ENTRIES))
     rows = met.select(F.col("user_id").alias("key"), F.col("r").alias("weight"), F.col("src_id").alias("mark_out"), F.lit(False).alias("all_out"),
                       *[c for c in packed.columns if c != "src_id"])
-    out = _best_items(rows, ["sim"], n, tie)
+    out = _best_items(rows, ["sim"], n, tie, tasks)
     return out if heavy.isEmpty() else out.unionByName(plain(heavy, 0))
 
 

@@ -72,12 +72,12 @@ def cosine_pairs(
     rows = ratings.select(context, entity, r.alias("r"))
     squares = ratings.groupBy(entity).agg(F.sum(r * r).alias("sq"))
     rows = with_group_size(rows, context).where(F.col("group_n") > 1).join(squares, entity)
-    x = safe_div(F.col("r"), F.sqrt("sq") * damping("group_n", damping_power))
+    x = safe_div(F.col("r"), F.sqrt("sq") * damping("group_n", damping_power))  # no two alike: made where it is used, not written or dealt
     # the groups' sizes and their lists read these rows: written once
-    rows = materialize(rows.select(context, entity, "group_n", "r", "sq", x.alias("x")), "cosine-rows")
+    rows = materialize(rows.select(context, entity, "group_n", "r", "sq"), "cosine-rows")
     product = F.col("l_x") * safe_div(F.col("r_r"), F.sqrt("r_sq"))
     aggs = [F.sum(product).alias("sim"), F.count(F.lit(1)).alias("n_common")]
-    return pair_sums(rows, context, entity, ["x"], ["r", "sq"], aggs, finish, block_rows=block_rows, by_list=by_list)
+    return pair_sums(rows, context, entity, {"x": x}, ["r", "sq"], aggs, finish, block_rows=block_rows, by_list=by_list)
 
 
 def similarity(
@@ -135,11 +135,11 @@ def neighbors(
 
     digits = RANK_DIGITS if normalize else SCORE_DIGITS
 
-    def by_list(sent: DataFrame) -> DataFrame:
+    def by_list(sent: DataFrame, n: int) -> DataFrame:
         """The same from lists (see ``lists.list_sums``), a row's pairs summed and cut to about k in one go."""
-        rows = sent.select(F.col("a").alias("key"), F.col("l_x").alias("weight"), F.col("a").alias("mark_out"), F.lit(False).alias("all_out"),
-                           *[c for c in sent.columns if c not in ("a", "l_x", "_own")])
-        summed = lists.list_sums(rows, ["r", "sq"], entity, lists.normed_value, k, digits)
+        rows = sent.select(F.col("a").alias("key"), F.col("l_x").alias("weight"), F.lit(False).alias("all_out"),
+                           *[c for c in sent.columns if c not in ("a", "l_x")])
+        summed = lists.list_sums(rows, ["r", "sq"], entity, lists.normed_value, k, digits, n)
         best = lists.best_of(summed, entity, "neighbor_id", lambda s: F.round(s, digits), lambda s, m: [s, F.bitwise_not(m)], k,
                              {"score": "_order", "sum": "sim", "count": "n_common"})
         sim = F.round(safe_div(F.col("sim"), F.col("best")), SCORE_DIGITS) if normalize else F.col("_order")
