@@ -39,56 +39,41 @@ def _catalog(train: DataFrame, test: DataFrame, users: DataFrame, catalog: str)
 
 def _scored_recs(recs: DataFrame, train: DataFrame, test: DataFrame, users: DataFrame,
                  pop_distinct: bool, by: list[str]) -> DataFrame:
+    """(by, item_id, n, hit, lp): how often each item is recommended, its hits and its summed log popularity.
+
+    The lists are counted per item, by tasks before they are dealt, so the popularity meets one row per item (and group).
+    """
     pop = item_popularity(train, pop_distinct)
     tst = test.join(users, "user_id", "left_semi").select("user_id", "item_id", F.lit(1).alias("_t"))
-    return (
-        recs.select(*by, "user_id", "item_id")
-        .join(tst, ["user_id", "item_id"], "left")
-        .join(pop, "item_id", "left")
-        .select(
-            *by,
-            "item_id",
-            F.coalesce("_t", F.lit(0)).alias("hit"),
-            F.log1p(F.coalesce("popularity", F.lit(0)).cast("double")).alias("lp"),
-        )
-    )
+    counted = recs.select(*by, "user_id", "item_id").join(tst, ["user_id", "item_id"], "left").groupBy(*by, "item_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("_t").alias("hit"))
+    lp = F.col("n") * F.log1p(F.coalesce("popularity", F.lit(0)).cast("double"))
+    return counted.join(pop, "item_id", "left").select(*by, "item_id", "n", "hit", lp.alias("lp"))
 
 
-def metric_inputs(recs: DataFrame, train: DataFrame, test: DataFrame, users: DataFrame,
-                  catalog: str = "train", pop_distinct: bool = True) -> DataFrame:
-    """The tagged union the metrics aggregate over. ``recs`` has user_id, item_id."""
-    item_type = recs.schema["item_id"].dataType
-    r = _scored_recs(recs, train, test, users, pop_distinct, []).withColumn("kind", F.lit("r"))
+def _fixed_inputs(train: DataFrame, test: DataFrame, users: DataFrame, catalog: str) -> DataFrame:
+    """(kind, items, n): one row each for the test rows (t), the catalog (c) and the users (u)."""
+    t = test.join(users, "user_id", "left_semi").agg(F.count(F.lit(1)).alias("n"))
+    c = _catalog(train, test, users, catalog).distinct().agg(F.count("item_id").alias("items"), F.count(F.lit(1)).alias("n"))  # a null item is none
+    u = users.agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(0).cast("bigint").alias("items")
+    return (t.select(F.lit("t").alias("kind"), none, "n").unionByName(c.select(F.lit("c").alias("kind"), "items", "n"))
+            .unionByName(u.select(F.lit("u").alias("kind"), none, "n")))
 
-    def tagged(df: DataFrame, kind: str) -> DataFrame:
-        return df.select(F.lit(kind).alias("kind"), F.col("item_id").cast(item_type).alias("item_id"),
-                         F.lit(None).cast("int").alias("hit"), F.lit(None).cast("double").alias("lp"))
 
-    t = test.join(users, "user_id", "left_semi").select("item_id")
-    u = users.select(F.lit(None).alias("item_id"))
-    others = tagged(t, "t").unionByName(tagged(_catalog(train, test, users, catalog), "c")).unionByName(tagged(u, "u"))
-    return r.unionByName(others)
+def metric_inputs(recs: DataFrame, train: DataFrame, test: DataFrame, users: DataFrame,
+                  catalog: str = "train", pop_distinct: bool = True) -> DataFrame:
+    """The tagged union the metrics aggregate over. ``recs`` has user_id, item_id. Null items count as rows, not as items."""
+    r = _scored_recs(recs, train, test, users, pop_distinct, []).select(
+        F.lit("r").alias("kind"), F.col("item_id").isNotNull().cast("bigint").alias("items"), "n", "hit", "lp")
+    others = _fixed_inputs(train, test, users, catalog)
+    return r.unionByName(others.select("*", F.lit(None).cast("bigint").alias("hit"), F.lit(None).cast("double").alias("lp")))
 
 
 def list_metrics(recs: DataFrame, train: DataFrame, test: DataFrame, users: DataFrame, n: int = 50,
                  catalog: str = "train", pop_distinct: bool = True) -> DataFrame:
     """One row: precision, recall, coverage, popularity (E5)."""
-    per_bucket = _bitmaps(metric_inputs(recs, train, test, users, catalog, pop_distinct), ["kind"])
-    return per_bucket.agg(*_metric_columns(n))
-
-
-def _bitmaps(rows: DataFrame, by: list[str], sums: tuple = ("hit", "lp")) -> DataFrame:
-    """(by, items, n, sums): counts of different items, of rows, and sums, in one row per group and bitmap.
-
-    Item ids are set in mergeable bitmaps (one per 32,768 ids in use), so the shuffle holds a bitmap per
-    task, group and bucket instead of a row per group and item, however many groups a sweep has. Items are whole numbers;
-    other ids take their codes from ``features.label_encode`` first. Null items count as rows, not as items.
-    """
-    # one aggregate, null items in a bucket of their own: a branch for them would compute the lists a second time
-    item = F.col("item_id").cast("bigint")
-    seen = rows.groupBy(*by, F.bitmap_bucket_number(item).alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(item)).alias("_bits"), F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums])
-    return seen.select(*by, F.bitmap_count("_bits").alias("items"), "n", *sums)
+    return metric_inputs(recs, train, test, users, catalog, pop_distinct).agg(*_metric_columns(n))
 
 
 def _metric_columns(n: int):
@@ -114,26 +99,18 @@ def sweep_metrics(recs_by_k: DataFrame, train: DataFrame, test: DataFrame, users
     sweep and merged with the per-k row by a final ``groupBy(k)``: no join, no copy of the
     input rows per k.
     """
-    t = test.join(users, "user_id", "left_semi")
-    cat = _catalog(train, test, users, catalog)
     per_k = (
-        _bitmaps(_scored_recs(recs_by_k, train, test, users, pop_distinct, ["k"]), ["k"])
+        _scored_recs(recs_by_k, train, test, users, pop_distinct, ["k"])
         .groupBy("k")
         .agg(
             F.sum("hit").alias("hits"),
             F.sum("n").alias("n_rec"),
-            F.sum("items").alias("rec_items"),
+            F.count("item_id").alias("rec_items"),
             F.sum("lp").alias("pop"),
         )
     )
-    item_type = recs_by_k.schema["item_id"].dataType
-    kinds = (
-        t.select(F.lit("t").alias("kind"), "item_id")
-        .unionByName(cat.select(F.lit("c").alias("kind"), "item_id"))
-        .unionByName(users.select(F.lit("u").alias("kind"), F.lit(None).cast(item_type).alias("item_id")))
-    )
     fixed = (
-        _bitmaps(kinds, ["kind"], ())
+        _fixed_inputs(train, test, users, catalog)
         .agg(
             F.sum(F.when(F.col("kind") == "u", F.col("n"))).alias("n_users"),
             F.sum(F.when(F.col("kind") == "t", F.col("n"))).alias("n_test"),
