@@ -80,26 +80,30 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled click rows: label, i1..i4 (ints, two NULLs injected), c1..c5 (strings)."""
-    lo = _lineitem_orders(spark, sf_dir)
-    p = load(spark, sf_dir, "part")
-    c = load(spark, sf_dir, "customer")
-    j = lo.join(p, lo.l_partkey == p.p_partkey).join(c, lo.o_custkey == c.c_custkey)
-
     def fl(x):
         return F.floor(x).cast("int")
 
-    return j.select(
-        F.concat_ws("-", *[F.col(k).cast("string") for k in CLICK_KEY]).alias("row_key"),
+    # made before the joins: whole numbers are dealt in fewer bytes than prices
+    li = load(spark, sf_dir, "lineitem").select(
+        *CLICK_KEY,
         (F.col("l_returnflag") == "R").cast("int").alias("label"),
         F.when(F.col("l_linenumber") != 7, fl(F.col("l_quantity"))).alias("i1"),
         fl(F.col("l_extendedprice")).alias("i2"),
-        fl(F.col("o_totalprice")).alias("i3"),
-        fl(F.col("p_size")).alias("i4"),
+    )
+    od = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", fl(F.col("o_totalprice")).alias("i3"), F.col("o_orderpriority").alias("c4"))
+    p = load(spark, sf_dir, "part").select("p_partkey", fl(F.col("p_size")).alias("i4"), "p_brand", "p_type", "p_name")
+    c = load(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("c5"))
+    # the customer goes to the order rows, which are fewer; the part, whose columns are the widest, comes last: line rows are dealt by customer no more
+    od = od.join(c, od.o_custkey == c.c_custkey)
+    j = li.join(od, li.l_orderkey == od.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+
+    return j.select(
+        F.concat_ws("-", *[F.col(k).cast("string") for k in CLICK_KEY]).alias("row_key"),
+        "label", "i1", "i2", "i3", "i4",
         F.when(F.col("l_linenumber") != 6, F.col("p_brand")).alias("c1"),
         F.col("p_type").alias("c2"),
         F.col("p_name").alias("c3"),
-        F.col("o_orderpriority").alias("c4"),
-        F.col("c_mktsegment").alias("c5"),
+        "c4", "c5",
     )
 
 
